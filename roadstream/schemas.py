@@ -4,40 +4,59 @@ from __future__ import annotations
 
 from pyspark.sql.types import StructType
 
+
+def _struct(**columns: str) -> StructType:
+    schema = StructType()
+    for name, kind in columns.items():
+        schema.add(name, kind)
+    return schema
+
+
 # Column names and types of every table.
-ENVELOPE = StructType.fromDDL("value BINARY, timestamp TIMESTAMP, partition INT, offset BIGINT")
+ENVELOPE = _struct(value="binary", timestamp="timestamp", partition="integer", offset="long")
 
 # speed and event_time stay text so that a bad value reaches the quality rules intact.
-PAYLOAD = StructType.fromDDL(
-    "vehicle_id STRING, road_id STRING, city_zone STRING, speed STRING, "
-    "congestion_level INT, weather STRING, event_time STRING"
+PAYLOAD = _struct(
+    vehicle_id="string",
+    road_id="string",
+    city_zone="string",
+    speed="string",
+    congestion_level="integer",
+    weather="string",
+    event_time="string",
 )
-
-BRONZE = StructType(
-    StructType.fromDDL(
-        "raw_json STRING, kafka_timestamp TIMESTAMP, kafka_partition INT, kafka_offset BIGINT"
-    ).fields
-    + PAYLOAD.fields
+_ARRIVAL = _struct(
+    raw_json="string", kafka_timestamp="timestamp", kafka_partition="integer", kafka_offset="long"
 )
-
-_VERDICT = "dq_flag STRING, speed_int INT, event_ts TIMESTAMP, speed_valid INT, time_valid INT"
-
-SILVER = StructType(
-    BRONZE.fields
-    + StructType.fromDDL(f"{_VERDICT}, hour INT, peak_flag INT, speed_band STRING").fields
+_VERDICT = _struct(
+    dq_flag="string",
+    speed_int="integer",
+    event_ts="timestamp",
+    speed_valid="integer",
+    time_valid="integer",
 )
+_FEATURES = _struct(hour="integer", peak_flag="integer", speed_band="string")
+_REJECTION = _struct(reject_reason="string", rejected_at="timestamp")
 
-REJECTS = StructType(
-    BRONZE.fields
-    + StructType.fromDDL(f"{_VERDICT}, reject_reason STRING, rejected_at TIMESTAMP").fields
-)
+BRONZE = StructType(_ARRIVAL.fields + PAYLOAD.fields)
+SILVER = StructType(BRONZE.fields + _VERDICT.fields + _FEATURES.fields)
+REJECTS = StructType(BRONZE.fields + _VERDICT.fields + _REJECTION.fields)
 
-DIM_ZONE = StructType.fromDDL("city_zone STRING, zone_type STRING, traffic_risk STRING")
-DIM_ROAD = StructType.fromDDL("road_id STRING, road_type STRING, speed_limit INT")
-FACT = StructType.fromDDL(
-    "vehicle_id STRING, road_id STRING, city_zone STRING, speed INT, congestion_level INT, "
-    "event_ts TIMESTAMP, peak_flag INT, speed_band STRING, hour INT, weather STRING, "
-    "event_date DATE, ingested_at TIMESTAMP"
+DIM_ZONE = _struct(city_zone="string", zone_type="string", traffic_risk="string")
+DIM_ROAD = _struct(road_id="string", road_type="string", speed_limit="integer")
+FACT = _struct(
+    vehicle_id="string",
+    road_id="string",
+    city_zone="string",
+    speed="integer",
+    congestion_level="integer",
+    event_ts="timestamp",
+    peak_flag="integer",
+    speed_band="string",
+    hour="integer",
+    weather="string",
+    event_date="date",
+    ingested_at="timestamp",
 )
 
 # Keys.
