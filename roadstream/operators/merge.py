@@ -22,6 +22,16 @@ def one_per_key(rows: DataFrame, keys) -> DataFrame:
     )
 
 
+def offer_counts(incoming: DataFrame, target: DataFrame, keys) -> DataFrame:
+    """One row: how many keys are offered, and how many of them the target does not hold."""
+    keys = list(keys)
+    offered = incoming.select(F.struct(*keys).alias("merge_key")).distinct()
+    held = target.select(F.struct(*keys).alias("merge_key"), F.lit(1).alias("held"))
+    return offered.join(held, "merge_key", "left").agg(
+        F.count("*").alias("incoming"), F.count_if(F.col("held").isNull()).alias("new")
+    )
+
+
 def rows_to_insert(incoming: DataFrame, target: DataFrame, keys) -> DataFrame:
     """Incoming rows, one per key, whose key the target does not hold.
 

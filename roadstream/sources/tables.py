@@ -12,7 +12,6 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -22,14 +21,6 @@ from roadstream.operators.merge import one_per_key, rows_to_insert
 BATCH_COLUMN = "batch_id"
 
 
-@dataclass(frozen=True)
-class MergeResult:
-    """Rows offered to an insert-only merge, and rows it added."""
-
-    incoming: int
-    inserted: int
-
-
 @dataclass(frozen=True)
 class Table:
     """A table directory: ``batched`` ones are written per micro-batch, others are merged."""
@@ -41,8 +32,8 @@ class Table:
     partition_by: tuple[str, ...] = ()
     batched: bool = False
 
-    def _directory(self):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+    def _hadoop(self, location: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(location)
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
 
     def exists(self) -> bool:
@@ -51,7 +42,7 @@ class Table:
             from delta.tables import DeltaTable  # optional connector
 
             return DeltaTable.isDeltaTable(self.spark, self.path)
-        files, path = self._directory()
+        files, path = self._hadoop(self.path)
         return files.exists(path)
 
     def create(self) -> None:
@@ -60,7 +51,7 @@ class Table:
             if not self.exists():
                 self._append(self.spark.createDataFrame([], self.schema))
         else:
-            files, path = self._directory()
+            files, path = self._hadoop(self.path)
             files.mkdirs(path)
 
     def read(self) -> DataFrame:
@@ -80,14 +71,12 @@ class Table:
         if self.format == "delta":
             return self.read().filter(F.col(self.partition_by[0]).isin(list(days)))
         wanted = ",".join(day.isoformat() for day in days)
-        reader = self.spark.read.schema(self.schema).option("basePath", self.path)
-        try:
-            rows = reader.parquet(f"{self.path}/{self.partition_by[0]}={{{wanted}}}")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        pattern = f"{self.path}/{self.partition_by[0]}={{{wanted}}}"
+        files, path = self._hadoop(pattern)
+        if not files.globStatus(path):
             return self.spark.createDataFrame([], self.schema)
-        return rows.select(*self.schema.names)
+        reader = self.spark.read.schema(self.schema).option("basePath", self.path)
+        return reader.parquet(pattern).select(*self.schema.names)
 
     def write_batch(self, rows: DataFrame, run: str, batch: int) -> None:
         """Write a micro-batch, replacing whatever an earlier attempt at it left.
@@ -101,32 +90,21 @@ class Table:
         else:
             rows.write.mode("overwrite").parquet(f"{self.path}/{BATCH_COLUMN}={run}-{batch}")
 
-    def insert_new(
-        self, incoming: DataFrame, keys, target: DataFrame | None = None
-    ) -> MergeResult:
-        """Add the incoming rows whose key the table lacks.
+    def insert_new(self, incoming: DataFrame, keys, target: DataFrame | None = None) -> int:
+        """Add the incoming rows whose key the table lacks; how many were added.
 
         ``target`` is the part of the table that can hold those keys, if not all of it. A
         repeated or half-finished write is completed by running it again.
         """
-        offered = Observation()
-        incoming = incoming.observe(offered, F.count("*").alias("rows"))
         if self.format == "delta":
-            inserted = self._merge_delta(incoming, keys)
-            return MergeResult(offered.get["rows"], inserted)
+            return self._merge_delta(incoming, keys)
         target = self.read() if target is None else target
         new = rows_to_insert(incoming, target, keys).select(*self.schema.names)
-        if not self.partition_by:
-            # Counted first: an unpartitioned write of nothing would leave an empty file.
-            inserted = new.count()
-            if inserted:
-                self._append(new)
-            return MergeResult(offered.get["rows"], inserted)
         # Few files per partition value; the adaptive planner splits a value that holds much.
         added = Observation()
-        balanced = new.hint("rebalance", *self.partition_by)
+        balanced = new.hint("rebalance", *self.partition_by) if self.partition_by else new
         self._append(balanced.observe(added, F.count("*").alias("rows")))
-        return MergeResult(offered.get["rows"], added.get["rows"])
+        return added.get["rows"]
 
     def _append(self, rows: DataFrame, **options) -> None:
         writer = rows.write.format(self.format).mode("append").options(**options)

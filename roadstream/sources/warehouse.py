@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from roadstream import schemas
+from roadstream.operators.merge import offer_counts
 from roadstream.settings import Settings
-from roadstream.sources.tables import MergeResult, Table
+from roadstream.sources.tables import Table
 
 # Table directory -> (schema, partition columns, written per micro-batch?).
 LAYOUT = {
@@ -28,26 +31,50 @@ def warehouse_tables(spark: SparkSession, settings: Settings) -> dict[str, Table
     }
 
 
-def upsert_dim(dimension: DataFrame, table: Table, key: str) -> MergeResult:
-    """Insert dimension rows whose key is new. A known key keeps its attributes."""
-    return table.insert_new(dimension, [key])
+@dataclass(frozen=True)
+class MergeResult:
+    """Rows offered to an insert-only merge, and rows it added."""
 
+    incoming: int
+    inserted: int
 
-def upsert_fact(facts: DataFrame, table: Table) -> MergeResult:
-    """Insert facts whose key is new.
 
-    The event time is part of the key, so only rows of the same days and the same span of
-    time can match: other days are not listed, other row groups not read.
+def upsert_dim(dimension: DataFrame, table: Table, key: str) -> MergeResult:
+    """Insert dimension rows whose key is new. A known key keeps its attributes.
+
+    Counted first: nearly every batch brings no new key, and is then done without a write,
+    which would leave an empty file behind.
     """
+    offer = offer_counts(dimension, table.read(), [key]).first()
+    if offer["new"]:
+        table.insert_new(dimension, [key])
+    return MergeResult(offer["incoming"], offer["new"])
+
+
+def fact_span(facts: DataFrame) -> Row:
+    """How many facts there are, and which time and days they cover."""
     time = F.col("event_ts")
-    span = facts.agg(
+    return facts.agg(
+        F.count("*").alias("rows"),
         F.min(time).alias("first"),
         F.max(time).alias("last"),
         F.collect_set("event_date").alias("days"),
         F.count_if(time.isNull()).alias("timeless"),
     ).first()
+
+
+def upsert_fact(facts: DataFrame, table: Table, span: Row | None = None) -> MergeResult:
+    """Insert facts whose key is new.
+
+    The event time is part of the key, so only rows of the same days and the same span of
+    time can match: other days are not listed, other row groups not read.
+    """
+    span = span or fact_span(facts)
+    if span["rows"] == 0:
+        return MergeResult(0, 0)
     if span["timeless"]:
         target = table.read()
     else:
-        target = table.read_days(span["days"]).filter(time.between(span["first"], span["last"]))
-    return table.insert_new(facts, schemas.FACT_KEY, target)
+        in_span = F.col("event_ts").between(span["first"], span["last"])
+        target = table.read_days(span["days"]).filter(in_span)
+    return MergeResult(span["rows"], table.insert_new(facts, schemas.FACT_KEY, target))
