@@ -1,7 +1,7 @@
-"""The whole pipeline as lazy DataFrames over one input, for batch runs and backfills.
+"""The whole pipeline over one input, for batch runs and backfills.
 
-Nothing here runs an action. ``as_of`` defaults to the arrival time of each row, so the
-result does not depend on when it is computed.
+``as_of`` defaults to the arrival time of each row, so the result does not depend on when it
+is computed.
 """
 
 from __future__ import annotations
@@ -20,10 +20,23 @@ ARRIVAL = "kafka_timestamp"
 
 @dataclass(frozen=True)
 class BatchPipeline:
-    """Every table of the pipeline over ``messages``, each built when first asked for."""
+    """Every table of the pipeline over ``messages``, each built when first asked for.
+
+    With a ``folder``, bronze and silver are written there once and read back: what follows
+    them reads a column-pruned table instead of parsing and deduplicating the messages again
+    for every branch of its plan. Without one, everything stays lazy and nothing is written.
+    """
 
     messages: DataFrame
     settings: Settings = Settings()
+    folder: str | None = None
+
+    def _store(self, name: str, rows: DataFrame) -> DataFrame:
+        if not self.folder:
+            return rows
+        path = f"{self.folder}/{name}"
+        rows.write.mode("overwrite").parquet(path)
+        return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
     @property
     def as_of(self) -> Column:
@@ -31,7 +44,7 @@ class BatchPipeline:
 
     @cached_property
     def bronze(self) -> DataFrame:
-        return ingest.bronze_rows(self.messages)
+        return self._store("bronze", ingest.bronze_rows(self.messages))
 
     @cached_property
     def checked(self) -> DataFrame:
@@ -47,7 +60,7 @@ class BatchPipeline:
 
     @cached_property
     def silver(self) -> DataFrame:
-        return features.silver_rows(self.clean)
+        return self._store("silver", features.silver_rows(self.clean))
 
     @cached_property
     def rejects(self) -> DataFrame:
