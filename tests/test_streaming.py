@@ -1,0 +1,223 @@
+from __future__ import annotations
+
+import logging
+from dataclasses import replace
+from types import SimpleNamespace
+
+import pytest
+from conftest import TESTDATA, rows_of
+from pyspark.sql import functions as F
+
+from roadstream.plans.batch import BatchPipeline
+from roadstream.settings import Settings
+from roadstream.sources.feed import dirty_feed
+from roadstream.sources.streams import raw_stream, table_stream
+from roadstream.sources.tables import Table
+from roadstream.sources.warehouse import MergeResult, warehouse_tables
+from roadstream.streaming import jobs
+from roadstream.streaming.metrics import ProgressLog, batch_metrics, dq_breakdown, progress_line
+
+WALL_CLOCK = ("rejected_at", "ingested_at")
+
+
+@pytest.fixture(scope="module")
+def messages(spark):
+    return dirty_feed(spark.read.parquet(f"{TESTDATA}/events.parquet")).drop("key")
+
+
+@pytest.fixture
+def setup(tmp_path):
+    return Settings(warehouse=str(tmp_path / "warehouse"), raw_path=str(tmp_path / "raw"))
+
+
+def content(spark, settings):
+    return {
+        name: rows_of(table.read().drop(*WALL_CLOCK))
+        for name, table in warehouse_tables(spark, settings).items()
+    }
+
+
+def test_one_batch_equals_the_batch_pipeline_and_a_rerun_changes_nothing(spark, messages, setup):
+    messages.write.parquet(setup.raw_path)
+    jobs.run_available(spark, setup)
+    stored = content(spark, setup)
+    batch = BatchPipeline(messages)
+    assert stored["traffic_bronze"] == rows_of(batch.bronze)
+    assert stored["traffic_silver"] == rows_of(batch.silver)
+    assert stored["traffic_rejects"] == rows_of(batch.rejects.drop("rejected_at"))
+    assert stored["fact_traffic"] == rows_of(batch.fact.drop("ingested_at"))
+    assert stored["dim_zone"] == rows_of(batch.dim_zone)
+    assert stored["dim_road"] == rows_of(batch.dim_road)
+    assert len(stored["traffic_bronze"]) == len(stored["traffic_silver"]) + len(
+        stored["traffic_rejects"]
+    )
+    jobs.run_available(spark, setup)
+    assert content(spark, setup) == stored
+
+
+def test_many_batches_and_a_growing_source(spark, messages, setup):
+    """A duplicate that arrives in a later batch passes silver and is stopped by the merge."""
+    half = messages.filter("offset < 500")
+    rest = messages.filter("offset >= 500")
+    again = half.filter("offset < 100")
+    half.repartition(3).write.parquet(setup.raw_path)
+    setup = replace(setup, max_files_per_trigger=1)
+    jobs.run_available(spark, setup)
+    rest.write.mode("append").parquet(setup.raw_path)
+    again.write.mode("append").parquet(setup.raw_path)
+    jobs.run_available(spark, setup)
+    stored = content(spark, setup)
+    assert len(stored["traffic_bronze"]) == messages.count() + again.count()
+    assert len(stored["traffic_bronze"]) == len(stored["traffic_silver"]) + len(
+        stored["traffic_rejects"]
+    )
+    keys = [row[:3] + (row[5],) for row in stored["fact_traffic"]]
+    assert len(keys) == len(set(keys)) < len(stored["traffic_silver"])
+    everything = {row[:3] + (row[5],) for row in rows_of(BatchPipeline(messages).fact)}
+    assert everything <= set(keys)
+
+
+def test_replayed_silver_batch_replaces_its_rows(spark, messages, setup):
+    tables = warehouse_tables(spark, setup)
+    silver, rejects = tables["traffic_silver"], tables["traffic_rejects"]
+    bronze = BatchPipeline(messages).bronze
+
+    def process(frame, batch_id):
+        return jobs.process_silver_batch(frame, "run", batch_id, silver, rejects, setup)
+
+    first = process(bronze, 0)
+    once = rows_of(silver.read()), rows_of(rejects.read().drop("rejected_at"))
+    assert process(bronze, 0) == first
+    assert (rows_of(silver.read()), rows_of(rejects.read().drop("rejected_at"))) == once
+    process(bronze, 1)
+    assert silver.read().count() == 2 * len(once[0])
+    assert process(bronze.filter("false"), 2) is None
+
+
+def test_lost_gold_checkpoint_leaves_the_star_unchanged(spark, messages, setup):
+    messages.write.parquet(setup.raw_path)
+    jobs.run_available(spark, setup)
+    stored = content(spark, setup)
+    tables = warehouse_tables(spark, setup)
+    targets = [tables[name] for name in ("dim_zone", "dim_road", "fact_traffic")]
+    batch = tables["traffic_silver"].read().select(*jobs.GOLD_COLUMNS)
+    merged = jobs.process_gold_batch(batch, 0, *targets)
+    rows = len(stored["fact_traffic"])
+    assert merged == {
+        "dim_zone": MergeResult(5, 0),
+        "dim_road": MergeResult(4, 0),
+        "fact_traffic": MergeResult(rows, 0),
+    }
+    assert content(spark, setup) == stored
+    assert jobs.process_gold_batch(batch.filter("false"), 1, *targets) is None
+
+
+def test_half_written_gold_batch_is_completed(spark, messages, setup):
+    tables = warehouse_tables(spark, setup)
+    targets = [tables[name] for name in ("dim_zone", "dim_road", "fact_traffic")]
+    batch = BatchPipeline(messages).silver.select(*jobs.GOLD_COLUMNS)
+    jobs.process_gold_batch(batch.filter("hash(vehicle_id) % 2 = 0"), 0, *targets)
+    jobs.process_gold_batch(batch, 0, *targets)
+    wanted = BatchPipeline(messages).fact.drop("ingested_at")
+    assert rows_of(tables["fact_traffic"].read().drop("ingested_at")) == rows_of(wanted)
+
+
+def test_failing_batch_stops_the_query_and_is_replayed(spark, messages, setup, monkeypatch):
+    messages.write.parquet(setup.raw_path)
+    jobs.start_bronze(spark, setup, once=True).awaitTermination()
+    with monkeypatch.context() as patched:
+
+        def fail(*_):
+            raise RuntimeError("disk full")
+
+        patched.setattr(Table, "write_batch", fail)
+        with pytest.raises(Exception, match="disk full"):
+            jobs.start_silver(spark, setup, once=True).awaitTermination()
+    jobs.start_silver(spark, setup, once=True).awaitTermination()
+    assert content(spark, setup)["traffic_silver"] == rows_of(BatchPipeline(messages).silver)
+
+
+def test_wall_clock_rejects_old_events(spark, messages, setup):
+    tables = warehouse_tables(spark, setup)
+    metrics = jobs.process_silver_batch(
+        BatchPipeline(messages).bronze,
+        "run",
+        0,
+        tables["traffic_silver"],
+        tables["traffic_rejects"],
+        replace(setup, clock="now"),
+    )
+    assert metrics["out_rows"] == 0 and metrics["time_rejects"] == metrics["in_rows"]
+
+
+def test_metrics_overlap_and_add_up(messages):
+    labelled = BatchPipeline(messages).labelled
+    metrics = batch_metrics(labelled).first()
+    reasons = dict(rows_of(labelled.groupBy("reject_reason").count()))
+    assert metrics["in_rows"] == metrics["out_rows"] + metrics["quarantined_rows"]
+    assert metrics["out_rows"] == reasons["OK"]
+    assert metrics["duplicate_rejects"] == reasons["DUPLICATE_EVENT"]
+    assert metrics["speed_rejects"] == reasons["INVALID_SPEED"] + reasons["CORRUPT_JSON"]
+    assert metrics["time_rejects"] > reasons["INVALID_TIME"]
+    share = 100 * metrics["quarantined_rows"] / metrics["in_rows"]
+    assert metrics["reject_rate"] == pytest.approx(share, abs=0.051)
+    flags = dict(rows_of(dq_breakdown(labelled)))
+    assert flags["CORRUPT_JSON"] == metrics["flag_corrupt_json"]
+    empty = batch_metrics(labelled.filter("false")).first()
+    assert (empty["in_rows"], empty["reject_rate"]) == (0, 0.0)
+
+
+def test_gold_stream_never_reads_the_raw_text(spark, setup):
+    tables = warehouse_tables(spark, setup)
+    tables["traffic_silver"].create()
+    stream = table_stream(tables["traffic_silver"], jobs.GOLD_COLUMNS)
+    assert stream.isStreaming and stream.columns == list(jobs.GOLD_COLUMNS)
+
+
+def test_missing_kafka_connector_is_reported(spark, setup):
+    with pytest.raises(Exception, match="(?i)kafka"):
+        raw_stream(spark, replace(setup, raw_path=None))
+
+
+def test_progress_log(spark, messages, setup, caplog):
+    progress = SimpleNamespace(
+        name="bronze",
+        batchId=3,
+        numInputRows=10,
+        sink=SimpleNamespace(numOutputRows=9),
+        durationMs={"triggerExecution": 120},
+        processedRowsPerSecond=83.33,
+    )
+    expected = "bronze batch=3 | input_rows=10 written_rows=9 processing_ms=120 rows_per_sec=83.3"
+    assert progress_line(progress) == expected
+    empty = SimpleNamespace(**{**vars(progress), "sink": None, "durationMs": {}})
+    empty.processedRowsPerSecond = None
+    assert "written_rows=0 processing_ms=0 rows_per_sec=0.0" in progress_line(empty)
+
+    listener = ProgressLog(logging.getLogger("roadstream.progress"))
+    spark.streams.addListener(listener)
+    try:
+        with caplog.at_level(logging.INFO, "roadstream.progress"):
+            messages.write.parquet(setup.raw_path)
+            query = jobs.start_bronze(spark, setup, once=True)
+            query.awaitTermination()
+            for _ in range(100):
+                if "query ended" in caplog.text:
+                    break
+                query.awaitTermination(1)
+                __import__("time").sleep(0.1)
+    finally:
+        spark.streams.removeListener(listener)
+    assert f"bronze batch=0 | input_rows={messages.count()}" in caplog.text
+
+
+def test_interval_trigger(spark, messages, setup):
+    messages.write.parquet(setup.raw_path)
+    query = jobs.start_bronze(spark, replace(setup, bronze_trigger="1 second"))
+    try:
+        query.processAllAvailable()
+        assert query.isActive
+    finally:
+        query.stop()
+    table = warehouse_tables(spark, setup)["traffic_bronze"]
+    assert table.read().filter(F.col("raw_json").isNotNull()).count() == messages.count()

@@ -1,0 +1,123 @@
+from __future__ import annotations
+
+from datetime import datetime
+
+import pytest
+from conftest import rows_of
+
+from roadstream import schemas
+from roadstream.operators import star
+from roadstream.plans import views
+from roadstream.settings import Settings
+from roadstream.sources import catalog
+from roadstream.sources.warehouse import upsert_dim, upsert_fact, warehouse_tables
+
+COLUMNS = {
+    "v_hourly_congestion": "event_hour zone_type city_zone avg_congestion avg_speed event_count",
+    "v_road_performance": "road_id road_type speed_limit avg_speed avg_congestion total_events "
+    "peak_hour_events peak_pct",
+    "v_weather_impact": "weather avg_congestion avg_speed event_count pct_low_speed pct_high_speed",
+    "v_speed_distribution": "city_zone speed_band vehicle_count avg_congestion",
+    "v_zone_kpis": "city_zone zone_type traffic_risk avg_speed avg_congestion unique_vehicles "
+    "total_events peak_events first_event last_event",
+    "v_live_summary": "total_unique_vehicles avg_speed_kmh avg_congestion total_events "
+    "peak_hour_events pct_low_speed_traffic",
+    "v_reject_monitoring": "reject_reason rejected_rows first_seen last_seen",
+}
+WHEN = datetime(2026, 3, 24, 9, 30)
+
+
+def fact_row(vehicle, road, zone, speed, congestion, peak, band, weather="CLEAR", hour=9, minute=30):
+    return (
+        vehicle, road, zone, speed, congestion, WHEN.replace(hour=hour, minute=minute), peak, band, hour,
+        weather,
+        WHEN.date(), WHEN,
+    )
+
+
+@pytest.fixture
+def tables(spark):
+    fact = spark.createDataFrame(
+        [
+            fact_row("a", "R100", "CBD", 10, 1, 1, "LOW"),
+            fact_row("a", "R100", "CBD", 45, 2, 1, "MEDIUM", minute=31),
+            fact_row("b", "R100", "CBD", 90, 4, 0, "HIGH", "RAIN", 14),
+            fact_row("c", "R300", "SUBURB", 20, 5, 0, "LOW", "RAIN", 14),
+            fact_row("d", None, None, 20, 5, 0, "LOW", "RAIN", 14),
+        ],
+        schemas.FACT,
+    )
+    rejects = spark.createDataFrame([], schemas.REJECTS)
+    return {
+        "fact_traffic": fact,
+        "dim_zone": star.dim_zone(fact),
+        "dim_road": star.dim_road(fact),
+        "traffic_rejects": rejects,
+    }
+
+
+def test_view_values(tables):
+    bi = views.all_views(tables)
+    assert rows_of(bi["v_road_performance"]) == [
+        ("R100", "Highway", 100, 48.3, 2.33, 3, 2, 66.7),
+        ("R300", "City Road", 60, 20.0, 5.0, 1, 0, 0.0),
+    ]
+    assert rows_of(bi["v_hourly_congestion"]) == [
+        (14, "Commercial", "CBD", 4.0, 90.0, 1),
+        (14, "Residential", "SUBURB", 5.0, 20.0, 1),
+        (9, "Commercial", "CBD", 1.5, 27.5, 2),
+    ]
+    assert rows_of(bi["v_weather_impact"]) == [
+        ("CLEAR", 1.5, 27.5, 2, 50.0, 0.0),
+        ("RAIN", 4.67, 43.3, 3, 66.7, 33.3),
+    ]
+    kpis = {row["city_zone"]: row for row in bi["v_zone_kpis"].collect()}
+    assert set(kpis) == {"CBD", "SUBURB"}  # a NULL zone joins nothing
+    assert kpis["CBD"]["unique_vehicles"] == 2 and kpis["CBD"]["peak_events"] == 2
+    assert kpis["CBD"]["first_event"] == WHEN and kpis["CBD"]["last_event"] == WHEN.replace(hour=14)
+    assert rows_of(bi["v_live_summary"]) == [(4, 37.0, 3.4, 5, 2, 60.0)]
+    assert (None, "LOW", 1, 5.0) in rows_of(bi["v_speed_distribution"])
+
+
+def test_view_and_contract_columns(tables):
+    bi = views.all_views(tables)
+    for name, columns in COLUMNS.items():
+        assert bi[name].columns == columns.split()
+    assert dict(bi["bi_fact_traffic"].dtypes)["speed"] == "double"
+    assert "event_hour" in bi["bi_fact_traffic"].columns
+    assert dict(bi["v_road_performance"].dtypes)["peak_pct"] == "double"
+
+
+def test_views_of_empty_tables(tables):
+    empty = {name: table.filter("false") for name, table in tables.items()}
+    bi = views.all_views(empty)
+    assert rows_of(bi["v_live_summary"]) == [(0, None, None, 0, None, None)]
+    for name in COLUMNS:
+        if name != "v_live_summary":
+            assert bi[name].count() == 0
+
+
+def test_the_fact_is_aggregated_before_the_join(tables):
+    plan = views.all_views(tables)["v_zone_kpis"]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("Aggregate")
+
+
+def test_catalog_views_equal_dataframes(spark, tables, tmp_path):
+    settings = Settings(warehouse=str(tmp_path / "warehouse"), database="views_test")
+    stored = warehouse_tables(spark, settings)
+    catalog.register_warehouse(spark, settings, str(tmp_path / "database"))  # before any data
+    assert spark.table("views_test.v_live_summary").first()["total_events"] == 0
+    upsert_fact(tables["fact_traffic"], stored["fact_traffic"])
+    upsert_dim(tables["dim_zone"], stored["dim_zone"], "city_zone")
+    upsert_dim(tables["dim_road"], stored["dim_road"], "road_id")
+    stored["traffic_rejects"].write_batch(tables["traffic_rejects"], "run", 0)
+    catalog.refresh_warehouse(spark, settings)
+    for name, frame in views.all_views(tables).items():
+        view = spark.table(f"views_test.{name}")
+        assert view.columns == frame.columns
+        assert [f.dataType for f in view.schema] == [f.dataType for f in frame.schema], name
+        assert rows_of(view) == rows_of(frame), name
+    counts = dict(rows_of(catalog.verification_counts(spark, "views_test")))
+    assert counts == {"fact_traffic": 5, "dim_zone": 3, "dim_road": 3, "traffic_rejects": 0}
+    catalog.register_warehouse(spark, settings, str(tmp_path / "database"))  # again: no error
+    assert spark.catalog.currentDatabase() == "default"
