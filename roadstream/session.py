@@ -13,9 +13,10 @@ SPARK_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Fewer, fuller output files and reduce tasks rather than one per core.
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    # AQE swaps a sort-merge join for a hash join only once every build partition is known
-    # to be this small.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
+    # The adaptive planner takes a hash join over a sort-merge join, and spares the sort of
+    # the wide side, only where every build partition has proved to be this small. It ignores
+    # a limit below the advisory size.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
 }
 

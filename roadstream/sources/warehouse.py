@@ -40,7 +40,7 @@ class MergeResult:
 
 
 def upsert_dim(dimension: DataFrame, table: Table, key: str) -> MergeResult:
-    """Insert dimension rows whose key is new. A known key keeps its attributes.
+    """Insert dimension rows, one per key, whose key is new. A known key keeps its attributes.
 
     Counted first: nearly every batch brings no new key, and is then done without a write,
     which would leave an empty file behind.
