@@ -306,13 +306,17 @@ _SELECTS = {
         "SELECT 'dim_road', count(*) FROM dim_road UNION ALL "
         "SELECT 'traffic_rejects', count(*) FROM rejects",
     ),
-    "catalog_zone_kpis": (STAR, ZONE_KPIS),
-    "catalog_reject_monitoring": (SILVER, REJECT_MONITORING),
     "stream_bronze": (BRONZE, f"SELECT {PAYLOAD} FROM bronze"),
     "stream_silver": (SILVER, "SELECT * FROM silver"),
     "stream_rejects": (SILVER, "SELECT * EXCLUDE (rejected_at) FROM rejects"),
     "stream_dim_zone": (STAR, DIM_ZONE),
+    "stream_dim_road": (STAR, DIM_ROAD),
     "stream_fact": (STAR, "SELECT * EXCLUDE (ingested_at) FROM fact"),
 }
 
-ORACLE_SQL = {name: f"WITH {tables.strip()}\n{select}" for name, (tables, select) in _SELECTS.items()}
+# The views read through the catalog give what they give as DataFrames.
+_SELECTS.update(
+    {f"catalog_{name}": _SELECTS[name] for name in [*_SELECTS] if name.startswith(("bi_", "v_"))}
+)
+
+ORACLE_SQL = {name: f"WITH {base.strip()}\n{select}" for name, (base, select) in _SELECTS.items()}

@@ -26,7 +26,8 @@ DELTA_CONF = {
 }
 
 
-def build_session(app: str, settings: Settings) -> SparkSession:
+def build_session(app: str, settings: Settings, **more: str) -> SparkSession:
+    """A session with the pipeline's settings; ``more`` adds Spark options, dots as ``__``."""
     builder = SparkSession.builder.appName(app)
     if settings.master:
         builder = builder.master(settings.master)
@@ -38,6 +39,7 @@ def build_session(app: str, settings: Settings) -> SparkSession:
     if settings.hive_metastore_uri:
         conf["spark.hadoop.hive.metastore.uris"] = settings.hive_metastore_uri
         builder = builder.enableHiveSupport()
+    conf.update({key.replace("__", "."): value for key, value in more.items()})
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
