@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: text that a non-ANSI string-to-int cast reads by dropping its fraction.
-_FRACTIONAL = r"^\s*(?<sign>[+-]?)(?<whole>[0-9]*)[.][0-9]*\s*$"
+# Text that a non-ANSI string-to-int cast reads by dropping its fraction.
+_BLANK = r"[\s\p{Cntrl}]*"
+_FRACTIONAL = rf"^{_BLANK}(?<sign>[+-]?)(?<whole>[0-9]*)[.][0-9]*{_BLANK}$"
 
 
 def lenient_int(text: Column) -> Column:

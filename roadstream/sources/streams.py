@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StringType, StructField, StructType
 
 from roadstream.schemas import ENVELOPE
 from roadstream.settings import Settings
-from roadstream.sources.tables import Table
+from roadstream.sources.tables import BATCH_COLUMN, Table
 
 
 def raw_stream(spark: SparkSession, settings: Settings) -> DataFrame:
@@ -38,5 +39,12 @@ def table_stream(table: Table, columns=None) -> DataFrame:
     if table.format == "delta":
         reader = reader.option("ignoreChanges", "true")
     else:
-        reader = reader.schema(table.schema)
+        schema = table.schema
+        if table.batched:
+            # Declared, so that it does not matter whether a batch is there at the start.
+            schema = StructType([*schema.fields, StructField(BATCH_COLUMN, StringType())])
+            # A replayed batch puts new files in place of its old ones. A reader that had
+            # planned the old ones finds their rows in the new ones.
+            reader = reader.option("ignoreMissingFiles", "true")
+        reader = reader.schema(schema)
     return reader.load(table.path).select(*(columns or table.schema.names))

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import itertools
 from datetime import datetime, timezone
 
 import pytest
@@ -76,6 +77,24 @@ def test_lenient_int(spark, ansi):
     assert {row["text"]: row["value"] for row in result} == INTEGERS
 
 
+def test_lenient_int_equals_the_non_ansi_cast(spark):
+    """Short strings over the characters that matter, against Spark's own lenient cast."""
+    letters = ["", " ", "\t", "\x01", "+", "-", ".", "0", "7", "42", "e", "2147483648"]
+    texts = [("".join(parts),) for parts in itertools.product(letters, repeat=4)]
+    frame = spark.createDataFrame(texts, "text string").distinct()
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        pair = frame.select(
+            "text",
+            lenient_int(F.col("text")).alias("ours"),
+            F.col("text").cast("int").alias("legacy"),
+        )
+        different = pair.filter(~F.col("ours").eqNullSafe(F.col("legacy"))).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+    assert different == []
+
+
 def test_lenient_timestamp(spark):
     texts = {
         "2026-03-24T10:00:00+00:00": True,

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import logging
+import time
 from dataclasses import replace
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -137,6 +139,49 @@ def test_failing_batch_stops_the_query_and_is_replayed(spark, messages, setup, m
     assert content(spark, setup)["traffic_silver"] == rows_of(BatchPipeline(messages).silver)
 
 
+def test_gold_survives_a_silver_replay_under_its_feet(spark, messages, setup, monkeypatch):
+    """Gold has planned a batch over files that a silver replay then replaces."""
+    messages.write.parquet(setup.raw_path)
+    jobs.start_bronze(spark, setup, once=True).awaitTermination()
+    jobs.start_silver(spark, setup, once=True).awaitTermination()
+    with monkeypatch.context() as patched:
+
+        def fail(*_):
+            raise RuntimeError("lost")
+
+        patched.setattr(jobs, "process_gold_batch", fail)
+        with pytest.raises(Exception, match="lost"):
+            jobs.start_gold(spark, setup, once=True).awaitTermination()
+    tables = warehouse_tables(spark, setup)
+    silver = tables["traffic_silver"]
+    (directory,) = Path(silver.path).glob("batch_id=*")
+    run, batch = directory.name.removeprefix("batch_id=").rsplit("-", 1)
+    before = {path.name for path in directory.glob("*.parquet")}
+    bronze = tables["traffic_bronze"].read()
+    jobs.process_silver_batch(bronze, run, int(batch), silver, tables["traffic_rejects"], setup)
+    assert before.isdisjoint(path.name for path in directory.glob("*.parquet"))
+    jobs.start_gold(spark, setup, once=True).awaitTermination()
+    wanted = BatchPipeline(messages).fact.drop("ingested_at")
+    assert content(spark, setup)["fact_traffic"] == rows_of(wanted)
+
+
+def test_jobs_start_in_any_order(spark, messages, setup):
+    setup = replace(
+        setup, bronze_trigger="1 second", silver_trigger="1 second", gold_trigger="1 second"
+    )
+    Path(setup.raw_path).mkdir()
+    queries = [jobs.JOBS[name](spark, setup) for name in ("gold", "silver", "bronze")]
+    try:
+        messages.write.mode("append").parquet(setup.raw_path)
+        for query in reversed(queries):
+            query.processAllAvailable()
+        wanted = BatchPipeline(messages).fact.drop("ingested_at")
+        assert content(spark, setup)["fact_traffic"] == rows_of(wanted)
+    finally:
+        for query in queries:
+            query.stop()
+
+
 def test_wall_clock_rejects_old_events(spark, messages, setup):
     tables = warehouse_tables(spark, setup)
     metrics = jobs.process_silver_batch(
@@ -204,8 +249,7 @@ def test_progress_log(spark, messages, setup, caplog):
             for _ in range(100):
                 if "query ended" in caplog.text:
                     break
-                query.awaitTermination(1)
-                __import__("time").sleep(0.1)
+                time.sleep(0.1)
     finally:
         spark.streams.removeListener(listener)
     assert f"bronze batch=0 | input_rows={messages.count()}" in caplog.text
