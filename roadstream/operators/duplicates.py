@@ -6,7 +6,8 @@ map task there. Only then do the counts meet the full rows:
 
 * keys with very many copies meet them by broadcast; at most ``HOT_KEYS`` such keys are
   taken whatever the size of the input, and their rows are decided without a key shuffle;
-* all other keys meet them in an ordinary join, where no key is that large.
+* all other keys meet them in an ordinary join, where a key has less than ``HOT_COPIES`` rows
+  or at most one in ``HOT_KEYS`` of all rows.
 
 The repeated keys are repartitioned after the ``copies > 1`` filter, and both joins read that
 one exchange. Its size is therefore known to the adaptive planner before any full row moves:
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from roadstream.operators.quality import DUPLICATE_EVENT, OK, filter_clean_records, is_clean
 from roadstream.schemas import BRONZE, DUPLICATE_KEY
 
-HOT_KEYS = 256
+HOT_KEYS = 1024
 HOT_COPIES = 100_000
 
 

@@ -52,6 +52,14 @@ messages AS (
   WHERE copy = 1 OR fault = 3
 )"""
 
+DRAWS = """
+draws AS (
+  SELECT user_id, event_id,
+         CAST('0x' || substr(md5('dirty:0:' || event_id), 1, 8) AS BIGINT) AS dirty_draw,
+         CAST('0x' || substr(md5('fault:0:' || event_id), 1, 8) AS BIGINT) AS fault_draw
+  FROM events
+)"""
+
 BRONZE = FEED + """,
 bronze AS (
   SELECT raw_json, arrival AS kafka_timestamp, CAST(n % 3 AS INTEGER) AS kafka_partition,
@@ -183,6 +191,15 @@ _SELECTS = {
         "arrival AS kafka_timestamp, CAST(n % 3 AS INTEGER) AS kafka_partition, "
         "CAST(n AS BIGINT) AS kafka_offset FROM messages",
     ),
+    "feed_random_faults": (
+        DRAWS,
+        "SELECT 'veh-' || user_id AS vehicle_id, event_id AS \"offset\", "
+        "CASE WHEN dirty_draw % 1000000 < 300000 THEN CASE fault_draw % 9 "
+        "WHEN 0 THEN 'null_speed' WHEN 1 THEN 'negative_speed' WHEN 2 THEN 'extreme_speed' "
+        "WHEN 3 THEN 'duplicate_event' WHEN 4 THEN 'late_event' WHEN 5 THEN 'future_event' "
+        "WHEN 6 THEN 'wrong_datatype' WHEN 7 THEN 'schema_drift' ELSE 'corrupt_json' END "
+        "END AS fault FROM draws",
+    ),
     "envelope_decode": (
         BRONZE,
         "SELECT raw_json, kafka_timestamp, kafka_partition, kafka_offset FROM bronze",
@@ -312,6 +329,8 @@ _SELECTS = {
     "stream_dim_zone": (STAR, DIM_ZONE),
     "stream_dim_road": (STAR, DIM_ROAD),
     "stream_fact": (STAR, "SELECT * EXCLUDE (ingested_at) FROM fact"),
+    "stream_capped_rejects": (SILVER, "SELECT * EXCLUDE (rejected_at) FROM rejects"),
+    "stream_capped_fact": (STAR, "SELECT * EXCLUDE (ingested_at) FROM fact"),
 }
 
 # The views read through the catalog give what they give as DataFrames.

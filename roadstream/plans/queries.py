@@ -21,7 +21,7 @@ from roadstream.plans.batch import BatchPipeline
 from roadstream.schemas import BI_CONTRACTS, BRONZE
 from roadstream.settings import Settings
 from roadstream.sources import catalog
-from roadstream.sources.feed import dirty_feed
+from roadstream.sources.feed import clean_events, dirty_feed, random_faults
 from roadstream.sources.warehouse import upsert_dim, upsert_fact, warehouse_tables
 from roadstream.streaming.jobs import run_available
 from roadstream.streaming.metrics import batch_metrics, dq_breakdown
@@ -31,6 +31,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 MESSAGE = ("kafka_partition", "kafka_offset")
 FIRST_PART_UNTIL = "2024-01-20"
 SECOND_PART_FROM = "2024-01-10"
+STREAM_FILES = 3
 
 
 def workspace(spark: SparkSession) -> str:
@@ -89,6 +90,13 @@ def feed_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def feed_random_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which fault each event gets when a fixed share of all events is made dirty."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    events = clean_events(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    return events.select("vehicle_id", "offset", random_faults().alias("fault"))
+
+
 def envelope_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.decode_envelope(feed(spark, sf_dir))
 
@@ -232,7 +240,7 @@ def _bi(name: str) -> Query:
 
 
 def _run_streams(spark: SparkSession, sf_dir: str) -> Settings:
-    """Take the feed as files through the three streaming jobs."""
+    """Take the feed as files through the three streaming jobs, in one batch each."""
     folder = workspace(spark)
     settings = Settings(warehouse=f"{folder}/warehouse", raw_path=f"{folder}/raw")
     feed(spark, sf_dir).drop("key").write.parquet(settings.raw_path)
@@ -240,11 +248,23 @@ def _run_streams(spark: SparkSession, sf_dir: str) -> Settings:
     return settings
 
 
-def _streamed(table: str, *dropped: str) -> Query:
+def _run_capped_streams(spark: SparkSession, sf_dir: str) -> Settings:
+    """The same in several batches: one file at a time, all copies of a message in one file."""
+    folder = workspace(spark)
+    settings = Settings(
+        warehouse=f"{folder}/warehouse", raw_path=f"{folder}/raw", max_files_per_trigger=1
+    )
+    messages = feed(spark, sf_dir).drop("key").repartition(STREAM_FILES, "offset")
+    messages.write.parquet(settings.raw_path)
+    run_available(spark, settings)
+    return settings
+
+
+def _streamed(table: str, *dropped: str, runs: Callable = _run_streams) -> Query:
     """A table as the streaming jobs write it, without the columns that hold the wall clock."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        settings = _once("streamed", _run_streams, spark, sf_dir)
+        settings = _once(runs.__name__, runs, spark, sf_dir)
         return warehouse_tables(spark, settings)[table].read().drop(*dropped)
 
     return query
@@ -279,6 +299,7 @@ def _catalog_view(name: str) -> Query:
 
 QUERIES: dict[str, Query] = {
     "feed_dirty": feed_dirty,
+    "feed_random_faults": feed_random_faults,
     "envelope_decode": envelope_decode,
     "bronze_parse": bronze_parse,
     "dq_flags": dq_flags,
@@ -311,4 +332,8 @@ QUERIES: dict[str, Query] = {
     "stream_dim_zone": _streamed("dim_zone"),
     "stream_dim_road": _streamed("dim_road"),
     "stream_fact": _streamed("fact_traffic", "ingested_at"),
+    "stream_capped_rejects": _streamed(
+        "traffic_rejects", "rejected_at", runs=_run_capped_streams
+    ),
+    "stream_capped_fact": _streamed("fact_traffic", "ingested_at", runs=_run_capped_streams),
 }

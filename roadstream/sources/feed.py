@@ -56,13 +56,18 @@ def clean_events(events: DataFrame) -> DataFrame:
     )
 
 
+def _draw(seed: int, purpose: str) -> Column:
+    # MD5 rather than a Spark hash, so that any SQL engine can draw the same numbers.
+    digest = F.md5(F.concat_ws(":", F.lit(purpose), F.lit(seed), F.col("offset")).cast("binary"))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
+
+
 def random_faults(ratio: float = DIRTY_RATIO, seed: int = 0) -> Column:
     """Fault of a message, or NULL for a clean one: a share ``ratio``, spread by hash."""
     if not 0 <= ratio <= 1:
         raise ValueError("ratio must be between 0 and 1")
-    draw = F.pmod(F.xxhash64("offset", F.lit(seed)), F.lit(1_000_000))
-    kind = F.pmod(F.xxhash64("offset", F.lit(seed), F.lit("kind")), F.lit(len(FAULTS)))
-    return F.when(draw < round(ratio * 1_000_000), _pick(FAULTS, kind))
+    is_dirty = _draw(seed, "dirty") % 1_000_000 < round(ratio * 1_000_000)
+    return F.when(is_dirty, _pick(FAULTS, _draw(seed, "fault")))
 
 
 def error_faults() -> Column:
