@@ -7,6 +7,7 @@ is computed.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime, timezone
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
@@ -38,9 +39,11 @@ class BatchPipeline:
         rows.write.mode("overwrite").parquet(path)
         return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
-    @property
+    @cached_property
     def as_of(self) -> Column:
-        return F.col(ARRIVAL) if self.settings.clock == "arrival" else F.current_timestamp()
+        if self.settings.clock == "arrival":
+            return F.col(ARRIVAL)
+        return F.lit(datetime.now(timezone.utc))  # one instant for all tables
 
     @cached_property
     def bronze(self) -> DataFrame:
@@ -64,7 +67,7 @@ class BatchPipeline:
 
     @cached_property
     def rejects(self) -> DataFrame:
-        return duplicates.quarantine(self.checked, self.as_of)
+        return duplicates.stamp_rejects(duplicates.rejected_rows(self.labelled), self.as_of)
 
     @cached_property
     def dim_zone(self) -> DataFrame:

@@ -48,11 +48,6 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dirty_feed(spark.read.parquet(f"{sf_dir}/events.parquet"))
 
 
-def pipeline(spark: SparkSession, sf_dir: str) -> BatchPipeline:
-    """The pipeline over the feed, all lazy."""
-    return BatchPipeline(feed(spark, sf_dir))
-
-
 _BUILT: dict[tuple, object] = {}
 
 
@@ -67,6 +62,15 @@ def _once(kind: str, build: Callable, spark: SparkSession, sf_dir: str):
     return _BUILT[key]
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> BatchPipeline:
+    """The pipeline over the feed, all lazy."""
+
+    def build(spark: SparkSession, sf_dir: str) -> BatchPipeline:
+        return BatchPipeline(feed(spark, sf_dir))
+
+    return _once("lazy", build, spark, sf_dir)
+
+
 def stored_pipeline(spark: SparkSession, sf_dir: str) -> BatchPipeline:
     """The pipeline over the feed, with its bronze and silver tables in a folder."""
 
@@ -151,7 +155,8 @@ def deduped_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stored_pipeline(spark, sf_dir).rejects
+    checked = stored_pipeline(spark, sf_dir).checked
+    return duplicates.quarantine(checked, F.col("kafka_timestamp"))
 
 
 def feature_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
