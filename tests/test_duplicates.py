@@ -48,6 +48,7 @@ def test_copies_equal_brute_force(spark, pairs, hot):
 @pytest.mark.parametrize("hot", [2, 50, 10**6])
 def test_hot_key_equals_window(spark, broadcast_limit, hot):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast_limit)
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", broadcast_limit)
     try:
         number = F.col("id")
         frame = spark.range(3000).select(
@@ -64,6 +65,7 @@ def test_hot_key_equals_window(spark, broadcast_limit, hot):
         assert rows_of(single, "id") == rows_of(oracle.filter("copies = 1"), "id")
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "64m")
 
 
 def test_more_hot_keys_than_the_broadcast_takes(spark, monkeypatch):
@@ -81,6 +83,7 @@ def test_more_hot_keys_than_the_broadcast_takes(spark, monkeypatch):
 def test_rows_outside_the_count_spread_over_partitions(spark):
     """NULL keys of rejected rows must not meet in one task of the shuffle join."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         frame = spark.range(4000).select(
@@ -101,6 +104,7 @@ def test_rows_outside_the_count_spread_over_partitions(spark):
         assert sum(sizes) == 4000 and max(sizes) < 2000
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "64m")
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
@@ -120,7 +124,6 @@ def test_few_repeated_keys_move_no_full_row(spark, tmp_path, hot):
         F.repeat(F.lit("x"), 200).alias("raw_json"),
     ).write.parquet(path)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "10m")
     try:
         rows = spark.read.parquet(path)
         for operator in (duplicates.count_copies, duplicates.drop_repeated):
@@ -131,7 +134,6 @@ def test_few_repeated_keys_move_no_full_row(spark, tmp_path, hot):
             assert "ReusedExchange" in plan and plan.count("HashAggregate") in (0, 2)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
-        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
 
 
 def checked_batch(bronze):

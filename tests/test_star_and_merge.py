@@ -124,6 +124,7 @@ def test_upsert_fact_keys(silver, tables):
 @pytest.mark.parametrize("broadcast_limit", ["10m", "-1"])
 def test_one_batch_with_the_same_key_twice_inserts_it_once(spark, silver, tables, broadcast_limit):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast_limit)
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", broadcast_limit)
     try:
         batch = facts(silver(silver_row(speed=60), silver_row(speed=50), silver_row(day=2)))
         assert upsert_fact(batch, tables["fact_traffic"]) == MergeResult(3, 2)
@@ -132,6 +133,7 @@ def test_one_batch_with_the_same_key_twice_inserts_it_once(spark, silver, tables
         assert sorted(r["speed"] for r in tables["fact_traffic"].read().collect()) == [50, 50]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "64m")
 
 
 def test_upsert_fact_of_nothing(silver, tables):
