@@ -42,10 +42,14 @@ def workspace(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="roadstream-")
 
 
-def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The tables hold zone-less timestamps; the pipeline works on instants in UTC.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return dirty_feed(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    return spark.read.parquet(f"{sf_dir}/events.parquet")
+
+
+def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dirty_feed(events(spark, sf_dir))
 
 
 _BUILT: dict[tuple, object] = {}
@@ -53,6 +57,7 @@ _BUILT: dict[tuple, object] = {}
 
 def _once(kind: str, build: Callable, spark: SparkSession, sf_dir: str):
     """What ``build`` makes of the input, made once per session and state of the input."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     source = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/events.parquet")
     status = source.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(source)
     state = status.getLen(), status.getModificationTime()
@@ -96,9 +101,8 @@ def feed_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def feed_random_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which fault each event gets when a fixed share of all events is made dirty."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    events = clean_events(spark.read.parquet(f"{sf_dir}/events.parquet"))
-    return events.select("vehicle_id", "offset", random_faults().alias("fault"))
+    clean = clean_events(events(spark, sf_dir))
+    return clean.select("vehicle_id", "offset", random_faults().alias("fault"))
 
 
 def envelope_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
