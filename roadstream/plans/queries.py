@@ -19,6 +19,7 @@ from roadstream.operators import duplicates, features, ingest, quality, star
 from roadstream.plans import views
 from roadstream.plans.batch import BatchPipeline
 from roadstream.schemas import BI_CONTRACTS, BRONZE
+from roadstream.session import prepare_session
 from roadstream.settings import Settings
 from roadstream.sources import catalog
 from roadstream.sources.feed import clean_events, dirty_feed, random_faults
@@ -43,8 +44,7 @@ def workspace(spark: SparkSession) -> str:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The tables hold zone-less timestamps; the pipeline works on instants in UTC.
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    prepare_session(spark)  # the tables hold zone-less timestamps, read as instants in UTC
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
@@ -57,7 +57,7 @@ _BUILT: dict[tuple, object] = {}
 
 def _once(kind: str, build: Callable, spark: SparkSession, sf_dir: str):
     """What ``build`` makes of the input, made once per session and state of the input."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    prepare_session(spark)
     source = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/events.parquet")
     status = source.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(source)
     state = status.getLen(), status.getModificationTime()

@@ -6,9 +6,16 @@ from pyspark.sql import SparkSession
 
 from roadstream.settings import Settings
 
-SPARK_CONF = {
+# What the results and the stored tables depend on.
+TABLE_CONF = {
     # hour(), to_date() and offset-less timestamps all read the session zone.
     "spark.sql.session.timeZone": "UTC",
+    # The default, INT96, keeps no minimum and maximum: no row group could be skipped by time.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+}
+
+SPARK_CONF = {
+    **TABLE_CONF,
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Measured at run time, so wider than the estimate-based default of 10m.
@@ -28,6 +35,12 @@ DELTA_CONF = {
 }
 
 
+def prepare_session(spark: SparkSession) -> None:
+    """Give a session made elsewhere the settings that results and tables depend on."""
+    for key, value in TABLE_CONF.items():
+        spark.conf.set(key, value)
+
+
 def build_session(app: str, settings: Settings, **more: str) -> SparkSession:
     """A session with the pipeline's settings; ``more`` adds Spark options, dots as ``__``."""
     builder = SparkSession.builder.appName(app)

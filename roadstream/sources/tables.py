@@ -23,13 +23,17 @@ BATCH_COLUMN = "batch_id"
 
 @dataclass(frozen=True)
 class Table:
-    """A table directory: ``batched`` ones are written per micro-batch, others are merged."""
+    """A table directory: ``batched`` ones are written per micro-batch, others are merged.
+
+    Merged rows are sorted by ``sort_by`` within each file, for readers that filter on it.
+    """
 
     spark: SparkSession
     path: str
     schema: StructType
     format: str = "parquet"
     partition_by: tuple[str, ...] = ()
+    sort_by: tuple[str, ...] = ()
     batched: bool = False
 
     def _hadoop(self, location: str):
@@ -100,10 +104,15 @@ class Table:
             return self._merge_delta(incoming, keys)
         target = self.read() if target is None else target
         new = rows_to_insert(incoming, target, keys).select(*self.schema.names)
-        # Few files per partition value; the adaptive planner splits a value that holds much.
         added = Observation()
-        balanced = new.hint("rebalance", *self.partition_by) if self.partition_by else new
-        self._append(balanced.observe(added, F.count("*").alias("rows")))
+        if self.partition_by:
+            # Few files per partition value; AQE splits a value that holds much.
+            new = new.hint("rebalance", *self.partition_by)
+        new = new.observe(added, F.count("*").alias("rows"))
+        if self.partition_by or self.sort_by:
+            # The write sorts by partition anyway; this is the same sort, with more columns.
+            new = new.sortWithinPartitions(*self.partition_by, *self.sort_by)
+        self._append(new)
         return added.get["rows"]
 
     def _append(self, rows: DataFrame, **options) -> None:

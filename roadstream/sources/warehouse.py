@@ -12,22 +12,26 @@ from roadstream.operators.merge import offer_counts
 from roadstream.settings import Settings
 from roadstream.sources.tables import Table
 
-# Table directory -> (schema, partition columns, written per micro-batch?).
+# The tables of the warehouse, named as their directories.
 LAYOUT = {
-    "traffic_bronze": (schemas.BRONZE, (), False),
-    "traffic_silver": (schemas.SILVER, (), True),
-    "traffic_rejects": (schemas.REJECTS, (), True),
-    "dim_zone": (schemas.DIM_ZONE, (), False),
-    "dim_road": (schemas.DIM_ROAD, (), False),
-    "fact_traffic": (schemas.FACT, ("event_date",), False),
+    "traffic_bronze": {"schema": schemas.BRONZE},
+    "traffic_silver": {"schema": schemas.SILVER, "batched": True},
+    "traffic_rejects": {"schema": schemas.REJECTS, "batched": True},
+    "dim_zone": {"schema": schemas.DIM_ZONE},
+    "dim_road": {"schema": schemas.DIM_ROAD},
+    "fact_traffic": {
+        "schema": schemas.FACT,
+        "partition_by": ("event_date",),
+        "sort_by": ("event_ts",),
+    },
 }
 
 
 def warehouse_tables(spark: SparkSession, settings: Settings) -> dict[str, Table]:
     """Every table of the warehouse, whether it exists yet or not."""
     return {
-        name: Table(spark, settings.table_path(name), schema, settings.table_format, parts, batched)
-        for name, (schema, parts, batched) in LAYOUT.items()
+        name: Table(spark, settings.table_path(name), format=settings.table_format, **shape)
+        for name, shape in LAYOUT.items()
     }
 
 

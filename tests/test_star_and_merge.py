@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
+import pyarrow.parquet as pq
 import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
@@ -151,6 +152,31 @@ def test_read_days_reads_only_those_directories(silver, tables):
     assert table.read_days([date(2030, 1, 1)]).count() == 0
 
 
+def test_stored_facts_can_be_skipped_by_time(spark, silver, tables):
+    """Files are sorted by event time and carry its range; the merge filter reaches the scan."""
+    table = tables["fact_traffic"]
+    rows = [silver_row(vehicle=f"v{i}", hour=(7 * i) % 24, day=1 + i % 2) for i in range(48)]
+    batch = facts(silver(*rows).repartition(4))
+    upsert_fact(batch, table)
+    files = [path.removeprefix("file://") for path in table.read().inputFiles()]
+    assert len(files) == 2
+    for path in files:
+        times = pq.read_table(path, columns=["event_ts"]).column(0).to_pylist()
+        assert times == sorted(times)
+        group = pq.ParquetFile(path).metadata.row_group(0)
+        (column,) = [
+            group.column(i)
+            for i in range(group.num_columns)
+            if group.column(i).path_in_schema == "event_ts"
+        ]
+        assert column.statistics.has_min_max
+    span = F.col("event_ts").between(datetime(2026, 3, 1, 5), datetime(2026, 3, 1, 7))
+    narrowed = table.read_days([date(2026, 3, 1)]).filter(span)
+    plan = narrowed._jdf.queryExecution().executedPlan().toString()
+    pushed = next(line for line in plan.splitlines() if "PushedFilters" in line)
+    assert "GreaterThanOrEqual(event_ts" in pushed and "LessThanOrEqual(event_ts" in pushed
+
+
 def test_grouping_and_merge_join_share_one_shuffle(spark, silver, tables):
     upsert_fact(facts(silver(silver_row())), tables["fact_traffic"])
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
