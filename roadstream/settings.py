@@ -66,9 +66,9 @@ class Settings:
 
     def __post_init__(self):
         if self.clock not in ("arrival", "now"):
-            raise ValueError(f"clock must be 'arrival' or 'now', not {self.clock!r}")
+            raise ValueError(f"unknown clock {self.clock!r}: arrival or now")
         if self.table_format not in ("parquet", "delta"):
-            raise ValueError(f"table_format must be 'parquet' or 'delta', not {self.table_format!r}")
+            raise ValueError(f"unknown table_format {self.table_format!r}: parquet or delta")
 
     @classmethod
     def from_env(cls, environ: Mapping[str, str] = os.environ) -> Settings:

@@ -51,11 +51,11 @@ def test_hot_key_equals_window(spark, broadcast_limit, hot):
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", broadcast_limit)
     try:
         number = F.col("id")
+        is_hot = number % 3 == 0
+        vehicle = F.when(is_hot, "hot").otherwise(F.concat(F.lit("v"), number % 700))
+        second = F.when(is_hot, 0).otherwise(number % 11)
         frame = spark.range(3000).select(
-            number,
-            F.when(number % 3 == 0, "hot").otherwise(F.concat(F.lit("v"), number % 700))
-            .alias("vehicle_id"),
-            F.timestamp_seconds(F.when(number % 3 == 0, 0).otherwise(number % 11)).alias("event_ts"),
+            number, vehicle.alias("vehicle_id"), F.timestamp_seconds(second).alias("event_ts")
         )
         window = Window.partitionBy("vehicle_id", "event_ts")
         oracle = frame.withColumn("copies", F.count("*").over(window))

@@ -11,7 +11,8 @@ STAMP = datetime(2026, 3, 24, 10, 0)
 
 
 def parse(spark, *texts):
-    rows = [(text.encode() if text is not None else None, STAMP, 1, i) for i, text in enumerate(texts)]
+    values = [None if text is None else text.encode() for text in texts]
+    rows = [(value, STAMP, 1, number) for number, value in enumerate(values)]
     return bronze_rows(spark.createDataFrame(rows, ENVELOPE)).orderBy("kafka_offset").collect()
 
 

@@ -12,9 +12,10 @@ from roadstream.operators import merge, star
 from roadstream.settings import Settings
 from roadstream.sources.warehouse import MergeResult, upsert_dim, upsert_fact, warehouse_tables
 
-SILVER = "vehicle_id string, road_id string, city_zone string, speed_int int, " \
-    "congestion_level int, event_ts timestamp, peak_flag int, speed_band string, hour int, " \
-    "weather string"
+SILVER = (
+    "vehicle_id string, road_id string, city_zone string, speed_int int, congestion_level int, "
+    "event_ts timestamp, peak_flag int, speed_band string, hour int, weather string"
+)
 
 
 def silver_row(vehicle="v", road="R100", zone="CBD", speed=50, day=1, hour=9):

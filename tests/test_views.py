@@ -27,12 +27,10 @@ COLUMNS = {
 WHEN = datetime(2026, 3, 24, 9, 30)
 
 
-def fact_row(vehicle, road, zone, speed, congestion, peak, band, weather="CLEAR", hour=9, minute=30):
-    return (
-        vehicle, road, zone, speed, congestion, WHEN.replace(hour=hour, minute=minute), peak, band, hour,
-        weather,
-        WHEN.date(), WHEN,
-    )
+def fact_row(vehicle, road, zone, speed, level, peak, band, weather="CLEAR", hour=9, minute=30):
+    when = WHEN.replace(hour=hour, minute=minute)
+    place = (vehicle, road, zone)
+    return (*place, speed, level, when, peak, band, hour, weather, when.date(), WHEN)
 
 
 @pytest.fixture
