@@ -7,9 +7,8 @@ import pytest
 from conftest import TESTDATA, rows_of
 
 import __spark_entry__ as entry_points
-
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+from roadstream.plans.oracle import ORACLE_SQL as ORACLES
+from roadstream.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -21,6 +20,8 @@ def oracle():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLES) <= set(entry_points.oracle_sql())
 
 
 @pytest.mark.parametrize("name", QUERIES)
