@@ -5,30 +5,78 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadstream.llm import mixing, topk
+from roadstream.llm import fingerprints, language, lines, mixing, packing, tokens, topk
 from roadstream.llm.common import ROW, table
 
 
+def _documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", "text", *columns)
+
+
 def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best of all vectors for every vector whose id is divisible by 100."""
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return topk.top_k(vectors, vectors.where(F.col("vec_id") % 100 == 0))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that stand on ten or more sources."""
+    made = lines.without_spread_lines(_documents(spark, sf_dir, "source"))
+    return made.select(
+        f"{ROW}.doc_id", "n_lines", "n_removed", F.col("clean_text").alias("text")
+    )
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and tokens within, beyond and cut at every encoded length that occurs."""
+    return tokens.length_table(tokens.lengths(_documents(spark, sf_dir)))
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces, packed into sequences of 1024 tokens."""
+    return packing.pack(_documents(spark, sf_dir))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from three quarters of the labelled ones."""
+    docs = _documents(spark, sf_dir, "lang")
+    held_out = language.id_hash(F.col("doc_id")) % 4 == 2
+    model = language.learn(docs.where(~held_out))
+    found = language.identify(docs.select("doc_id", "text"), model)
+    return found.select(
+        "doc_id",
+        F.coalesce(held_out, F.lit(False)).alias("held_out"),
+        "__lang.lang_pred",
+        "__lang.score",
+        "__lang.margin",
+        "__lang.rejected",
+    )
+
+
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of an edited copy, and how alike they are."""
+    return fingerprints.edit_probe(_documents(spark, sf_dir))
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the words that the mix takes of it."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    mix = mixing.sample_copies(docs, keep=["doc_id"])
+    mix = mixing.sample_copies(_documents(spark, sf_dir, "source"), keep=["doc_id"])
     taken = (F.col("copies") * F.col("size")).alias("taken")
     return mix.select(f"{ROW}.doc_id", "size", "source_size", "target", taken)
 
 
 QUERIES = {
     "op3_exact_top_k": op3_exact_top_k,
+    "op4_line_dedup": op4_line_dedup,
+    "op5_token_counts": op5_token_counts,
+    "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_language_id": op7_language_id,
+    "op8_fingerprints": op8_fingerprints,
     "op10_mix_sources": op10_mix_sources,
 }
 
 ORACLE_SQL = {
     "op3_exact_top_k": topk.SQL,
+    "op4_line_dedup": lines.SQL,
     "op10_mix_sources": mixing.SQL,
 }
