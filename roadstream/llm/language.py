@@ -12,26 +12,26 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-LEVEL = 3
+LEVEL = 6
 # The sample the dictionaries are made of: so many labelled texts a language, chosen by hash of
 # their id, and so many characters of each. The model's size is bounded by these two and by the
 # number of languages, whatever the size of the input.
-SAMPLE_TEXTS = 160
-SAMPLE_CHARS = 1500
-DICTIONARY_BYTES = 110 << 10
+SAMPLE_TEXTS = 320
+SAMPLE_CHARS = 3000
+DICTIONARY_BYTES = 400 << 10
 MARGIN = 0.002  # share of the encoded size by which the runner-up must be larger
 SHARPNESS = 0.25  # how fast the score rises with the difference in bytes
 UNKNOWN = "und"
 
-LETTER = re.compile(r"[^\W\d_]")
+NO_LETTERS = re.compile(r"[\W\d_]+")
 
 
-def id_hash(doc_id: Column) -> Column:
-    """The number that deals rows into learning and held-out rows."""
-    return F.crc32(doc_id.cast("string"))
+def letters(text: str) -> str:
+    """The words of a text in lower case; digits, signs and layout say little about a language."""
+    return NO_LETTERS.sub(" ", text.lower()).strip()
 
 
 def learn(
@@ -45,9 +45,11 @@ def learn(
 ) -> dict[str, bytes]:
     """A dictionary for every language of ``labelled``, from a bounded sample of its rows.
 
+    Languages come in descending order of their number of labelled rows, which decides ties.
     Rows without text, letters or language teach nothing; copies of a text count once in the
     sample. Without any labelled row the model is empty.
     """
+    counts = labelled.groupBy(F.col(lang).alias("lang")).count().where("lang IS NOT NULL")
     rows = labelled.select(
         F.col(lang).alias("lang"),
         F.substring(F.col(text), 1, chars).alias("text"),
@@ -56,8 +58,9 @@ def learn(
     order = Window.partitionBy("lang").orderBy("order", "text")
     sample = rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= texts)
     chosen: dict[str, dict[str, None]] = {}
-    for row in sample.orderBy("lang", "place").collect():  # at most ``texts`` a language
-        chosen.setdefault(row["lang"], {})[row["text"]] = None
+    sample = sample.join(counts, "lang").orderBy(F.desc("count"), "lang", "place")
+    for row in sample.collect():  # at most ``texts`` a language
+        chosen.setdefault(row["lang"], {})[letters(row["text"])] = None
     return {
         name: "\n".join(found).encode()[:DICTIONARY_BYTES] for name, found in chosen.items()
     }
@@ -84,7 +87,7 @@ def _compressors(model: tuple[tuple[str, bytes], ...], level: int):
 
 
 def encoded_sizes(text: str, model: tuple[tuple[str, bytes], ...], level: int = LEVEL) -> list[int]:
-    data = text.encode()
+    data = letters(text).encode()
     return [len(c.compress(data)) for _, c in _compressors(model, level)]
 
 
@@ -93,8 +96,8 @@ def decide(
 ) -> tuple[str, float, float, bool]:
     """(language, score, margin, rejected). Score is the weight of the choice among all languages,
     each weighing less by its extra bytes. A null text, or one without a letter, is unknown, with
-    score 0, and so is every text if nothing was learned. Ties go to the first name."""
-    if text is None or not model or not LETTER.search(text):
+    score 0, and so is every text if nothing was learned. Ties go to the first of the model."""
+    if text is None or not model or not letters(text):
         return UNKNOWN, 0.0, 0.0, True
     sizes = np.array(encoded_sizes(text, model), dtype=float)
     best = int(sizes.argmin())
@@ -118,7 +121,7 @@ def identify(
 
     Only the text decides. Every row keeps its columns, and repeated rows stay repeated.
     """
-    held = tuple(sorted(model.items()))
+    held = tuple(model.items())
 
     @F.pandas_udf(RESULT)
     def guess(texts: pd.Series) -> pd.DataFrame:

@@ -5,8 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadstream.llm import fingerprints, language, lines, mixing, packing, tokens, topk
-from roadstream.llm.common import ROW, table
+from roadstream.llm import (
+    fingerprints,
+    language,
+    lines,
+    mixing,
+    packing,
+    tokens,
+    topk,
+    toxicity,
+)
+from roadstream.llm.common import ROW, id_hash, table
 
 
 def _documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
@@ -40,7 +49,7 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from three quarters of the labelled ones."""
     docs = _documents(spark, sf_dir, "lang")
-    held_out = language.id_hash(F.col("doc_id")) % 4 == 2
+    held_out = id_hash(F.col("doc_id")) % 4 == 2
     model = language.learn(docs.where(~held_out))
     found = language.identify(docs.select("doc_id", "text"), model)
     return found.select(
@@ -58,6 +67,17 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edit_probe(_documents(spark, sf_dir))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document, learned from four fifths of the labelled ones."""
+    docs = _documents(spark, sf_dir)
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    held_out = id_hash(F.col("doc_id")) % 5 == 0
+    model = toxicity.learn(docs, labels.where(~held_out))
+    return toxicity.score(docs, model).select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted"
+    )
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the words that the mix takes of it."""
     mix = mixing.sample_copies(_documents(spark, sf_dir, "source"), keep=["doc_id"])
@@ -72,6 +92,7 @@ QUERIES = {
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_language_id": op7_language_id,
     "op8_fingerprints": op8_fingerprints,
+    "op9_toxicity": op9_toxicity,
     "op10_mix_sources": op10_mix_sources,
 }
 
