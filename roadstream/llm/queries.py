@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from roadstream.llm import (
     fingerprints,
+    jaccard,
     language,
     lines,
     mixing,
@@ -22,6 +23,13 @@ def _documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text", *columns)
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of near-duplicates of every document and the number of its links."""
+    return jaccard.similar_classes(_documents(spark, sf_dir)).select(
+        "doc_id", "class_id", "n_links", "n_texts"
+    )
+
+
 def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best of all vectors for every vector whose id is divisible by 100."""
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
@@ -86,6 +94,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op3_exact_top_k": op3_exact_top_k,
     "op4_line_dedup": op4_line_dedup,
     "op5_token_counts": op5_token_counts,
