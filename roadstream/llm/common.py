@@ -24,16 +24,17 @@ def id_hash(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string"))
 
 
-def use_shared_checkpoints(spark: SparkSession) -> None:
-    """Checkpoints go where the cluster says (spark.checkpoint.dir); a folder of our own is
-    taken only where the setting is absent, as in local tests."""
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names for files all executors share (spark.checkpoint.dir).
+    A folder of our own is taken only where the setting is absent, as in local tests."""
     context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None)
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="llm-checkpoints-"))
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="llm-checkpoints-"))
+    return (named or context.getCheckpointDir()).rstrip("/")
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` read back from the shared checkpoint folder, its lineage cut."""
-    use_shared_checkpoints(df.sparkSession)
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)

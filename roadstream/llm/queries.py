@@ -12,6 +12,7 @@ from roadstream.llm import (
     lines,
     mixing,
     packing,
+    suffixes,
     tokens,
     topk,
     toxicity,
@@ -23,6 +24,19 @@ def _documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text", *columns)
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the 200-byte strings that occur twice."""
+    made = suffixes.without_repeats(_documents(spark, sf_dir))
+    gone = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
+    return made.select(
+        "doc_id",
+        "n_bytes",
+        gone.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of near-duplicates of every document and the number of its links."""
     return jaccard.similar_classes(_documents(spark, sf_dir)).select(
@@ -94,6 +108,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op3_exact_top_k": op3_exact_top_k,
     "op4_line_dedup": op4_line_dedup,
