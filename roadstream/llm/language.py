@@ -8,10 +8,11 @@ decision is rejected.
 from __future__ import annotations
 
 import re
-from functools import lru_cache
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -66,45 +67,41 @@ def learn(
     }
 
 
-@lru_cache(maxsize=2)
-def _compressors(model: tuple[tuple[str, bytes], ...], level: int):
-    import zstandard
+Coders = list[tuple[str, zstandard.ZstdCompressor]]
 
+
+def coders(model: dict[str, bytes], level: int = LEVEL) -> Coders:
+    """An encoder for each language of ``model``, in its order."""
     made = []
-    for name, content in model:
+    for name, content in model.items():
         held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         held.precompute_compress(level=level)
-        made.append(
-            (
-                name,
-                zstandard.ZstdCompressor(
-                    level=level, dict_data=held, write_content_size=False, write_checksum=False,
-                    write_dict_id=False,
-                ),
-            )
+        coder = zstandard.ZstdCompressor(
+            level=level,
+            dict_data=held,
+            write_content_size=False,
+            write_checksum=False,
+            write_dict_id=False,
         )
+        made.append((name, coder))
     return made
 
 
-def encoded_sizes(text: str, model: tuple[tuple[str, bytes], ...], level: int = LEVEL) -> list[int]:
-    data = letters(text).encode()
-    return [len(c.compress(data)) for _, c in _compressors(model, level)]
-
-
 def decide(
-    text: str | None, model: tuple[tuple[str, bytes], ...], margin: float = MARGIN
+    text: str | None, languages: Coders, margin: float = MARGIN
 ) -> tuple[str, float, float, bool]:
     """(language, score, margin, rejected). Score is the weight of the choice among all languages,
     each weighing less by its extra bytes. A null text, or one without a letter, is unknown, with
     score 0, and so is every text if nothing was learned. Ties go to the first of the model."""
-    if text is None or not model or not letters(text):
+    data = letters(text or "").encode()
+    if not data or not languages:
         return UNKNOWN, 0.0, 0.0, True
-    sizes = np.array(encoded_sizes(text, model), dtype=float)
+    sizes = np.array([len(coder.compress(data)) for _, coder in languages], dtype=float)
     best = int(sizes.argmin())
     score = 1.0 / float(np.exp(-SHARPNESS * np.minimum(sizes - sizes[best], 700.0)).sum())
     others = np.delete(sizes, best)
     lead = float((others.min() - sizes[best]) / others.min()) if len(others) else 1.0
-    return model[best][0], score, lead, lead < margin
+    return languages[best][0], score, lead, lead < margin
 
 
 RESULT = "lang_pred string, score double, margin double, rejected boolean"
@@ -121,12 +118,12 @@ def identify(
 
     Only the text decides. Every row keeps its columns, and repeated rows stay repeated.
     """
-    held = tuple(model.items())
 
     @F.pandas_udf(RESULT)
-    def guess(texts: pd.Series) -> pd.DataFrame:
-        found = [decide(t, held, margin) for t in texts]
-        return pd.DataFrame(found, columns=["lang_pred", "score", "margin", "rejected"])
+    def guess(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        languages = coders(model)
+        for texts in batches:
+            found = [decide(t, languages, margin) for t in texts]
+            yield pd.DataFrame(found, columns=["lang_pred", "score", "margin", "rejected"])
 
     return docs.withColumn("__lang", guess(F.col(f"`{text}`")))
-
