@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +21,14 @@ def packed(df: DataFrame, columns: list[str] | None = None) -> Column:
     return F.struct(*[F.col(f"`{c}`") for c in (columns or df.columns)]).alias(ROW)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of a few rows: a batch may hold 10,000 long texts, and Python should
+    have only some of them as objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def id_hash(doc_id: Column) -> Column:
     """The number that deals rows into learning and held-out rows."""
     return F.crc32(doc_id.cast("string"))

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadstream.llm.common import checkpointed
+from roadstream.llm.common import checkpointed, slices
 from roadstream.llm.deepshallow import sort_strings
 from roadstream.llm.shingles import _BASE, _BYTES, _INVERSE, U, mixed, powers
 
@@ -310,7 +310,8 @@ def text_tag(text):
     return F.shiftrightunsigned(F.xxhash64(text), 40)
 
 
-CLEANED = "n_bytes long, spans array<struct<begin:long,end:long>>, kept binary"
+CLEANED = "doc_id long, n_bytes long, spans array<struct<begin:long,end:long>>, kept binary"
+SPANS = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
 
 
 def without_repeats(
@@ -324,30 +325,42 @@ def without_repeats(
     across texts. Null texts are empty. Repeated rows are copies of each other and lose all of
     their strings. Null ids are allowed. An empty table gives no rows.
     """
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     tagged = texts.select("doc_id", text_tag(F.col("text")).alias("tag"), "text")
     spans = repeated_spans(tagged, length=length, gram=gram, hot=hot)
     lists = spans.groupBy("doc_id", "tag").agg(F.collect_list("span").alias("spans"))
     lists = lists.select(F.col("doc_id").alias("held_id"), F.col("tag").alias("held_tag"), "spans")
 
-    @F.pandas_udf(CLEANED)
-    def clean(text: pd.Series, found: pd.Series) -> pd.DataFrame:
-        out = []
-        for data, places in zip(map(str.encode, text), found, strict=True):
-            marks = np.zeros(len(data) + 1, dtype=np.int32)
-            if places is not None and len(places):
-                places = np.asarray(places, dtype=np.int64)
-                np.add.at(marks, places >> 9, 1)
-                np.add.at(marks, (places >> 9) + (places & 511), -1)
-            gone = _runs(np.cumsum(marks[:-1]) > 0)
-            edges = [0, *gone.ravel().tolist(), len(data)]
-            kept = b"".join(data[b:e] for b, e in zip(edges[::2], edges[1::2], strict=True))
-            out.append((len(data), [{"begin": b, "end": e} for b, e in gone.tolist()], kept))
-        return pd.DataFrame(out, columns=["n_bytes", "spans", "kept"])
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            sizes, removed, kept = [], [], []
+            found = batch.column("spans")
+            for i, text in enumerate(batch.column("text")):
+                data = text.as_py().encode()
+                marks = np.zeros(len(data) + 1, dtype=np.int32)
+                if found[i].is_valid:
+                    places = found[i].values.to_numpy()
+                    np.add.at(marks, places >> 9, 1)
+                    np.add.at(marks, (places >> 9) + (places & 511), -1)
+                gone = _runs(np.cumsum(marks[:-1]) > 0)
+                edges = [0, *gone.ravel().tolist(), len(data)]
+                sizes.append(len(data))
+                removed.append([{"begin": b, "end": e} for b, e in gone.tolist()])
+                pairs = zip(edges[::2], edges[1::2], strict=True)
+                kept.append(b"".join(data[b:e] for b, e in pairs))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(removed, SPANS),
+                    pa.array(kept, pa.binary()),
+                ],
+                names=["doc_id", "n_bytes", "spans", "kept"],
+            )
 
     same = F.expr("doc_id <=> held_id AND tag = held_tag")
     return (
         tagged.join(lists, same, "left")
-        .select("doc_id", clean("text", "spans").alias("__made"))
-        .select("doc_id", "__made.*")
+        .select("doc_id", "text", "spans")
+        .mapInArrow(clean, CLEANED)
     )
