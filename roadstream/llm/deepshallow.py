@@ -119,13 +119,7 @@ def sort_strings(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     head = _padded(strings, width)
     words = head.view(">u8").reshape(n, SHALLOW).astype(np.uint64)
     order, start = shallow_sort(words)
-    # Common prefixes within the shallow part; the trie gives those beyond.
-    sorted_bytes = head[order].view(np.uint8).reshape(n, width)
-    differ = sorted_bytes[1:] != sorted_bytes[:-1]
-    shared = np.where(differ.any(axis=1), differ.argmax(axis=1), width)
-    length = np.array([len(strings[i]) for i in order])
     lcp = np.zeros(n, dtype=np.int64)
-    lcp[1:] = np.minimum(shared, np.minimum(length[1:], length[:-1]))
     first = np.flatnonzero(np.r_[True, start[1:] != start[:-1]])
     size = np.diff(np.r_[first, n])
     for low, many in zip(first[size > 1].tolist(), size[size > 1].tolist(), strict=True):
@@ -133,7 +127,6 @@ def sort_strings(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         inside, prefix = blind_trie([strings[i] for i in here])
         order[low : low + many] = here[inside]
         lcp[low + 1 : low + many] = prefix[1:]
-    if len(first) > 1:  # a trie may have put another string first; prefixes of ends may be shorter
-        for low in first[1:].tolist():
-            lcp[low] = min(lcp[low], common_prefix(strings[order[low - 1]], strings[order[low]]))
+    for low in first[1:].tolist():
+        lcp[low] = common_prefix(strings[order[low - 1]], strings[order[low]])
     return order, lcp
