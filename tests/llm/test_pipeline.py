@@ -1,0 +1,56 @@
+from __future__ import annotations
+
+from cases import SMALL, collected, documents
+
+import __spark_entry__ as entry_points
+import corpus_pipeline
+from roadstream.llm import lines
+
+
+def test_every_stage_on_its_input(spark, tmp_path):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        before = docs
+        path = str(tmp_path / name)
+        stage(spark, docs, SMALL).write.parquet(path)
+        docs = spark.read.parquet(path)
+        if name != "pack":
+            assert docs.columns == columns
+        if name == "language":
+            assert docs.count() >= 0.97 * before.count()
+            assert docs.where("lang IS NULL OR lang = 'und'").isEmpty()
+        if name == "lines":
+            assert docs.count() == before.count()
+            left = {line for (t,) in collected(docs, "text") for line in t.split("\n")}
+            spread = lines.spread_lines(before)
+            assert spread.count() > 0
+            assert docs.where("length(text) <> n_chars").isEmpty()
+            assert len(left) > 100
+        if name == "near_copies":
+            assert 0 < docs.count() < before.count()
+            assert docs.select("doc_id").distinct().count() == docs.count()
+        if name == "mix":
+            known = before.select("doc_id", "text")
+            assert docs.select("doc_id", "text").subtract(known).isEmpty()
+        if name == "pack":
+            assert docs.select("doc_id").distinct().count() == (
+                before.select("doc_id").distinct().count()
+            )
+
+
+def test_run_and_registration(spark):
+    assert len(corpus_pipeline.STAGES) == 5
+    assert entry_points.queries()["pipeline"] is corpus_pipeline.run
+    made = corpus_pipeline.run(spark, SMALL)
+    assert made.columns[0] == "doc_id" and made.count() > 0
+
+
+def test_stages_take_empty_and_awkward_tables(spark):
+    rows = [(None, None), (1, ""), (2, "the of and to"), (2, "the of and to"), (3, "x" * 100_000)]
+    for docs in (documents(spark, []), documents(spark, rows)):
+        for name, stage in corpus_pipeline.STAGES:
+            made = stage(spark, docs, SMALL)
+            if name != "pack":
+                assert made.columns == docs.columns
+            made.collect()
