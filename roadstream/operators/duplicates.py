@@ -2,16 +2,19 @@
 
 The copies of a key are counted by a plain aggregation over the two key columns, which
 Spark combines before the shuffle, so a key that holds a third of the rows is one row per
-map task there. Only then do the counts meet the full rows:
+map task there. Only then do the counts meet the full rows, and there no key may fill a task,
+however many keys are hot:
 
-* keys with very many copies meet them by broadcast; at most ``HOT_KEYS`` such keys are
-  taken whatever the size of the input, and their rows are decided without a key shuffle;
-* all other keys meet them in an ordinary join, where a key has less than ``HOT_COPIES`` rows
-  or at most one in ``HOT_KEYS`` of all rows.
+* keys are hashed into ``BUCKETS`` buckets, and a bucket gets as many slots as it holds times the
+  average number of rows of a bucket, so all slots together are at most twice the buckets;
+* a row goes to one of its bucket's slots by a hash of the whole row, and the repeated keys of the
+  bucket are there in each of its slots.
 
-The repeated keys are repartitioned after the ``copies > 1`` filter, and both joins read that
-one exchange. Its size is therefore known to the adaptive planner before any full row moves:
-when the repeated keys fit its broadcast limit, the rows are not shuffled at all.
+The slots of the buckets are the only thing broadcast, at most ``BUCKETS`` rows of two numbers.
+
+The repeated keys are repartitioned after the ``copies > 1`` filter. Their size is therefore known
+to the adaptive planner before any full row moves: when they fit its broadcast limit, the rows are
+not shuffled at all.
 
 The keys of the counted rows must not be NULL; the quality rules guarantee that for clean
 rows.
@@ -19,88 +22,85 @@ rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadstream.operators.quality import DUPLICATE_EVENT, OK, filter_clean_records, is_clean
+from roadstream.operators.quality import DUPLICATE_EVENT, OK, is_clean
 from roadstream.schemas import BRONZE, DUPLICATE_KEY
 
-HOT_KEYS = 1024
-HOT_COPIES = 100_000
-
+BUCKETS = 4096
 
-def _slot(keys) -> Column:
-    return F.xxhash64(*keys)
 
+def _bucket(keys) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
 
-def repeated_keys(rows: DataFrame, keys=DUPLICATE_KEY) -> DataFrame:
-    """Keys that occur more than once, with how often, placed by key and hash of the key.
 
-    The NULL tests are what the joins below would add by themselves; stated here, they make
-    the plans of both uses equal, so that Spark counts once and reuses the exchange.
-    """
+def key_counts(rows: DataFrame, keys=DUPLICATE_KEY) -> DataFrame:
+    """How often each key occurs, with its bucket."""
     for key in keys:
         rows = rows.filter(F.col(key).isNotNull())
-    counts = rows.groupBy(*keys).agg(F.count("*").alias("copies")).filter(F.col("copies") > 1)
-    return counts.withColumn("slot", _slot(keys)).repartition(*keys, "slot")
+    counts = rows.groupBy(*keys).agg(F.count("*").alias("copies"))
+    return counts.withColumn("bucket", _bucket(keys))
 
 
-def _hottest(repeated: DataFrame, hot_copies: int) -> DataFrame:
-    # The limit comes before the threshold, which could otherwise move below the exchange.
-    hottest = repeated.orderBy(F.desc("copies")).limit(HOT_KEYS)
-    hot = hottest.filter(F.col("copies") >= hot_copies)
-    return F.broadcast(hot.withColumnRenamed("copies", "hot_copies").drop("slot"))
+def bucket_slots(counts: DataFrame) -> DataFrame:
+    """How many slots each bucket gets: its rows over the average of all buckets, rounded up."""
+    load = counts.groupBy("bucket").agg(F.sum("copies").alias("load"))
+    everything = Window.partitionBy().rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing
+    )
+    share = F.col("load") / F.sum("load").over(everything)  # a window over the buckets
+    slots = load.select("bucket", F.ceil(share * BUCKETS).cast("int").alias("slots"))
+    return F.broadcast(slots)
+
+
+def _with_copies(rows: DataFrame, among: Column, keys) -> DataFrame:
+    """``rows`` with ``found``: the copies of a repeated key, NULL for every other row."""
+    counts = key_counts(rows.filter(among), keys)
+    slots = bucket_slots(counts)
+    every_slot = F.explode(F.sequence(F.lit(0), F.col("slots") - 1))
+    repeated = (
+        counts.filter(F.col("copies") > 1)
+        .join(slots, "bucket")
+        .select(*keys, F.col("copies").alias("found"), every_slot.alias("slot"))
+        .repartition(*keys, "slot")
+    )
+    own = F.xxhash64(F.spark_partition_id(), *rows.columns)
+    placed = rows.withColumn("bucket", F.when(among, _bucket(keys))).join(slots, "bucket", "left")
+    # Rows outside the count need no partner; numbers below zero spread them and match nothing.
+    slot = F.coalesce(F.pmod(own, F.col("slots")), -1 - F.pmod(own, F.lit(1 << 30))).cast("int")
+    return placed.withColumn("slot", slot).join(repeated, [*keys, "slot"], "left")
 
 
-def count_copies(
-    df: DataFrame,
-    among: Column | None = None,
-    keys=DUPLICATE_KEY,
-    hot_copies: int = HOT_COPIES,
-) -> DataFrame:
+def count_copies(df: DataFrame, among: Column | None = None, keys=DUPLICATE_KEY) -> DataFrame:
     """Add ``copies``: how many rows share this row's key, counted over rows where ``among``.
 
-    Rows outside ``among`` get 1. They and the rows of hot keys need no partner; their slot is
-    taken from the whole row, so that NULL or hot keys do not gather in one task.
+    Rows outside ``among`` get 1.
     """
     among = F.lit(True) if among is None else F.coalesce(among, F.lit(False))
-    repeated = repeated_keys(df.filter(among), keys)
-    marked = df.join(_hottest(repeated, hot_copies), list(keys), "left")
-    waiting = among & F.col("hot_copies").isNull()
-    own_slot = F.xxhash64(F.spark_partition_id(), *df.columns)
-    slotted = marked.withColumn("slot", F.when(waiting, _slot(keys)).otherwise(own_slot))
-    counted = slotted.join(repeated, [*keys, "slot"], "left")
-    copies = F.when(among, F.coalesce("hot_copies", "copies"))
-    return counted.select(*df.columns, F.coalesce(copies, F.lit(1)).cast("long").alias("copies"))
+    counted = _with_copies(df, among, keys)
+    return counted.select(*df.columns, F.coalesce("found", F.lit(1)).cast("long").alias("copies"))
 
 
-def drop_repeated(rows: DataFrame, keys=DUPLICATE_KEY, hot_copies: int = HOT_COPIES) -> DataFrame:
-    """Rows whose key occurs once. Rows of hot keys leave before anything is shuffled."""
-    repeated = repeated_keys(rows, keys)
-    cooled = rows.join(_hottest(repeated, hot_copies), list(keys), "left_anti")
-    slotted = cooled.withColumn("slot", _slot(keys)).join(repeated, [*keys, "slot"], "left")
-    return slotted.filter(F.col("copies").isNull()).select(*rows.columns)
+def drop_repeated(rows: DataFrame, keys=DUPLICATE_KEY) -> DataFrame:
+    """Rows whose key occurs once."""
+    return _with_copies(rows, F.lit(True), keys).filter("found IS NULL").select(*rows.columns)
 
 
-def label_duplicates(checked: DataFrame, hot_copies: int = HOT_COPIES) -> DataFrame:
+def label_duplicates(checked: DataFrame) -> DataFrame:
     """Turn the reason of every copy of a repeated clean row into DUPLICATE_EVENT."""
-    counted = count_copies(checked, is_clean(), hot_copies=hot_copies)
+    counted = count_copies(checked, is_clean())
     reason = F.when(F.col("copies") > 1, DUPLICATE_EVENT).otherwise(F.col("reject_reason"))
     return counted.withColumn("reject_reason", reason).drop("copies")
 
 
-def duplicate_events(checked: DataFrame) -> DataFrame:
-    """Every copy of a repeated clean row."""
-    copies = count_copies(filter_clean_records(checked))
-    return (
-        copies.filter(F.col("copies") > 1)
-        .drop("copies")
-        .withColumn("reject_reason", F.lit(DUPLICATE_EVENT))
-    )
+def duplicate_events(labelled: DataFrame) -> DataFrame:
+    """Every copy of a repeated clean row, of rows that label_duplicates has labelled."""
+    return labelled.filter(F.col("reject_reason") == DUPLICATE_EVENT)
 
 
 def rejected_rows(checked: DataFrame) -> DataFrame:
-    """Rows that fail a row-level rule."""
+    """Rows that fail a rule."""
     return checked.filter(F.col("reject_reason") != OK)
 
 
@@ -111,8 +111,3 @@ def stamp_rejects(rejected: DataFrame, rejected_at: Column | None = None) -> Dat
     kept = [c for c in BRONZE.names if c in rejected.columns]
     return rejected.select(*kept, *verdict, stamp.alias("rejected_at"))
 
-
-def quarantine(checked: DataFrame, rejected_at: Column | None = None) -> DataFrame:
-    """All rejected rows: those failing a row-level rule, and all duplicates."""
-    union = rejected_rows(checked).unionByName(duplicate_events(checked), allowMissingColumns=True)
-    return stamp_rejects(union, rejected_at)
