@@ -6,20 +6,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _key(keys):
+    return F.struct(*keys).alias("merge_key")
+
+
 def one_per_key(rows: DataFrame, keys) -> DataFrame:
     """One row per key, NULL keys included; of several, the smallest, whatever the run.
 
-    The minimum is combined before the shuffle, so a hot key stays one row per map task.
+    Keys are counted first, by hash and without the other columns. Rows whose key occurs once, as
+    good as all, pass as they are; only rows of repeated keys are compared, and their minimum
+    is combined before the shuffle, so that a hot key is one row per map task.
     """
+    keys = list(keys)
     rest = [c for c in rows.columns if c not in keys]
-    key = F.struct(*keys).alias("merge_key")
     if not rest:
-        grouped = rows.select(key).distinct()
-        return grouped.select("merge_key", "merge_key.*")
-    grouped = rows.groupBy(key).agg(F.min(F.struct(*rest)).alias("merge_row"))
-    return grouped.select("merge_key", "merge_key.*", "merge_row.*").select(
-        "merge_key", *rows.columns
-    )
+        return rows.distinct()
+    counts = rows.groupBy(_key(keys)).agg(F.count("*").alias("n"))
+    repeated = counts.filter("n > 1").select("merge_key")
+    keyed = rows.withColumn("merge_key", _key(keys))
+    single = keyed.join(repeated, "merge_key", "left_anti").select(*rows.columns)
+    several = keyed.join(repeated, "merge_key", "left_semi")
+    least = several.groupBy("merge_key").agg(F.min(F.struct(*rest)).alias("merge_row"))
+    return single.union(least.select("merge_key.*", "merge_row.*").select(*rows.columns))
 
 
 def offer_counts(incoming: DataFrame, target: DataFrame, keys) -> DataFrame:
@@ -35,10 +43,11 @@ def offer_counts(incoming: DataFrame, target: DataFrame, keys) -> DataFrame:
 def rows_to_insert(incoming: DataFrame, target: DataFrame, keys) -> DataFrame:
     """Incoming rows, one per key, whose key the target does not hold.
 
-    Both sides are matched on a struct of the key columns: two structs are equal when their
-    fields are, NULL included, so a rerun inserts nothing even for NULL roads or zones, and
-    grouping and join share one shuffle of the incoming rows.
+    What the target holds leaves first. Both sides are matched on a struct of the key columns:
+    two structs are equal when their fields are, NULL included, so a rerun inserts nothing even
+    for NULL roads or zones.
     """
     keys = list(keys)
-    held = target.select(F.struct(*keys).alias("merge_key"))
-    return one_per_key(incoming, keys).join(held, "merge_key", "left_anti").drop("merge_key")
+    held = target.select(_key(keys))
+    new = incoming.withColumn("merge_key", _key(keys)).join(held, "merge_key", "left_anti")
+    return one_per_key(new.select(*incoming.columns), keys)

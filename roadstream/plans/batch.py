@@ -23,9 +23,10 @@ ARRIVAL = "kafka_timestamp"
 class BatchPipeline:
     """Every table of the pipeline over ``messages``, each built when first asked for.
 
-    With a ``folder``, bronze and silver are written there once and read back: what follows
-    them reads a column-pruned table instead of parsing and deduplicating the messages again
-    for every branch of its plan. Without one, everything stays lazy and nothing is written.
+    With a ``folder``, the checked rows and silver are written there once and read back: what
+    follows them reads a column-pruned table instead of parsing and deduplicating the messages
+    again for every branch of its plan; copies are counted over flags and keys alone. Without
+    one, everything stays lazy and nothing is written.
     """
 
     messages: DataFrame
@@ -47,11 +48,11 @@ class BatchPipeline:
 
     @cached_property
     def bronze(self) -> DataFrame:
-        return self._store("bronze", ingest.bronze_rows(self.messages))
+        return ingest.bronze_rows(self.messages)
 
     @cached_property
     def checked(self) -> DataFrame:
-        return quality.check_rows(self.bronze, self.settings, self.as_of)
+        return self._store("checked", quality.check_rows(self.bronze, self.settings, self.as_of))
 
     @cached_property
     def labelled(self) -> DataFrame:

@@ -60,6 +60,7 @@ FACT = _struct(
 )
 
 # Keys.
+MESSAGE_KEY = ("kafka_partition", "kafka_offset", "kafka_timestamp")
 DUPLICATE_KEY = ("vehicle_id", "event_ts")
 FACT_KEY = ("vehicle_id", "road_id", "city_zone", "event_ts")
 

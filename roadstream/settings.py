@@ -15,11 +15,15 @@ ENVIRONMENT = {
     "KAFKA_TOPIC": "kafka_topic",
     "KAFKA_STARTING_OFFSETS": "starting_offsets",
     "KAFKA_MIN_PARTITIONS": "kafka_min_partitions",
+    "KAFKA_FAIL_ON_DATA_LOSS": "fail_on_data_loss",
     "MAX_OFFSETS_PER_TRIGGER": "max_offsets_per_trigger",
     "RAW_PATH": "raw_path",
+    "RAW_MAX_FILE_AGE": "raw_max_file_age",
     "MAX_FILES_PER_TRIGGER": "max_files_per_trigger",
+    "MAX_TABLE_FILES_PER_TRIGGER": "max_table_files_per_trigger",
     "HIVE_METASTORE_URI": "hive_metastore_uri",
     "WAREHOUSE_PATH": "warehouse",
+    "CHECKPOINT_PATH": "checkpoints",
     "TABLE_FORMAT": "table_format",
     "CATALOG_DATABASE": "database",
     "BRONZE_TRIGGER_INTERVAL": "bronze_trigger",
@@ -43,14 +47,20 @@ class Settings:
 
     kafka_servers: str = "kafka:9092"
     kafka_topic: str = "traffic-topic"
-    starting_offsets: str = "latest"
+    starting_offsets: str = "earliest"  # of the first start; afterwards the checkpoint holds them
     kafka_min_partitions: int | None = None  # read a topic with more tasks than partitions
-    max_offsets_per_trigger: int = 2000
+    fail_on_data_loss: str = "true"  # "false" goes on where expired messages are lost
+    # Duplicates are judged within a micro-batch, so every limit on its size also sets how far
+    # apart two copies may be to reject each other; the fact merge stops those further apart.
+    max_offsets_per_trigger: int | None = None
     raw_path: str | None = None  # set: read envelope files from here instead of Kafka
-    max_files_per_trigger: int | None = None
+    raw_max_file_age: str = "36500d"  # files older than the newest by more than this are skipped
+    max_files_per_trigger: int | None = None  # of the raw files
+    max_table_files_per_trigger: int = 1000  # of the bronze or silver table in one micro-batch
 
     hive_metastore_uri: str | None = None
-    warehouse: str = "/opt/spark/warehouse"
+    warehouse: str | None = None  # a folder that every executor reaches; jobs need it
+    checkpoints: str | None = None  # None: a folder of the warehouse
     table_format: str = "parquet"  # or "delta" when the connector is installed
     database: str = "mobility"
 
@@ -82,7 +92,9 @@ class Settings:
         return cls(**given)
 
     def table_path(self, table: str) -> str:
+        if not self.warehouse:
+            raise ValueError("no warehouse: set WAREHOUSE_PATH to a folder that all machines share")
         return f"{self.warehouse}/{table}"
 
     def checkpoint_path(self, job: str) -> str:
-        return f"{self.warehouse}/chk/{job}"
+        return f"{self.checkpoints or self.table_path('chk')}/{job}"

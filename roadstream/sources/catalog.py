@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from roadstream.plans import views
 from roadstream.schemas import BI_CONTRACTS
 from roadstream.settings import Settings
-from roadstream.sources.tables import BATCH_COLUMN, Table
+from roadstream.sources.tables import Table
 from roadstream.sources.warehouse import warehouse_tables
 
 REGISTERED = ("fact_traffic", "dim_zone", "dim_road", "traffic_rejects")
@@ -27,12 +27,8 @@ def register_table(spark: SparkSession, name: str, table: Table) -> None:
     if table.format == "delta":
         spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING delta LOCATION '{table.path}'")
         return
-    columns = [f"{field.name} {field.dataType.simpleString()}" for field in table.schema]
-    partitions = list(table.partition_by)
-    if table.batched:
-        columns.append(f"{BATCH_COLUMN} string")
-        partitions.append(BATCH_COLUMN)
-    by = f"PARTITIONED BY ({', '.join(partitions)}) " if partitions else ""
+    columns = [f"{field.name} {field.dataType.simpleString()}" for field in table.stored_schema]
+    by = f"PARTITIONED BY ({', '.join(table.partition_by)}) " if table.partition_by else ""
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({', '.join(columns)}) USING parquet "
         f"{by}LOCATION '{table.path}'"
@@ -42,11 +38,30 @@ def register_table(spark: SparkSession, name: str, table: Table) -> None:
 
 def refresh_table(spark: SparkSession, name: str, table: Table) -> None:
     """Make files and partitions written since registration visible."""
-    if table.partition_by or table.batched:
+    if table.partition_by:
         spark.catalog.recoverPartitions(name)
     spark.catalog.refreshTable(name)
 
 
+def show_new_rows(settings: Settings, name: str, table: Table, days) -> None:
+    """Make rows just written visible in the catalog, if the table is registered there.
+
+    Only the ``days`` written are added, so the cost does not grow with the table; all of them
+    if the days are not known (None). Delta tables need nothing.
+    """
+    spark, full = table.spark, f"{settings.database}.{name}"
+    if table.format == "delta" or not spark.catalog.tableExists(full):
+        return
+    if days is None:
+        refresh_table(spark, full, table)
+        return
+    if table.partition_by and days:
+        column = table.partition_by[0]
+        parts = " ".join(f"PARTITION ({column} = DATE'{day}')" for day in sorted(days))
+        spark.sql(f"ALTER TABLE {full} ADD IF NOT EXISTS {parts}")
+    spark.catalog.refreshTable(full)
+
+
 def refresh_warehouse(spark: SparkSession, settings: Settings) -> None:
     """Refresh every registered table. Delta tables need none."""
     if settings.table_format != "delta":

@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StringType, StructField, StructType
 
 from roadstream.schemas import ENVELOPE
 from roadstream.settings import Settings
-from roadstream.sources.tables import BATCH_COLUMN, Table
+from roadstream.sources.tables import Table
 
 
 def raw_stream(spark: SparkSession, settings: Settings) -> DataFrame:
@@ -18,6 +17,7 @@ def raw_stream(spark: SparkSession, settings: Settings) -> DataFrame:
     """
     if settings.raw_path:
         reader = spark.readStream.schema(ENVELOPE)
+        reader = reader.option("maxFileAge", settings.raw_max_file_age)
         if settings.max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", settings.max_files_per_trigger)
         return reader.parquet(settings.raw_path)
@@ -25,26 +25,22 @@ def raw_stream(spark: SparkSession, settings: Settings) -> DataFrame:
         "kafka.bootstrap.servers": settings.kafka_servers,
         "subscribe": settings.kafka_topic,
         "startingOffsets": settings.starting_offsets,
-        "maxOffsetsPerTrigger": settings.max_offsets_per_trigger,
-        "failOnDataLoss": "false",
+        "failOnDataLoss": settings.fail_on_data_loss,
     }
+    if settings.max_offsets_per_trigger:
+        options["maxOffsetsPerTrigger"] = settings.max_offsets_per_trigger
     if settings.kafka_min_partitions:
         options["minPartitions"] = settings.kafka_min_partitions
     return spark.readStream.format("kafka").options(**options).load()
 
 
-def table_stream(table: Table, columns=None) -> DataFrame:
-    """Rows as a table grows. Columns left out here are never read from the files."""
+def table_stream(table: Table, settings: Settings, columns=None) -> DataFrame:
+    """Rows as a table grows, so many files at a time. Columns left out are never read."""
     reader = table.spark.readStream.format(table.format)
+    reader = reader.option("maxFilesPerTrigger", settings.max_table_files_per_trigger)
     if table.format == "delta":
         reader = reader.option("ignoreChanges", "true")
     else:
-        schema = table.schema
-        if table.batched:
-            # Declared, so that it does not matter whether a batch is there at the start.
-            schema = StructType([*schema.fields, StructField(BATCH_COLUMN, StringType())])
-            # A replayed batch puts new files in place of its old ones. A reader that had
-            # planned the old ones finds their rows in the new ones.
-            reader = reader.option("ignoreMissingFiles", "true")
-        reader = reader.schema(schema)
+        # Declared, so that it does not matter whether there is a file at the start.
+        reader = reader.schema(table.stored_schema).option("maxFileAge", "36500d")
     return reader.load(table.path).select(*(columns or table.schema.names))

@@ -1,9 +1,7 @@
 """Tables as directories of Parquet, or as Delta tables when that connector is installed.
 
-Two ways to write, both safe to repeat:
-
-* ``write_batch`` replaces what the same micro-batch wrote before;
-* ``insert_new`` adds only rows whose key the table lacks.
+Both ways to write are safe to repeat: ``insert_new`` adds only rows whose key the table lacks, and
+``append`` is given only rows that it lacks (``sources.warehouse.unstored``).
 """
 
 from __future__ import annotations
@@ -14,18 +12,17 @@ from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, StructField, StructType
 
 from roadstream.operators.merge import one_per_key, rows_to_insert
 
-BATCH_COLUMN = "batch_id"
-
 
 @dataclass(frozen=True)
 class Table:
-    """A table directory: ``batched`` ones are written per micro-batch, others are merged.
+    """A table directory.
 
-    Merged rows are sorted by ``sort_by`` within each file, for readers that filter on it.
+    Rows are sorted by ``sort_by`` within each file, for readers that filter on it. ``day_of`` is
+    the time column whose date, not a column of the schema, partitions the table.
     """
 
     spark: SparkSession
@@ -34,7 +31,13 @@ class Table:
     format: str = "parquet"
     partition_by: tuple[str, ...] = ()
     sort_by: tuple[str, ...] = ()
-    batched: bool = False
+    day_of: str | None = None
+
+    @property
+    def stored_schema(self) -> StructType:
+        """The schema with the partition columns that are not part of it."""
+        extra = [StructField(c, DateType()) for c in self.partition_by if c not in self.schema.names]
+        return StructType([*self.schema.fields, *extra])
 
     def _hadoop(self, location: str):
         path = self.spark._jvm.org.apache.hadoop.fs.Path(location)
@@ -53,7 +56,7 @@ class Table:
         """Make an empty table unless there is one, so that streams and views can start on it."""
         if self.format == "delta":
             if not self.exists():
-                self._append(self.spark.createDataFrame([], self.schema))
+                self._append(self.spark.createDataFrame([], self.stored_schema))
         else:
             files, path = self._hadoop(self.path)
             files.mkdirs(path)
@@ -64,7 +67,7 @@ class Table:
             return self.spark.createDataFrame([], self.schema)
         reader = self.spark.read.format(self.format)
         if self.format != "delta":
-            reader = reader.schema(self.schema)
+            reader = reader.schema(self.stored_schema)
         return reader.load(self.path).select(*self.schema.names)
 
     def read_days(self, days: Iterable[date]) -> DataFrame:
@@ -79,53 +82,57 @@ class Table:
         files, path = self._hadoop(pattern)
         if not files.globStatus(path):
             return self.spark.createDataFrame([], self.schema)
-        reader = self.spark.read.schema(self.schema).option("basePath", self.path)
+        reader = self.spark.read.schema(self.stored_schema).option("basePath", self.path)
         return reader.parquet(pattern).select(*self.schema.names)
 
-    def write_batch(self, rows: DataFrame, run: str, batch: int) -> None:
-        """Write a micro-batch, replacing whatever an earlier attempt at it left.
-
-        ``run`` names the streaming query for as long as its checkpoint lives, so a batch
-        number that starts over after the checkpoint is gone replaces nothing.
-        """
-        if self.format == "delta":
-            once = {"txnAppId": f"{run}:{self.path}", "txnVersion": str(batch)}
-            self._append(rows, mergeSchema="true", **once)
-        else:
-            rows.write.mode("overwrite").parquet(f"{self.path}/{BATCH_COLUMN}={run}-{batch}")
-
-    def insert_new(self, incoming: DataFrame, keys, target: DataFrame | None = None) -> int:
+    def insert_new(
+        self, incoming: DataFrame, keys, target: DataFrame | None = None, within: str = ""
+    ) -> int:
         """Add the incoming rows whose key the table lacks; how many were added.
 
-        ``target`` is the part of the table that can hold those keys, if not all of it. A
-        repeated or half-finished write is completed by running it again.
+        ``target`` is the part of the table that can hold those keys, if not all of it, and
+        ``within`` the same as a condition on a Delta table called ``held``. A repeated or
+        half-finished write is completed by running it again.
         """
         if self.format == "delta":
-            return self._merge_delta(incoming, keys)
+            return self._merge_delta(incoming, keys, within)
         target = self.read() if target is None else target
-        new = rows_to_insert(incoming, target, keys).select(*self.schema.names)
         added = Observation()
-        if self.partition_by:
-            # Few files per partition value; AQE splits a value that holds much.
-            new = new.hint("rebalance", *self.partition_by)
-        new = new.observe(added, F.count("*").alias("rows"))
-        if self.partition_by or self.sort_by:
-            # The write sorts by partition anyway; this is the same sort, with more columns.
-            new = new.sortWithinPartitions(*self.partition_by, *self.sort_by)
-        self._append(new)
+        new = rows_to_insert(incoming, target, keys).select(*self.schema.names)
+        self.append(new, counted_by=added)
         return added.get["rows"]
 
+    def append(
+        self, rows: DataFrame, counted_by: Observation | None = None, **options
+    ) -> None:
+        """Add rows: few files per partition value, each sorted."""
+        if self.day_of:
+            rows = rows.withColumn(self.partition_by[0], F.to_date(self.day_of))
+        if self.format != "delta":
+            if self.partition_by:
+                # AQE splits a value that holds much.
+                rows = rows.hint("rebalance", *self.partition_by)
+            if counted_by:
+                rows = rows.observe(counted_by, F.count("*").alias("rows"))
+            if self.partition_by or self.sort_by:
+                # The write sorts by partition anyway; this is the same sort, with more columns.
+                rows = rows.sortWithinPartitions(*self.partition_by, *self.sort_by)
+        self._append(rows, **options)
+
     def _append(self, rows: DataFrame, **options) -> None:
         writer = rows.write.format(self.format).mode("append").options(**options)
         writer.partitionBy(*self.partition_by).save(self.path)
 
-    def _merge_delta(self, incoming: DataFrame, keys) -> int:
+    def _merge_delta(self, incoming: DataFrame, keys, within: str) -> int:
         from delta.tables import DeltaTable  # optional connector
 
         self.create()
         source = one_per_key(incoming, keys).select(*self.schema.names)
-        match = " AND ".join(f"held.{key} <=> new.{key}" for key in keys)
+        match = " AND ".join([f"held.{key} <=> new.{key}" for key in keys] + [within] * bool(within))
         table = DeltaTable.forPath(self.spark, self.path)
-        table.alias("held").merge(source.alias("new"), match).whenNotMatchedInsertAll().execute()
-        metrics = table.history(1).select("operationMetrics.numTargetRowsInserted").first()
-        return int(metrics[0] or 0)
+        merge = table.alias("held").merge(source.alias("new"), match).whenNotMatchedInsertAll()
+        result = merge.execute()  # newer connectors return the counts of this very merge
+        if result is None:
+            metrics = table.history(1).select("operationMetrics.numTargetRowsInserted").first()
+            return int(metrics[0] or 0)
+        return int(result.first()["num_inserted_rows"] or 0)

@@ -1,15 +1,17 @@
-"""Quality metrics of a batch, and progress lines of a streaming query."""
+"""Quality metrics of a batch, and a table of the progress of streaming queries."""
 
 from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
 from roadstream.operators.quality import DUPLICATE_EVENT, OK
 
+log = logging.getLogger("roadstream.progress")
+
 # dq_flag -> the metric that counts it.
 FLAG_COUNTS = {
     "OK": "flag_ok",
@@ -46,30 +48,61 @@ def batch_metrics(labelled: DataFrame) -> DataFrame:
     return totals.withColumn("reject_rate", F.coalesce(F.round(rate, 1), F.lit(0.0)))
 
 
-class ProgressLog(StreamingQueryListener):
-    """Writes one line per finished micro-batch."""
+# One row a finished micro-batch, as the progress table holds it.
+PROGRESS = (
+    "query string, run_id string, batch_id long, at string, input_rows long, "
+    "sources array<struct<source:string, rows:long, from_offset:string, to_offset:string>>, "
+    "phase_ms map<string, long>"
+)
+
+
+def progress_row(progress) -> tuple:
+    """A micro-batch as a row of PROGRESS: what it read from where, and how long each phase took."""
+    sources = [
+        (s.description, s.numInputRows, str(s.startOffset), str(s.endOffset))
+        for s in progress.sources
+    ]
+    phases = {phase: int(took) for phase, took in progress.durationMs.items()}
+    return (
+        progress.name,
+        str(progress.runId),
+        progress.batchId,
+        progress.timestamp,
+        progress.numInputRows,
+        sources,
+        phases,
+    )
+
+
+class ProgressTable(StreamingQueryListener):
+    """Keeps a row for every micro-batch that read something, in a table of Parquet files.
 
-    def __init__(self, log: logging.Logger | None = None):
-        self.log = log or logging.getLogger("roadstream.progress")
+    Rows are written some at a time, and whatever is left when a query ends.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, rows_a_file: int = 200):
+        self.spark, self.path, self.rows_a_file = spark, path, rows_a_file
+        self.waiting: list[tuple] = []
 
     def onQueryStarted(self, event):
-        self.log.info("query started | name=%s id=%s", event.name, event.id)
+        pass
 
     def onQueryProgress(self, event):
-        self.log.info("%s", progress_line(event.progress))
+        if event.progress.numInputRows:
+            self.waiting.append(progress_row(event.progress))
+        if len(self.waiting) >= self.rows_a_file:
+            self.flush()
 
     def onQueryIdle(self, event):
         pass
 
     def onQueryTerminated(self, event):
-        self.log.info("query ended | id=%s error=%s", event.id, event.exception)
-
-
-def progress_line(progress) -> str:
-    written = progress.sink.numOutputRows if progress.sink else 0
-    return (
-        f"{progress.name} batch={progress.batchId} | input_rows={progress.numInputRows} "
-        f"written_rows={written} "
-        f"processing_ms={progress.durationMs.get('triggerExecution', 0)} "
-        f"rows_per_sec={progress.processedRowsPerSecond or 0.0:.1f}"
-    )
+        if event.exception:
+            log.error("query %s ended | %s", event.id, event.exception)
+        self.flush()
+
+    def flush(self) -> None:
+        rows, self.waiting = self.waiting, []
+        if rows:
+            frame = self.spark.createDataFrame(rows, PROGRESS).coalesce(1)
+            frame.write.mode("append").parquet(self.path)

@@ -9,7 +9,7 @@ from roadstream.session import build_session
 from roadstream.settings import Settings
 from roadstream.sources.catalog import register_warehouse
 from roadstream.streaming.jobs import JOBS
-from roadstream.streaming.metrics import ProgressLog
+from roadstream.streaming.metrics import ProgressTable
 
 
 def main() -> None:
@@ -22,7 +22,8 @@ def main() -> None:
     logging.basicConfig(level=logging.INFO, format=line)
     settings = Settings.from_env()
     spark = build_session(f"roadstream-{'-'.join(arguments.jobs)}", settings)
-    spark.streams.addListener(ProgressLog())
+    progress = ProgressTable(spark, settings.table_path("stream_progress"))
+    spark.streams.addListener(progress)
 
     started = []
     for job in arguments.jobs:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+from datetime import datetime
 from types import ModuleType
 
 import pytest
@@ -12,6 +13,7 @@ from roadstream import schemas
 from roadstream.settings import Settings
 from roadstream.sources.streams import raw_stream
 from roadstream.sources.tables import Table
+from roadstream.sources.warehouse import micros, upsert_fact
 
 
 class Recorder:
@@ -40,18 +42,20 @@ def test_kafka_options():
     assert options == {
         "kafka.bootstrap.servers": "k:1",
         "subscribe": "t",
-        "startingOffsets": "latest",
-        "maxOffsetsPerTrigger": 2000,
-        "failOnDataLoss": "false",
+        "startingOffsets": "earliest",
+        "failOnDataLoss": "true",
         "minPartitions": 64,
     }
+    raw_stream(spark, Settings(max_offsets_per_trigger=9, fail_on_data_loss="false"))
+    options = spark.arguments("options")[-1][1]
+    assert (options["maxOffsetsPerTrigger"], options["failOnDataLoss"]) == (9, "false")
     assert not any("group" in option for option in options)
 
 
 @pytest.fixture
 def delta(monkeypatch):
     table = Recorder()
-    table.first = lambda: ["2"]
+    table.first = lambda: {"num_inserted_rows": 2}
     module = ModuleType("delta.tables")
     module.DeltaTable = table
     monkeypatch.setitem(sys.modules, "delta", ModuleType("delta"))
@@ -71,12 +75,20 @@ def test_delta_merge_is_insert_only_and_null_safe(spark, delta, tmp_path):
     assert "whenNotMatchedInsertAll" in names and "whenMatchedUpdateAll" not in names
 
 
-def test_delta_batches_carry_their_transaction(spark, monkeypatch):
-    written = {}
-    monkeypatch.setattr(Table, "_append", lambda self, rows, **options: written.update(options))
-    table = Table(spark, "/nowhere", schemas.DIM_ROAD, "delta", batched=True)
-    table.write_batch(spark.createDataFrame([], schemas.DIM_ROAD), "query", 7)
-    assert written == {"txnAppId": "query:/nowhere", "txnVersion": "7", "mergeSchema": "true"}
+def test_delta_merge_of_facts_reads_their_days_and_times_only(spark, delta, tmp_path):
+    table = Table(spark, str(tmp_path / "fact"), schemas.FACT, "delta", ("event_date",))
+    moment = datetime(2026, 3, 24, 10, 0, 0, 250_000)
+    row = ["v", "R1", "CBD", 50, 1, moment, 0, "LOW", 10, "FOG", moment.date(), moment]
+    facts = spark.createDataFrame([tuple(row)], schemas.FACT)
+    span = {"rows": 1, "timeless": 0, "first": moment, "last": moment, "days": [moment.date()]}
+    upsert_fact(facts, table, span)
+    (((_, match), _),) = delta.arguments("merge")
+    number = micros(moment)
+    assert number % 1_000_000 == 250_000
+    assert match.endswith(
+        "held.event_date IN (DATE'2026-03-24') AND held.event_ts BETWEEN "
+        f"timestamp_micros({number}) AND timestamp_micros({number})"
+    )
 
 
 def test_formats_without_connector_are_reported(spark, tmp_path):

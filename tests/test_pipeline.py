@@ -134,4 +134,4 @@ def test_stored_tables_equal_lazy_ones(spark, tmp_path):
     lazy, stored = BatchPipeline(messages), BatchPipeline(messages, folder=str(tmp_path / "f"))
     for name, table in lazy.tables().items():
         assert rows_of(stored.tables()[name]) == rows_of(table), name
-    assert (tmp_path / "f" / "bronze").exists() and (tmp_path / "f" / "silver").exists()
+    assert (tmp_path / "f" / "checked").exists() and (tmp_path / "f" / "silver").exists()

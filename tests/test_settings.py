@@ -12,11 +12,20 @@ def test_defaults():
     assert settings == Settings()
     assert (settings.speed_min, settings.speed_max) == (0, 160)
     assert (settings.late_minutes, settings.future_minutes) == (20, 10)
-    assert settings.max_offsets_per_trigger == 2000
+    assert settings.max_offsets_per_trigger is None
+    assert (settings.starting_offsets, settings.fail_on_data_loss) == ("earliest", "true")
     triggers = settings.bronze_trigger, settings.silver_trigger, settings.gold_trigger
     assert triggers == ("10 seconds", "15 seconds", "30 seconds")
-    assert settings.table_path("fact_traffic") == "/opt/spark/warehouse/fact_traffic"
-    assert settings.checkpoint_path("gold_unified") == "/opt/spark/warehouse/chk/gold_unified"
+
+
+def test_the_warehouse_has_to_be_named():
+    with pytest.raises(ValueError, match="WAREHOUSE_PATH"):
+        Settings().table_path("fact_traffic")
+    settings = Settings.from_env({"WAREHOUSE_PATH": "hdfs:///w"})
+    assert settings.table_path("fact_traffic") == "hdfs:///w/fact_traffic"
+    assert settings.checkpoint_path("gold") == "hdfs:///w/chk/gold"
+    moved = Settings.from_env({"WAREHOUSE_PATH": "hdfs:///w", "CHECKPOINT_PATH": "hdfs:///c"})
+    assert moved.checkpoint_path("gold") == "hdfs:///c/gold"
 
 
 def test_environment_overrides():

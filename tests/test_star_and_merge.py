@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from pathlib import Path
 
 import pyarrow.parquet as pq
 import pytest
@@ -10,7 +11,14 @@ from pyspark.sql import functions as F
 from roadstream import schemas
 from roadstream.operators import merge, star
 from roadstream.settings import Settings
-from roadstream.sources.warehouse import MergeResult, upsert_dim, upsert_fact, warehouse_tables
+from roadstream.sources.warehouse import (
+    MergeResult,
+    message_span,
+    unstored,
+    upsert_dim,
+    upsert_fact,
+    warehouse_tables,
+)
 
 SILVER = (
     "vehicle_id string, road_id string, city_zone string, speed_int int, congestion_level int, "
@@ -178,30 +186,42 @@ def test_stored_facts_can_be_skipped_by_time(spark, silver, tables):
     assert "GreaterThanOrEqual(event_ts" in pushed and "LessThanOrEqual(event_ts" in pushed
 
 
-def test_grouping_and_merge_join_share_one_shuffle(spark, silver, tables):
+def test_merge_sorts_no_incoming_row_but_for_the_join(spark, silver, tables):
+    """Rows the target holds leave first; only rows of repeated keys are ever compared."""
     upsert_fact(facts(silver(silver_row())), tables["fact_traffic"])
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        new = merge.rows_to_insert(
-            facts(silver(silver_row(day=2))), tables["fact_traffic"].read(), schemas.FACT_KEY
-        )
-        plan = new._jdf.queryExecution().executedPlan().toString()
-        assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning") == 2
-        assert new.count() == 1
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
-
-
-def test_write_batch_replaces_its_own_rows_only(spark, tables):
-    table = tables["dim_road"]  # any schema does
-
-    def rows(*keys):
-        return spark.createDataFrame([(k, "t", 1) for k in keys], schemas.DIM_ROAD)
-
-    table.write_batch(rows("a", "b"), "run1", 0)
-    table.write_batch(rows("c"), "run1", 1)
-    table.write_batch(rows("d"), "run2", 0)
-    table.write_batch(rows("a"), "run1", 0)
-    assert rows_of(table.read(), "road_id") == [("a",), ("c",), ("d",)]
-    table.write_batch(rows("a").filter("false"), "run1", 0)
-    assert rows_of(table.read(), "road_id") == [("c",), ("d",)]
+    incoming = facts(silver(silver_row(), silver_row(day=2)))
+    new = merge.rows_to_insert(incoming, tables["fact_traffic"].read(), schemas.FACT_KEY)
+    assert new.count() == 1
+    new.collect()
+    plan = new._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "SortAggregate" not in plan  # no key repeats, so that branch is gone at run time
+
+
+def messages_of(spark, *offsets, day=1):
+    moment = datetime(2026, 3, day, 12, 0)
+    rows = [("{}", moment, 0, offset, f"v{offset}", *[None] * 6) for offset in offsets]
+    return spark.createDataFrame(rows, schemas.BRONZE)
+
+
+def test_messages_are_stored_once_by_day(spark, tables):
+    table = tables["traffic_bronze"]
+
+    def store(messages):
+        table.append(unstored(messages, message_span(messages), table))
+
+    store(messages_of(spark, 1, 2, 3))
+    store(messages_of(spark, 2, 3, 4))
+    store(messages_of(spark, 1, 9, day=2))  # the same offset on another day: another message
+    store(messages_of(spark, 1, 2, 3))
+    found = rows_of(table.read(), "kafka_offset")
+    assert found == [(1,), (1,), (2,), (3,), (4,), (9,)]
+    folders = sorted(path.name for path in Path(table.path).glob("arrival_date=*"))
+    assert folders == ["arrival_date=2026-03-01", "arrival_date=2026-03-02"]
+
+
+def test_messages_without_a_place_are_stored_once_too(spark, tables):
+    table = tables["traffic_bronze"]
+    odd = spark.createDataFrame([("{}", None, 0, None, *[None] * 7)], schemas.BRONZE)
+    for _ in range(2):
+        table.append(unstored(odd, message_span(odd), table))
+    assert table.read().count() == 1

@@ -4,7 +4,6 @@ import logging
 import time
 from dataclasses import replace
 from pathlib import Path
-from types import SimpleNamespace
 
 import pytest
 from conftest import TESTDATA, rows_of
@@ -17,7 +16,7 @@ from roadstream.sources.streams import raw_stream, table_stream
 from roadstream.sources.tables import Table
 from roadstream.sources.warehouse import MergeResult, warehouse_tables
 from roadstream.streaming import jobs
-from roadstream.streaming.metrics import ProgressLog, batch_metrics, dq_breakdown, progress_line
+from roadstream.streaming.metrics import PROGRESS, ProgressTable, batch_metrics, dq_breakdown
 
 WALL_CLOCK = ("rejected_at", "ingested_at")
 
@@ -61,10 +60,14 @@ def test_many_batches_and_a_growing_source(spark, messages, setup):
     """A duplicate that arrives in a later batch passes silver and is stopped by the merge."""
     half = messages.filter("offset < 500")
     rest = messages.filter("offset >= 500")
-    again = half.filter("offset < 100")
-    half.repartition(3).write.parquet(setup.raw_path)
+    # The same events once more, as messages of their own.
+    again = half.filter("offset < 100").withColumn("offset", F.col("offset") + 10**6)
+    # The feed's copies of a message share its offset, and so have to arrive together.
+    half.repartition(3, "offset").write.parquet(setup.raw_path)
     setup = replace(setup, max_files_per_trigger=1)
     jobs.run_available(spark, setup)
+    batches = Path(setup.checkpoint_path("bronze"), "commits").glob("[0-9]*")
+    assert len(list(batches)) == 3
     rest.write.mode("append").parquet(setup.raw_path)
     again.write.mode("append").parquet(setup.raw_path)
     jobs.run_available(spark, setup)
@@ -79,23 +82,72 @@ def test_many_batches_and_a_growing_source(spark, messages, setup):
     assert everything <= set(keys)
 
 
-def test_replayed_silver_batch_replaces_its_rows(spark, messages, setup):
+def test_several_silver_and_gold_batches(spark, messages, setup):
+    """The limit on table files holds for silver and gold, and loses nothing."""
+    messages.repartition(4).write.parquet(setup.raw_path)
+    setup = replace(setup, max_table_files_per_trigger=12)
+    jobs.run_available(spark, setup)
+    for job in ("silver", "gold"):
+        batches = list(Path(setup.checkpoint_path(job), "commits").glob("[0-9]*"))
+        assert len(batches) >= 3, job
+    stored = content(spark, setup)
+    assert len(stored["traffic_bronze"]) == messages.count()
+    assert len(stored["traffic_bronze"]) == len(stored["traffic_silver"]) + len(
+        stored["traffic_rejects"]
+    )
+
+
+def test_replayed_silver_batch_changes_nothing(spark, messages, setup):
     tables = warehouse_tables(spark, setup)
     silver, rejects = tables["traffic_silver"], tables["traffic_rejects"]
     bronze = BatchPipeline(messages).bronze
 
     def process(frame, batch_id):
-        return jobs.process_silver_batch(frame, "run", batch_id, silver, rejects, setup)
+        return jobs.process_silver_batch(frame, batch_id, silver, rejects, setup)
 
     first = process(bronze, 0)
-    once = rows_of(silver.read()), rows_of(rejects.read().drop("rejected_at"))
+    once = rows_of(silver.read()), rows_of(rejects.read())
     assert process(bronze, 0) == first
-    assert (rows_of(silver.read()), rows_of(rejects.read().drop("rejected_at"))) == once
-    process(bronze, 1)
-    assert silver.read().count() == 2 * len(once[0])
+    assert process(bronze, 1) == first
+    assert (rows_of(silver.read()), rows_of(rejects.read())) == once
     assert process(bronze.filter("false"), 2) is None
 
 
+def test_half_written_silver_batch_is_completed(spark, messages, setup, monkeypatch):
+    tables = warehouse_tables(spark, setup)
+    silver, rejects = tables["traffic_silver"], tables["traffic_rejects"]
+    bronze = BatchPipeline(messages).bronze
+    append = Table.append
+    with monkeypatch.context() as patched:
+
+        def fail(self, rows, **options):
+            if self is silver:
+                raise RuntimeError("lost")
+            append(self, rows, **options)
+
+        patched.setattr(Table, "append", fail)
+        with pytest.raises(RuntimeError):
+            jobs.process_silver_batch(bronze, 0, silver, rejects, setup)
+    jobs.process_silver_batch(bronze, 0, silver, rejects, setup)
+    batch = BatchPipeline(messages)
+    assert rows_of(silver.read()) == rows_of(batch.silver)
+    assert rows_of(rejects.read().drop("rejected_at")) == rows_of(batch.rejects.drop("rejected_at"))
+
+
+def test_fresh_checkpoints_lose_and_double_nothing(spark, messages, setup):
+    """New checkpoints over a filled warehouse, with old and new messages in the source."""
+    messages.filter("offset % 2 = 0").write.parquet(setup.raw_path)
+    jobs.run_available(spark, setup)
+    messages.filter("offset % 2 = 1").write.mode("append").parquet(setup.raw_path)
+    jobs.run_available(spark, replace(setup, checkpoints=setup.warehouse + "/other"))
+    stored = content(spark, setup)
+    batch = BatchPipeline(messages)
+    assert stored["traffic_bronze"] == rows_of(batch.bronze)
+    assert stored["traffic_silver"] == rows_of(batch.silver)
+    assert stored["traffic_rejects"] == rows_of(batch.rejects.drop("rejected_at"))
+    assert stored["fact_traffic"] == rows_of(batch.fact.drop("ingested_at"))
+
+
 def test_lost_gold_checkpoint_leaves_the_star_unchanged(spark, messages, setup):
     messages.write.parquet(setup.raw_path)
     jobs.run_available(spark, setup)
@@ -124,7 +176,9 @@ def test_half_written_gold_batch_is_completed(spark, messages, setup):
     assert rows_of(tables["fact_traffic"].read().drop("ingested_at")) == rows_of(wanted)
 
 
-def test_failing_batch_stops_the_query_and_is_replayed(spark, messages, setup, monkeypatch):
+def test_failing_batch_stops_the_query_and_is_replayed(
+    spark, messages, setup, monkeypatch, caplog
+):
     messages.write.parquet(setup.raw_path)
     jobs.start_bronze(spark, setup, once=True).awaitTermination()
     with monkeypatch.context() as patched:
@@ -132,39 +186,15 @@ def test_failing_batch_stops_the_query_and_is_replayed(spark, messages, setup, m
         def fail(*_):
             raise RuntimeError("disk full")
 
-        patched.setattr(Table, "write_batch", fail)
-        with pytest.raises(Exception, match="disk full"):
-            jobs.start_silver(spark, setup, once=True).awaitTermination()
+        patched.setattr(Table, "append", fail)
+        with caplog.at_level(logging.ERROR, "roadstream.jobs"):
+            with pytest.raises(Exception, match="disk full"):
+                jobs.start_silver(spark, setup, once=True).awaitTermination()
+    assert "silver batch=0 | failed" in caplog.text
     jobs.start_silver(spark, setup, once=True).awaitTermination()
     assert content(spark, setup)["traffic_silver"] == rows_of(BatchPipeline(messages).silver)
 
 
-def test_gold_survives_a_silver_replay_under_its_feet(spark, messages, setup, monkeypatch):
-    """Gold has planned a batch over files that a silver replay then replaces."""
-    messages.write.parquet(setup.raw_path)
-    jobs.start_bronze(spark, setup, once=True).awaitTermination()
-    jobs.start_silver(spark, setup, once=True).awaitTermination()
-    with monkeypatch.context() as patched:
-
-        def fail(*_):
-            raise RuntimeError("lost")
-
-        patched.setattr(jobs, "process_gold_batch", fail)
-        with pytest.raises(Exception, match="lost"):
-            jobs.start_gold(spark, setup, once=True).awaitTermination()
-    tables = warehouse_tables(spark, setup)
-    silver = tables["traffic_silver"]
-    (directory,) = Path(silver.path).glob("batch_id=*")
-    run, batch = directory.name.removeprefix("batch_id=").rsplit("-", 1)
-    before = {path.name for path in directory.glob("*.parquet")}
-    bronze = tables["traffic_bronze"].read()
-    jobs.process_silver_batch(bronze, run, int(batch), silver, tables["traffic_rejects"], setup)
-    assert before.isdisjoint(path.name for path in directory.glob("*.parquet"))
-    jobs.start_gold(spark, setup, once=True).awaitTermination()
-    wanted = BatchPipeline(messages).fact.drop("ingested_at")
-    assert content(spark, setup)["fact_traffic"] == rows_of(wanted)
-
-
 def test_jobs_start_in_any_order(spark, messages, setup):
     setup = replace(
         setup, bronze_trigger="1 second", silver_trigger="1 second", gold_trigger="1 second"
@@ -186,7 +216,6 @@ def test_wall_clock_rejects_old_events(spark, messages, setup):
     tables = warehouse_tables(spark, setup)
     metrics = jobs.process_silver_batch(
         BatchPipeline(messages).bronze,
-        "run",
         0,
         tables["traffic_silver"],
         tables["traffic_rejects"],
@@ -215,7 +244,7 @@ def test_metrics_overlap_and_add_up(messages):
 def test_gold_stream_never_reads_the_raw_text(spark, setup):
     tables = warehouse_tables(spark, setup)
     tables["traffic_silver"].create()
-    stream = table_stream(tables["traffic_silver"], jobs.GOLD_COLUMNS)
+    stream = table_stream(tables["traffic_silver"], setup, jobs.GOLD_COLUMNS)
     assert stream.isStreaming and stream.columns == list(jobs.GOLD_COLUMNS)
 
 
@@ -224,35 +253,26 @@ def test_missing_kafka_connector_is_reported(spark, setup):
         raw_stream(spark, replace(setup, raw_path=None))
 
 
-def test_progress_log(spark, messages, setup, caplog):
-    progress = SimpleNamespace(
-        name="bronze",
-        batchId=3,
-        numInputRows=10,
-        sink=SimpleNamespace(numOutputRows=9),
-        durationMs={"triggerExecution": 120},
-        processedRowsPerSecond=83.33,
-    )
-    expected = "bronze batch=3 | input_rows=10 written_rows=9 processing_ms=120 rows_per_sec=83.3"
-    assert progress_line(progress) == expected
-    empty = SimpleNamespace(**{**vars(progress), "sink": None, "durationMs": {}})
-    empty.processedRowsPerSecond = None
-    assert "written_rows=0 processing_ms=0 rows_per_sec=0.0" in progress_line(empty)
-
-    listener = ProgressLog(logging.getLogger("roadstream.progress"))
+def test_progress_table(spark, messages, setup):
+    listener = ProgressTable(spark, setup.table_path("stream_progress"))
     spark.streams.addListener(listener)
     try:
-        with caplog.at_level(logging.INFO, "roadstream.progress"):
-            messages.write.parquet(setup.raw_path)
-            query = jobs.start_bronze(spark, setup, once=True)
-            query.awaitTermination()
-            for _ in range(100):
-                if "query ended" in caplog.text:
-                    break
-                time.sleep(0.1)
+        messages.write.parquet(setup.raw_path)
+        jobs.run_available(spark, setup)
+        for _ in range(100):
+            if Path(listener.path).exists() and not listener.waiting:
+                break
+            time.sleep(0.1)
+        time.sleep(1)
     finally:
         spark.streams.removeListener(listener)
-    assert f"bronze batch=0 | input_rows={messages.count()}" in caplog.text
+    rows = spark.read.schema(PROGRESS).parquet(listener.path).collect()
+    read = {row["query"]: row for row in rows}
+    assert read["bronze"]["input_rows"] == messages.count()
+    assert read["bronze"]["batch_id"] == 0
+    assert "triggerExecution" in read["bronze"]["phase_ms"]
+    (source,) = read["bronze"]["sources"]
+    assert setup.raw_path in source["source"] and source["rows"] == messages.count()
 
 
 def test_interval_trigger(spark, messages, setup):
