@@ -39,7 +39,7 @@ timed AS (
   SELECT *, strftime(event_at, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS event_text FROM fields
 ),
 messages AS (
-  SELECT timed.*,
+  SELECT timed.*, copy,
          CASE WHEN fault = 8 THEN '{"raw":"###CORRUPTED_EVENT###","corrupted":true}' ELSE
            '{"vehicle_id":"' || vehicle_id || '","road_id":"' || road_id ||
            '","city_zone":"' || city_zone || '","speed":' ||
@@ -52,14 +52,6 @@ messages AS (
   WHERE copy = 1 OR fault = 3
 )"""
 
-DRAWS = """
-draws AS (
-  SELECT user_id, event_id,
-         CAST('0x' || substr(md5('dirty:0:' || event_id), 1, 8) AS BIGINT) AS dirty_draw,
-         CAST('0x' || substr(md5('fault:0:' || event_id), 1, 8) AS BIGINT) AS fault_draw
-  FROM events
-)"""
-
 BRONZE = FEED + """,
 bronze AS (
   SELECT raw_json, arrival AS kafka_timestamp, CAST(n % 3 AS INTEGER) AS kafka_partition,
@@ -74,7 +66,7 @@ bronze AS (
          CASE WHEN fault <> 8 THEN event_text END AS event_time,
          CASE WHEN fault <> 8 THEN CAST(speed_number AS INTEGER) END AS speed_int,
          CASE WHEN fault <> 8 THEN event_at END AS event_ts,
-         fault
+         fault, (n + copy - 1) % 3 AS round
   FROM messages
 )"""
 
@@ -107,7 +99,7 @@ labelled AS (
 
 SILVER = CHECKED + """,
 silver AS (
-  SELECT * EXCLUDE (row_reason, copies, reject_reason),
+  SELECT * EXCLUDE (row_reason, copies, reject_reason, round),
          CAST(hour(event_ts) AS INTEGER) AS hour,
          CASE WHEN hour(event_ts) IN (8, 9, 10, 11, 17, 18, 19, 20) THEN 1 ELSE 0 END
            AS peak_flag,
@@ -146,6 +138,58 @@ fact AS (
 )"""
 
 
+# Rows with gaps in every column, checked and labelled.
+GAPS = """
+gappy AS (
+  SELECT CASE WHEN n % 19 = 0 THEN '{"raw":"###CORRUPTED_EVENT###","corrupted":true}'
+              ELSE '{}' END AS raw_json,
+         ts AS kafka_timestamp, CAST(n % 3 AS INTEGER) AS kafka_partition,
+         2 * n + copy AS kafka_offset,
+         CASE WHEN n % 11 <> 0 THEN 'veh-' || user_id END AS vehicle_id,
+         CASE WHEN n % 5 <> 0 THEN 'R' || ((1 + n % 4) * 100) END AS road_id,
+         CASE WHEN n % 6 <> 0 THEN CASE (n // 4) % 5 WHEN 0 THEN 'CBD' WHEN 1 THEN 'AIRPORT'
+              WHEN 2 THEN 'TECHPARK' WHEN 3 THEN 'SUBURB' ELSE 'TRAINSTATION' END
+         END AS city_zone,
+         CASE n % 8 WHEN 0 THEN v || '.5' WHEN 1 THEN '  ' || v || ' ' WHEN 2 THEN ''
+              ELSE CAST(v AS VARCHAR) END AS speed,
+         CASE WHEN n % 7 <> 0 THEN CAST(1 + n % 5 AS INTEGER) END AS congestion_level,
+         'CLEAR' AS weather,
+         CASE WHEN n % 13 = 0 THEN NULL WHEN n % 17 = 0 THEN 'soon'
+              ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' END AS event_time,
+         CASE WHEN n % 8 <> 2 THEN v END AS speed_int,
+         CASE WHEN n % 13 <> 0 AND n % 17 <> 0 THEN ts END AS event_ts,
+         CASE WHEN n % 19 = 0 THEN 'CORRUPT_JSON' WHEN n % 11 = 0 THEN 'MISSING_VEHICLE'
+              WHEN n % 13 = 0 THEN 'MISSING_TIME' WHEN n % 7 = 0 THEN 'MISSING_CONGESTION'
+              ELSE 'OK' END AS dq_flag, 0 AS round
+  FROM (SELECT event_id AS n, user_id, ts, CAST(floor(value) AS INTEGER) AS v FROM events)
+       CROSS JOIN (SELECT unnest([0, 1]) AS copy) AS copies
+  WHERE copy = 0 OR n % 23 = 0
+),
+checked AS (
+  SELECT * EXCLUDE (round, dq_flag), round, dq_flag,
+         CAST(coalesce(speed_int BETWEEN 0 AND 160, false) AS INTEGER) AS speed_valid,
+         CAST(event_ts IS NOT NULL AS INTEGER) AS time_valid
+  FROM gappy
+),
+reasoned AS (""" + CHECKED.split("reasoned AS (", 1)[1]
+
+
+def _gappy(tables: str) -> str:
+    """The tables that build on ``CHECKED``, over rows with gaps."""
+    return GAPS + tables.removeprefix(CHECKED)
+
+
+def _in_rounds(tables: str) -> str:
+    """The tables if every copy is a message of its own, and copies are looked for within each
+    round of messages only."""
+    numbered = tables.replace(
+        "CAST(n AS BIGINT) AS kafka_offset", "CAST(2 * n + copy - 1 AS BIGINT) AS kafka_offset"
+    )
+    return numbered.replace(
+        "PARTITION BY row_reason, vehicle_id", "PARTITION BY round, row_reason, vehicle_id"
+    )
+
+
 def _rounded(value: str, digits: int) -> str:
     # Through DECIMAL, so that halves round up as written and not as stored in binary.
     return f"CAST(round(CAST({value} AS DECIMAL(38, 12)), {digits}) AS DOUBLE)"
@@ -185,21 +229,6 @@ DIM_ROAD = "SELECT * FROM dim_road"
 
 # Query name -> (tables it builds on, final SELECT).
 _SELECTS = {
-    "feed_dirty": (
-        FEED,
-        "SELECT CASE WHEN fault <> 8 THEN city_zone END AS key, raw_json AS value, "
-        "arrival AS kafka_timestamp, CAST(n % 3 AS INTEGER) AS kafka_partition, "
-        "CAST(n AS BIGINT) AS kafka_offset FROM messages",
-    ),
-    "feed_random_faults": (
-        DRAWS,
-        "SELECT 'veh-' || user_id AS vehicle_id, event_id AS \"offset\", "
-        "CASE WHEN dirty_draw % 1000000 < 300000 THEN CASE fault_draw % 9 "
-        "WHEN 0 THEN 'null_speed' WHEN 1 THEN 'negative_speed' WHEN 2 THEN 'extreme_speed' "
-        "WHEN 3 THEN 'duplicate_event' WHEN 4 THEN 'late_event' WHEN 5 THEN 'future_event' "
-        "WHEN 6 THEN 'wrong_datatype' WHEN 7 THEN 'schema_drift' ELSE 'corrupt_json' END "
-        "END AS fault FROM draws",
-    ),
     "envelope_decode": (
         BRONZE,
         "SELECT raw_json, kafka_timestamp, kafka_partition, kafka_offset FROM bronze",
@@ -329,10 +358,28 @@ _SELECTS = {
     "stream_dim_zone": (STAR, DIM_ZONE),
     "stream_dim_road": (STAR, DIM_ROAD),
     "stream_fact": (STAR, "SELECT * EXCLUDE (ingested_at) FROM fact"),
-    "stream_capped_rejects": (SILVER, "SELECT * EXCLUDE (rejected_at) FROM rejects"),
-    "stream_capped_fact": (STAR, "SELECT * EXCLUDE (ingested_at) FROM fact"),
+    "stream_capped_bronze": (_in_rounds(BRONZE), f"SELECT {PAYLOAD} FROM bronze"),
+    "stream_capped_silver": (_in_rounds(SILVER), "SELECT * FROM silver"),
+    "stream_capped_rejects": (_in_rounds(SILVER), "SELECT * EXCLUDE (rejected_at) FROM rejects"),
+    # A copy that another round brings passes the rules and is stopped by the merge.
+    "stream_capped_fact": (_in_rounds(STAR), "SELECT DISTINCT * EXCLUDE (ingested_at) FROM fact"),
+    "stream_fresh_bronze": (BRONZE, f"SELECT {PAYLOAD} FROM bronze"),
+    "stream_fresh_silver": (SILVER, "SELECT * FROM silver"),
+    "stream_fresh_rejects": (SILVER, "SELECT * EXCLUDE (rejected_at) FROM rejects"),
+    "stream_fresh_fact": (STAR, "SELECT * EXCLUDE (ingested_at) FROM fact"),
+    "gaps_dq_flags": (GAPS, f"SELECT {MESSAGE}, dq_flag FROM checked"),
+    "gaps_type_casting": (
+        GAPS,
+        f"SELECT {MESSAGE}, speed, event_time, speed_int, event_ts FROM checked",
+    ),
+    "gaps_reject_reason": (GAPS, f"SELECT {MESSAGE}, reject_reason FROM labelled"),
+    "gaps_upsert_fact": (_gappy(STAR), FACT),
+    "gaps_v_reject_monitoring": (_gappy(SILVER), REJECT_MONITORING),
 }
 
+_SELECTS["catalog_live_counts"] = _SELECTS["verification_counts"]
+_SELECTS["catalog_live_zone_kpis"] = _SELECTS["v_zone_kpis"]
+
 # The views read through the catalog give what they give as DataFrames.
 _SELECTS.update(
     {f"catalog_{name}": _SELECTS[name] for name in [*_SELECTS] if name.startswith(("bi_", "v_"))}

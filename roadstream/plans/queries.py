@@ -1,18 +1,18 @@
 """Named queries: every operator and table of the pipeline over an ``events`` table.
 
-Each takes a session and a directory of Parquet tables and returns a DataFrame. Row-level
-queries go from the events to the result in one pass. Queries that need several passes read
-the bronze or silver table, which the first of them in a session writes; so do the queries of
-the streamed and the registered warehouse. Merges write tables of their own on every call.
+Each takes a session and a directory of Parquet tables and returns a DataFrame. All but the
+queries of merges, streams and the catalog are lazy. Those write tables of their own under the
+shared folder; streams and the registered warehouse are made once for each content of the
+events table.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from roadstream.operators import duplicates, features, ingest, quality, star
@@ -22,7 +22,7 @@ from roadstream.schemas import BI_CONTRACTS, BRONZE
 from roadstream.session import prepare_session
 from roadstream.settings import Settings
 from roadstream.sources import catalog
-from roadstream.sources.feed import clean_events, dirty_feed, random_faults
+from roadstream.sources.feed import dirty_feed, gappy_bronze
 from roadstream.sources.warehouse import upsert_dim, upsert_fact, warehouse_tables
 from roadstream.streaming.jobs import run_available
 from roadstream.streaming.metrics import batch_metrics, dq_breakdown
@@ -30,17 +30,16 @@ from roadstream.streaming.metrics import batch_metrics, dq_breakdown
 Query = Callable[[SparkSession, str], DataFrame]
 
 MESSAGE = ("kafka_partition", "kafka_offset")
-FIRST_PART_UNTIL = "2024-01-20"
-SECOND_PART_FROM = "2024-01-10"
-STREAM_FILES = 3
+ROUNDS = 3
 
 
 def workspace(spark: SparkSession) -> str:
-    """A new folder all executors can reach: under the one the cluster names, if it names one."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/roadstream/{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix="roadstream-")
+    """A new folder that all executors reach: under the checkpoint folder the cluster names, or
+    else under the warehouse of the session."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
+        "spark.sql.warehouse.dir"
+    )
+    return f"{shared.rstrip('/')}/roadstream/{uuid.uuid4().hex}"
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,59 +51,29 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dirty_feed(events(spark, sf_dir))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> BatchPipeline:
+    """The pipeline over the feed, all lazy."""
+    return BatchPipeline(feed(spark, sf_dir))
+
+
 _BUILT: dict[tuple, object] = {}
 
 
 def _once(kind: str, build: Callable, spark: SparkSession, sf_dir: str):
-    """What ``build`` makes of the input, made once per session and state of the input."""
-    prepare_session(spark)
-    source = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/events.parquet")
-    status = source.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(source)
-    state = status.getLen(), status.getModificationTime()
-    key = (kind, spark.sparkContext.applicationId, sf_dir, *state)
+    """What ``build`` makes of the input, made once per session and content of the input, which
+    one pass over the events tells, wherever and however they are stored."""
+    rows = events(spark, sf_dir)
+    digest = F.sum(F.xxhash64(*rows.columns).cast("decimal(38,0)"))
+    content = tuple(rows.agg(F.count("*"), digest).first())
+    key = (kind, spark.sparkContext.applicationId, *content)
     if key not in _BUILT:
         _BUILT[key] = build(spark, sf_dir)
     return _BUILT[key]
 
 
-def pipeline(spark: SparkSession, sf_dir: str) -> BatchPipeline:
-    """The pipeline over the feed, all lazy."""
-
-    def build(spark: SparkSession, sf_dir: str) -> BatchPipeline:
-        return BatchPipeline(feed(spark, sf_dir))
-
-    return _once("lazy", build, spark, sf_dir)
-
-
-def stored_pipeline(spark: SparkSession, sf_dir: str) -> BatchPipeline:
-    """The pipeline over the feed, with its bronze and silver tables in a folder."""
-
-    def build(spark: SparkSession, sf_dir: str) -> BatchPipeline:
-        return BatchPipeline(feed(spark, sf_dir), folder=workspace(spark))
-
-    return _once("stored", build, spark, sf_dir)
-
-
 # Row-level operators.
 
 
-def feed_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages = feed(spark, sf_dir)
-    return messages.select(
-        F.col("key").cast("string").alias("key"),
-        F.col("value").cast("string").alias("value"),
-        F.col("timestamp").alias("kafka_timestamp"),
-        F.col("partition").alias("kafka_partition"),
-        F.col("offset").alias("kafka_offset"),
-    )
-
-
-def feed_random_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Which fault each event gets when a fixed share of all events is made dirty."""
-    clean = clean_events(events(spark, sf_dir))
-    return clean.select("vehicle_id", "offset", random_faults().alias("fault"))
-
-
 def envelope_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.decode_envelope(feed(spark, sf_dir))
 
@@ -140,36 +109,35 @@ def clean_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def copy_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clean = quality.filter_clean_records(stored_pipeline(spark, sf_dir).checked)
+    clean = quality.filter_clean_records(pipeline(spark, sf_dir).checked)
     return duplicates.count_copies(clean).select(*MESSAGE, "vehicle_id", "event_ts", "copies")
 
 
 def duplicate_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    copies = duplicates.duplicate_events(stored_pipeline(spark, sf_dir).checked)
+    copies = duplicates.duplicate_events(pipeline(spark, sf_dir).labelled)
     return copies.select(*MESSAGE, "vehicle_id", "event_ts", "reject_reason")
 
 
 def labelled_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labelled = stored_pipeline(spark, sf_dir).labelled
+    labelled = pipeline(spark, sf_dir).labelled
     return labelled.select(*MESSAGE, "dq_flag", "speed_valid", "time_valid", "reject_reason")
 
 
 def deduped_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stored_pipeline(spark, sf_dir).clean.select(*BRONZE.names, "speed_int", "event_ts")
+    return pipeline(spark, sf_dir).clean.select(*BRONZE.names, "speed_int", "event_ts")
 
 
 def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    checked = stored_pipeline(spark, sf_dir).checked
-    return duplicates.quarantine(checked, F.col("kafka_timestamp"))
+    return pipeline(spark, sf_dir).rejects
 
 
 def feature_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    featured = features.apply_feature_engineering(stored_pipeline(spark, sf_dir).clean)
+    featured = features.apply_feature_engineering(pipeline(spark, sf_dir).clean)
     return featured.select(*MESSAGE, "event_ts", "speed_int", "hour", "peak_flag", "speed_band")
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stored_pipeline(spark, sf_dir).silver
+    return pipeline(spark, sf_dir).silver
 
 
 # Metrics.
@@ -180,29 +148,28 @@ def flag_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return batch_metrics(stored_pipeline(spark, sf_dir).labelled)
+    return batch_metrics(pipeline(spark, sf_dir).labelled)
 
 
 # Star schema, and merges into stored tables.
 
 
 def dim_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stored_pipeline(spark, sf_dir).dim_zone
+    return pipeline(spark, sf_dir).dim_zone
 
 
 def dim_road(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stored_pipeline(spark, sf_dir).dim_road
+    return pipeline(spark, sf_dir).dim_road
 
 
 def fact_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stored_pipeline(spark, sf_dir).fact
+    return pipeline(spark, sf_dir).fact
 
 
 def _overlapping_parts(facts: DataFrame) -> list[DataFrame]:
-    return [
-        facts.filter(F.col("event_date") <= F.lit(FIRST_PART_UNTIL).cast("date")),
-        facts.filter(F.col("event_date") >= F.lit(SECOND_PART_FROM).cast("date")),
-    ]
+    """Two parts that together hold all facts; a third of the days is in both."""
+    turn = F.dayofmonth("event_date") % 3
+    return [facts.filter(turn != 2), facts.filter(turn != 0)]
 
 
 def _empty_warehouse(spark: SparkSession):
@@ -213,14 +180,14 @@ def _empty_warehouse(spark: SparkSession):
 def merged_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two overlapping parts of the facts merged one after the other."""
     _, tables = _empty_warehouse(spark)
-    for part in _overlapping_parts(stored_pipeline(spark, sf_dir).fact):
+    for part in _overlapping_parts(pipeline(spark, sf_dir).fact):
         upsert_fact(part, tables["fact_traffic"])
     return tables["fact_traffic"].read()
 
 
 def merged_dim_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, tables = _empty_warehouse(spark)
-    for part in _overlapping_parts(stored_pipeline(spark, sf_dir).fact):
+    for part in _overlapping_parts(pipeline(spark, sf_dir).fact):
         zones = star.dim_zone(part)
         upsert_dim(zones, tables["dim_zone"], "city_zone")
     return tables["dim_zone"].read()
@@ -228,18 +195,59 @@ def merged_dim_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def merged_dim_road(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, tables = _empty_warehouse(spark)
-    for part in _overlapping_parts(stored_pipeline(spark, sf_dir).fact):
+    for part in _overlapping_parts(pipeline(spark, sf_dir).fact):
         roads = star.dim_road(part)
         upsert_dim(roads, tables["dim_road"], "road_id")
     return tables["dim_road"].read()
 
 
+# The same rules over rows with gaps in every column.
+
+
+def gappy_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    checked = quality.check_rows(
+        gappy_bronze(events(spark, sf_dir)), as_of=F.col("kafka_timestamp")
+    )
+    return duplicates.label_duplicates(checked)
+
+
+def gaps_dq_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flagged = quality.apply_dq_flags(gappy_bronze(events(spark, sf_dir)))
+    return flagged.select(*MESSAGE, "dq_flag")
+
+
+def gaps_type_casting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    typed = quality.apply_type_casting(gappy_bronze(events(spark, sf_dir)))
+    return typed.select(*MESSAGE, "speed", "event_time", "speed_int", "event_ts")
+
+
+def gaps_reject_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gappy_labelled(spark, sf_dir).select(*MESSAGE, "reject_reason")
+
+
+def gaps_upsert_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts, some without road or zone, merged in two overlapping parts."""
+    accepted = gappy_labelled(spark, sf_dir).filter(F.col("reject_reason") == quality.OK)
+    facts = star.fact_traffic(features.silver_rows(accepted), F.col("kafka_timestamp"))
+    _, tables = _empty_warehouse(spark)
+    for part in _overlapping_parts(facts):
+        upsert_fact(part, tables["fact_traffic"])
+    return tables["fact_traffic"].read()
+
+
+def gaps_reject_monitoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rejected = duplicates.rejected_rows(gappy_labelled(spark, sf_dir))
+    stamped = duplicates.stamp_rejects(rejected, F.col("kafka_timestamp"))
+    bi = views.contracts({"traffic_rejects": stamped})
+    return views.view_frame("v_reject_monitoring", bi)
+
+
 # BI layer.
 
 
 def _bi(name: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        bi = views.contracts(stored_pipeline(spark, sf_dir).tables())
+        bi = views.contracts(pipeline(spark, sf_dir).tables())
         return bi[name] if name in bi else views.view_frame(name, bi)
 
     return query
@@ -257,15 +265,37 @@ def _run_streams(spark: SparkSession, sf_dir: str) -> Settings:
     return settings
 
 
-def _run_capped_streams(spark: SparkSession, sf_dir: str) -> Settings:
-    """The same in several batches: one file at a time, all copies of a message in one file."""
+def _run_streams_in_rounds(spark: SparkSession, sf_dir: str) -> Settings:
+    """The same in several batches of every job: a file of messages, then all jobs, and again.
+    The copies of a message lie in different files, so no batch sees two of them."""
     folder = workspace(spark)
-    settings = Settings(
-        warehouse=f"{folder}/warehouse", raw_path=f"{folder}/raw", max_files_per_trigger=1
+    settings = Settings(warehouse=f"{folder}/warehouse", raw_path=f"{folder}/raw")
+    copy = F.row_number().over(Window.partitionBy("offset").orderBy("value")) - 1
+    numbered = feed(spark, sf_dir).drop("key").withColumn("copy", copy)
+    # Every copy is a message of its own, with an offset of its own.
+    messages = numbered.select(
+        "value",
+        "timestamp",
+        "partition",
+        (2 * F.col("offset") + F.col("copy")).alias("offset"),
+        ((F.col("offset") + F.col("copy")) % ROUNDS).alias("turn"),
     )
-    messages = feed(spark, sf_dir).drop("key").repartition(STREAM_FILES, "offset")
-    messages.write.parquet(settings.raw_path)
-    run_available(spark, settings)
+    for number in range(ROUNDS):
+        part = messages.filter(F.col("turn") == number).drop("turn")
+        part.write.mode("append").parquet(settings.raw_path)
+        run_available(spark, settings)
+    return settings
+
+
+def _run_streams_afresh(spark: SparkSession, sf_dir: str) -> Settings:
+    """Half of the messages, then all of them with new checkpoints over the filled warehouse."""
+    folder = workspace(spark)
+    settings = Settings(warehouse=f"{folder}/warehouse", raw_path=f"{folder}/raw")
+    messages = feed(spark, sf_dir).drop("key")
+    for number in range(2):
+        part = messages.filter(F.col("offset") % 2 == number)
+        part.write.mode("append").parquet(settings.raw_path)
+        run_available(spark, replace(settings, checkpoints=f"{folder}/checkpoints-{number}"))
     return settings
 
 
@@ -286,15 +316,38 @@ def _register(spark: SparkSession, sf_dir: str) -> str:
         warehouse=f"{folder}/warehouse", database=f"roadstream_{uuid.uuid4().hex[:12]}"
     )
     tables = warehouse_tables(spark, settings)
-    batch = stored_pipeline(spark, sf_dir)
+    batch = BatchPipeline(feed(spark, sf_dir), folder=f"{folder}/batch")
     upsert_dim(batch.dim_zone, tables["dim_zone"], "city_zone")
     upsert_dim(batch.dim_road, tables["dim_road"], "road_id")
     upsert_fact(batch.fact, tables["fact_traffic"])
-    tables["traffic_rejects"].write_batch(batch.rejects, "batch", 0)
+    tables["traffic_rejects"].append(batch.rejects)
     catalog.register_warehouse(spark, settings, f"{folder}/database")
     return settings.database
 
 
+def _register_then_stream(spark: SparkSession, sf_dir: str) -> str:
+    """Register an empty warehouse, then stream into it; nothing is refreshed by hand."""
+    folder = workspace(spark)
+    settings = Settings(
+        warehouse=f"{folder}/warehouse",
+        raw_path=f"{folder}/raw",
+        database=f"roadstream_{uuid.uuid4().hex[:12]}",
+    )
+    catalog.register_warehouse(spark, settings, f"{folder}/database")
+    feed(spark, sf_dir).drop("key").write.parquet(settings.raw_path)
+    run_available(spark, settings)
+    return settings.database
+
+
+def live_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    database = _once("live", _register_then_stream, spark, sf_dir)
+    return catalog.verification_counts(spark, database)
+
+
+def live_zone_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.table(f"{_once('live', _register_then_stream, spark, sf_dir)}.v_zone_kpis")
+
+
 def verification_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.verification_counts(spark, _once("catalog", _register, spark, sf_dir))
 
@@ -307,8 +360,6 @@ def _catalog_view(name: str) -> Query:
 
 
 QUERIES: dict[str, Query] = {
-    "feed_dirty": feed_dirty,
-    "feed_random_faults": feed_random_faults,
     "envelope_decode": envelope_decode,
     "bronze_parse": bronze_parse,
     "dq_flags": dq_flags,
@@ -341,8 +392,21 @@ QUERIES: dict[str, Query] = {
     "stream_dim_zone": _streamed("dim_zone"),
     "stream_dim_road": _streamed("dim_road"),
     "stream_fact": _streamed("fact_traffic", "ingested_at"),
-    "stream_capped_rejects": _streamed(
-        "traffic_rejects", "rejected_at", runs=_run_capped_streams
-    ),
-    "stream_capped_fact": _streamed("fact_traffic", "ingested_at", runs=_run_capped_streams),
+    **{
+        f"stream_{kind}_{name}": _streamed(table, *dropped, runs=runs)
+        for kind, runs in (("capped", _run_streams_in_rounds), ("fresh", _run_streams_afresh))
+        for name, table, *dropped in (
+            ("bronze", "traffic_bronze"),
+            ("silver", "traffic_silver"),
+            ("rejects", "traffic_rejects", "rejected_at"),
+            ("fact", "fact_traffic", "ingested_at"),
+        )
+    },
+    "catalog_live_counts": live_counts,
+    "catalog_live_zone_kpis": live_zone_kpis,
+    "gaps_dq_flags": gaps_dq_flags,
+    "gaps_type_casting": gaps_type_casting,
+    "gaps_reject_reason": gaps_reject_reason,
+    "gaps_upsert_fact": gaps_upsert_fact,
+    "gaps_v_reject_monitoring": gaps_reject_monitoring,
 }

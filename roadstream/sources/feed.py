@@ -1,4 +1,4 @@
-"""A dirty traffic feed derived from any event table, in the shape of the message envelope.
+"""Input for queries and tests: messages and bronze rows derived from any event table.
 
 Every value is a function of the row, so the feed is the same on every run and at every
 scale, and needs no state: a duplicate is the row emitted twice.
@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadstream.functions import first_match
+from roadstream.schemas import BRONZE
 
 # Value domains and fault kinds of the feed.
 ROAD_COUNT = 4
@@ -30,7 +31,6 @@ FAULTS = (
 WORD_SPEEDS = ("FAST", "SLOW", "UNKNOWN")
 ROAD_CONDITIONS = ("GOOD", "BAD", "UNDER_CONSTRUCTION")
 CORRUPT_PAYLOAD = '{"raw":"###CORRUPTED_EVENT###","corrupted":true}'
-DIRTY_RATIO = 0.30
 ISO_8601 = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
 
 
@@ -56,20 +56,6 @@ def clean_events(events: DataFrame) -> DataFrame:
     )
 
 
-def _draw(seed: int, purpose: str) -> Column:
-    # MD5 rather than a Spark hash, so that any SQL engine can draw the same numbers.
-    digest = F.md5(F.concat_ws(":", F.lit(purpose), F.lit(seed), F.col("offset")).cast("binary"))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
-
-
-def random_faults(ratio: float = DIRTY_RATIO, seed: int = 0) -> Column:
-    """Fault of a message, or NULL for a clean one: a share ``ratio``, spread by hash."""
-    if not 0 <= ratio <= 1:
-        raise ValueError("ratio must be between 0 and 1")
-    is_dirty = _draw(seed, "dirty") % 1_000_000 < round(ratio * 1_000_000)
-    return F.when(is_dirty, _pick(FAULTS, _draw(seed, "fault")))
-
-
 def error_faults() -> Column:
     """Fault of a message: events of type ``error`` take the kinds in turn."""
     return F.when(F.col("event_type") == "error", _pick(FAULTS, F.col("offset")))
@@ -145,3 +131,40 @@ def dirty_feed(events: DataFrame, fault: Column | None = None) -> DataFrame:
     """Messages for every row of an event table."""
     fault = error_faults() if fault is None else fault
     return encode_envelope(inject_faults(clean_events(events), fault))
+
+
+def gappy_bronze(events: DataFrame) -> DataFrame:
+    """Bronze rows with gaps in every column, so that every rule has something to reject.
+
+    Vehicles, times, congestion, roads and zones are missing in turn; speeds have fractions,
+    blanks around them or nothing at all; some times cannot be read; some payloads are
+    corrupt; some rows come twice, each with an offset of its own.
+    """
+    number = F.col("event_id")
+
+    def missing(every: int, value: Column) -> Column:
+        return F.when(number % every != 0, value)
+
+    whole = F.floor("value").cast("int").cast("string")
+    speed = [
+        (number % 8 == 0, F.concat(whole, F.lit(".5"))),
+        (number % 8 == 1, F.concat(F.lit("  "), whole, F.lit(" "))),
+        (number % 8 == 2, F.lit("")),
+    ]
+    arrival = F.col("ts").cast("timestamp")
+    time = F.when(number % 17 == 0, "soon").otherwise(F.date_format(arrival, ISO_8601))
+    copy = F.explode(F.sequence(F.lit(0), F.when(number % 23 == 0, 1).otherwise(0)))
+    rows = events.select("*", copy.alias("copy")).select(
+        F.when(number % 19 == 0, CORRUPT_PAYLOAD).otherwise("{}").alias("raw_json"),
+        arrival.alias("kafka_timestamp"),
+        (number % 3).cast("int").alias("kafka_partition"),
+        (2 * number + F.col("copy")).alias("kafka_offset"),
+        missing(11, F.concat(F.lit("veh-"), F.col("user_id"))).alias("vehicle_id"),
+        missing(5, F.concat(F.lit("R"), (number % ROAD_COUNT + 1) * 100)).alias("road_id"),
+        missing(6, _pick(ZONE_NAMES, F.expr(f"event_id div {ROAD_COUNT}"))).alias("city_zone"),
+        first_match(speed, whole).alias("speed"),
+        missing(7, (number % 5 + 1).cast("int")).alias("congestion_level"),
+        F.lit(OTHER_WEATHER).alias("weather"),
+        missing(13, time).alias("event_time"),
+    )
+    return rows.select(*BRONZE.names)

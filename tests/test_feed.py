@@ -7,8 +7,18 @@ import pytest
 from conftest import TESTDATA, rows_of
 from pyspark.sql import functions as F
 
+from roadstream.operators.duplicates import label_duplicates
+from roadstream.operators.quality import (
+    DUPLICATE_EVENT,
+    INVALID_SPEED,
+    INVALID_TIME,
+    OK,
+    check_rows,
+)
 from roadstream.plans.batch import BatchPipeline
+from roadstream.schemas import PAYLOAD
 from roadstream.sources import feed
+from roadstream.streaming.metrics import FLAG_COUNTS
 
 
 @pytest.fixture(scope="module")
@@ -25,15 +35,7 @@ def messages(frame):
 
 def test_clean_messages_have_the_event_shape(events):
     for offset, key, payload in messages(feed.dirty_feed(events, F.lit(None).cast("string"))):
-        assert set(payload) == {
-            "vehicle_id",
-            "road_id",
-            "city_zone",
-            "speed",
-            "congestion_level",
-            "weather",
-            "event_time",
-        }
+        assert list(payload) == PAYLOAD.names
         assert key == payload["city_zone"] and isinstance(payload["speed"], int)
         assert payload["road_id"] == f"R{(offset % 4 + 1) * 100}"
 
@@ -85,18 +87,17 @@ def test_silver_outcome_of_each_fault(events):
         assert found == reasons, fault
 
 
-def test_random_faults_follow_ratio_and_seed(spark):
-    numbers = spark.range(20_000).withColumnRenamed("id", "offset")
-
-    def drawn(*args):
-        return numbers.withColumn("fault", feed.random_faults(*args))
-
-    share = drawn(0.3, 1).filter("fault IS NOT NULL").count() / 20_000
-    assert 0.28 < share < 0.32
-    kinds = {row[0] for row in rows_of(drawn(0.3, 1).select("fault").distinct())}
-    assert kinds == {None, *feed.FAULTS}
-    assert rows_of(drawn(0.3, 1)) == rows_of(drawn(0.3, 1)) != rows_of(drawn(0.3, 2))
-    assert drawn(0.0).filter("fault IS NOT NULL").count() == 0
-    assert drawn(1.0).filter("fault IS NULL").count() == 0
-    with pytest.raises(ValueError):
-        feed.random_faults(1.5)
+def test_rows_with_gaps_reach_every_reason(events):
+    checked = check_rows(feed.gappy_bronze(events), as_of=F.col("kafka_timestamp"))
+    labelled = label_duplicates(checked)
+    reasons = {row[0] for row in rows_of(labelled.select("reject_reason").distinct())}
+    assert reasons == {
+        OK,
+        INVALID_SPEED,
+        INVALID_TIME,
+        DUPLICATE_EVENT,
+        *(flag for flag in FLAG_COUNTS if flag != OK),
+    }
+    accepted = labelled.filter(F.col("reject_reason") == OK)
+    assert not accepted.filter("road_id IS NULL").isEmpty()
+    assert not accepted.filter("city_zone IS NULL").isEmpty()
