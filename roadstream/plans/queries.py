@@ -33,13 +33,25 @@ MESSAGE = ("kafka_partition", "kafka_offset")
 ROUNDS = 3
 
 
+_FOLDERS: list[str] = []
+
+
 def workspace(spark: SparkSession) -> str:
     """A new folder that all executors reach: under the checkpoint folder the cluster names, or
     else under the warehouse of the session."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
         "spark.sql.warehouse.dir"
     )
-    return f"{shared.rstrip('/')}/roadstream/{uuid.uuid4().hex}"
+    _FOLDERS.append(f"{shared.rstrip('/')}/roadstream/{uuid.uuid4().hex}")
+    return _FOLDERS[-1]
+
+
+def discard_workspaces(spark: SparkSession) -> None:
+    """Delete every folder that queries of this process made, and forget what is in them."""
+    _BUILT.clear()
+    while _FOLDERS:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_FOLDERS.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:

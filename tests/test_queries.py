@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import duckdb
 import pytest
 from conftest import TESTDATA, rows_of
 
 import __spark_entry__ as entry_points
+from roadstream.plans import queries
 from roadstream.plans.oracle import ORACLE_SQL as ORACLES
 from roadstream.plans.queries import QUERIES
 
@@ -35,3 +38,22 @@ def test_query(spark, oracle, name):
 
 def test_entry(spark):
     assert entry_points.entry(spark).count() == 5
+
+
+def test_what_was_built_is_built_again_for_other_events(spark, tmp_path):
+    """The streamed warehouse is known by the content of the events, not by their files."""
+    events = spark.read.parquet(f"{TESTDATA}/events.parquet")
+    events.repartition(2).write.parquet(str(tmp_path / "same" / "events.parquet"))
+    events.limit(50).write.parquet(str(tmp_path / "other" / "events.parquet"))
+
+    def built(sf_dir):
+        return queries._once("test", lambda *_: object(), spark, str(sf_dir))
+
+    assert built(TESTDATA) is built(tmp_path / "same") is not built(tmp_path / "other")
+
+
+def test_workspaces_are_discarded(spark):
+    folder = queries.workspace(spark)
+    spark.range(3).write.parquet(folder)
+    queries.discard_workspaces(spark)
+    assert not Path(folder.removeprefix("file:")).exists() and not queries._FOLDERS
