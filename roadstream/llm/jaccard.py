@@ -31,6 +31,9 @@ HASHES = BANDS * ROWS
 LOOKS = (16, 32, 48, 64, 96, 128)  # MinHash values compared before each decision
 TOLERANCE = 1e-7
 BLOCK = 256  # texts of a bucket or group that are compared at once
+PAIRS_AT_ONCE = 1 << 15
+# Pairs of blocks are dealt to groups by hash; a group has work for about so many texts.
+TEXTS_A_SHARD, NEAR_A_SHARD = 1024, 256
 STRIDE = 2048  # shingles hashed at once
 
 _A = np.random.default_rng(11).integers(1, 1 << 63, HASHES, dtype=np.uint64) * U(2) + U(1)
@@ -155,14 +158,22 @@ def _in_block_pairs(members: DataFrame, group: list[str], counts: DataFrame) ->
     )
 
 
-def _pairs_of(frame: pd.DataFrame) -> np.ndarray:
-    """Positions of the pairs that this pair of blocks has to look at."""
-    i, j = int(frame["i"].iloc[0]), int(frame["j"].iloc[0])
-    first = np.flatnonzero(frame["own"].to_numpy() == i)
+def _bounds(*columns: np.ndarray) -> list[tuple[int, int]]:
+    """Begin and end of every run of rows that agree in all columns."""
+    n = len(columns[0])
+    new = np.ones(n, dtype=bool)
+    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    first = np.flatnonzero(new)
+    return list(zip(first.tolist(), [*first[1:].tolist(), n], strict=True))
+
+
+def _pairs_of(low: int, high: int, own: np.ndarray, i: int, j: int) -> np.ndarray:
+    """The pairs of rows low..high that the pair of blocks (i, j) has to look at."""
+    first = low + np.flatnonzero(own[low:high] == i)
     if i == j:
         x, y = np.triu_indices(len(first), 1)
         return np.stack([first[x], first[y]], axis=1)
-    second = np.flatnonzero(frame["own"].to_numpy() == j)
+    second = low + np.flatnonzero(own[low:high] == j)
     return np.stack([np.repeat(first, len(second)), np.tile(second, len(first))], axis=1)
 
 
@@ -184,27 +195,38 @@ def candidate_edges(
     members = shared.join(texts, "name")
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        pairs = _pairs_of(frame)
-        keys = np.stack([np.frombuffer(k, "<u4") for k in frame["keys"]])
-        values = np.stack([np.frombuffer(v, np.uint8) for v in frame["values"]])
-        band = int(frame["bucket"].iloc[0]) >> 32
-        if band and len(pairs):
+        frame = frame.sort_values(["bucket", "i", "j", "name"], ignore_index=True)
+        keys = np.frombuffer(b"".join(frame["keys"]), "<u4").reshape(-1, BANDS)
+        values = np.frombuffer(b"".join(frame["values"]), np.uint8).reshape(-1, HASHES)
+        bucket, own = frame["bucket"].to_numpy(), frame["own"].to_numpy()
+        i, j = frame["i"].to_numpy(), frame["j"].to_numpy()
+        kept, waiting = [], []
+
+        def decide() -> None:
+            pairs = np.concatenate(waiting)
             # A pair belongs to the first band it shares.
-            earlier = keys[:, :band]
-            met = np.zeros(len(pairs), dtype=bool)
-            for at in range(0, len(pairs), 1 << 14):
-                part = pairs[at : at + (1 << 14)]
-                met[at : at + (1 << 14)] = (earlier[part[:, 0]] == earlier[part[:, 1]]).any(axis=1)
-            pairs = pairs[~met]
-        kept = survivors(values, values, pairs, threshold, tolerance)
-        names = frame["name"].tolist()
-        edges = forest(len(names), kept)
+            same = keys[pairs[:, 0]] == keys[pairs[:, 1]]
+            pairs = pairs[same.argmax(axis=1) == bucket[pairs[:, 0]] >> 32]
+            kept.append(survivors(values, values, pairs, threshold, tolerance))
+            waiting.clear()
+
+        for low, high in _bounds(bucket, i, j):
+            waiting.append(_pairs_of(low, high, own, int(i[low]), int(j[low])))
+            if sum(map(len, waiting)) >= PAIRS_AT_ONCE:
+                decide()
+        if waiting:
+            decide()
+        # Rows of one text are one node.
+        names, node = np.unique(frame["name"].to_numpy(), return_inverse=True)
+        edges = forest(len(names), node[np.concatenate(kept)] if kept else [])
         return pd.DataFrame(
             {"a": [names[x] for x, _ in edges], "b": [names[y] for _, y in edges]}, dtype=object
         )
 
     blocks = _in_block_pairs(members, ["bucket"], counts)
-    return blocks.groupBy("bucket", "i", "j").applyInPandas(compare, "a binary, b binary")
+    shards = max(1, texts.count() // TEXTS_A_SHARD)
+    shard = F.pmod(F.xxhash64("bucket", "i", "j"), F.lit(shards))
+    return blocks.groupBy(shard.alias("shard")).applyInPandas(compare, "a binary, b binary")
 
 
 def _common(sets: list[np.ndarray], first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -223,45 +245,51 @@ def _common(sets: list[np.ndarray], first: np.ndarray, second: np.ndarray) -> np
     return total
 
 
-def verified(texts: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH) -> DataFrame:
+def verified(
+    texts: DataFrame, shards: int, threshold: float = THRESHOLD, width: int = WIDTH
+) -> DataFrame:
     """Of ``texts`` (root, name, text, copies): rows (a, b, links, count), one for every edge of
     a spanning forest of the links within a pair of blocks, and, with null b, one for every text
-    with its number of linked texts (links) and of their copies (count)."""
+    with its number of linked texts (links) and of their copies (count). The pairs of blocks
+    are dealt to ``shards`` groups."""
 
     def check(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.drop_duplicates("name").sort_values("name").reset_index(drop=True)
-        names = frame["name"].tolist()
-        copies = frame["copies"].to_numpy()
+        frame = frame.sort_values(["root", "i", "j", "name"], ignore_index=True)
+        frame = frame.drop_duplicates(["root", "i", "j", "name"], ignore_index=True)
+        names, copies = frame["name"].tolist(), frame["copies"].to_numpy()
+        own, root = frame["own"].to_numpy(), frame["root"].to_numpy()
+        i, j = frame["i"].to_numpy(), frame["j"].to_numpy()
         sets = [np.unique(h) for h in shingle_hashes(frame["text"].tolist(), width)]
-        i, j = int(frame["i"].iloc[0]), int(frame["j"].iloc[0])
-        own = frame["own"].to_numpy()
-        first, second = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        sizes = np.array([len(s) for s in sets], dtype=np.float32)
-        linked = np.zeros((len(first), len(second)), dtype=bool)
-        if len(first) and len(second):
+        sizes = np.array([len(s) for s in sets], dtype=np.float64)
+        out = []
+        for low, high in _bounds(root, i, j):
+            first = low + np.flatnonzero(own[low:high] == i[low])
+            second = low + np.flatnonzero(own[low:high] == j[low])
+            if not len(first) or not len(second):
+                continue
             common = _common(sets, first, second).astype(np.float64)
-            either = sizes[first][:, None].astype(np.float64) + sizes[second][None, :] - common
+            either = sizes[first][:, None] + sizes[second][None, :] - common
             # The quotient is rounded once, as in a plain comparison of both counts.
             linked = common / either >= threshold
-        if i == j:
-            np.fill_diagonal(linked, False)
-        out = []
-        x, y = np.nonzero(linked)
-        pairs = np.stack([first[x], second[y]], axis=1)
-        for p, q in forest(len(names), pairs):
-            out.append((names[p], names[q], 0, 0))
-        sides = [(first, linked, copies[second])]
-        if i != j:
-            sides.append((second, linked.T, copies[first]))
-        for here, table, there in sides:
-            for p, row in zip(here.tolist(), table, strict=True):
-                if row.any():
-                    out.append((names[p], None, int(row.sum()), int(there[row].sum())))
+            if i[low] == j[low]:
+                np.fill_diagonal(linked, False)
+            x, y = np.nonzero(linked)
+            pairs = np.stack([first[x], second[y]], axis=1) - low
+            for p, q in forest(high - low, pairs):
+                out.append((names[low + p], names[low + q], 0, 0))
+            sides = [(first, linked, copies[second])]
+            if i[low] != j[low]:
+                sides.append((second, linked.T, copies[first]))
+            for here, table, there in sides:
+                texts_linked, copies_linked = table.sum(axis=1), table @ there
+                for p in np.flatnonzero(texts_linked).tolist():
+                    out.append((names[here[p]], None, int(texts_linked[p]), int(copies_linked[p])))
         return pd.DataFrame(out, columns=["a", "b", "links", "count"])
 
     counts = texts.groupBy("root").agg(F.count("*").alias("n"))
     blocks = _in_block_pairs(texts, ["root"], counts)
-    return blocks.groupBy("root", "i", "j").applyInPandas(
+    shard = F.pmod(F.xxhash64("root", "i", "j"), F.lit(shards))
+    return blocks.groupBy(shard.alias("shard")).applyInPandas(
         check, "a binary, b binary, links long, count long"
     )
 
@@ -311,12 +339,13 @@ def similar_classes(
         )
     )
     near = components(candidate_edges(sets.select("name", "keys", "values"), threshold, tolerance))
+    shards = max(1, near.count() // NEAR_A_SHARD)
     chosen = near.withColumnRenamed("node", "name").join(
         sets.select("name", "copies", F.col("place.id_key").alias("id_key")), "name"
     )
     read = chosen.join(texts.select("id_key", "text"), "id_key").dropDuplicates(["name"])
     checked = checkpointed(
-        verified(read.select("root", "name", "text", "copies"), threshold, width)
+        verified(read.select("root", "name", "text", "copies"), shards, threshold, width)
     )
     linked = components(checked.where("b IS NOT NULL").select("a", "b"))
     links = (
