@@ -122,7 +122,8 @@ def learn_lexicon(rows: DataFrame, most: int = LEXICON_WORDS) -> dict[str, float
     A word counts once a distinct text, so that copies weigh nothing; log odds are compared with
     those of all words in standard errors. At most ``most`` words come back.
     """
-    distinct = rows.dropDuplicates(["text", "toxic"]).select(
+    named = rows.withColumn("name", F.xxhash64("text"))
+    distinct = named.dropDuplicates(["name", "toxic"]).select(
         "toxic", F.explode(F.array_distinct(F.split(F.lower("text"), r"\s+"))).alias("token")
     )
     word = F.regexp_replace("token", r"^[\p{Punct}¡¿«»„“”]+|[\p{Punct}¡¿«»„“”]+$", "")
@@ -183,7 +184,7 @@ def learn(
     )
     rows = (
         docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-        .join(chosen, "doc_id")
+        .join(F.broadcast(chosen), "doc_id")  # at most ``most`` rows of two numbers
         .select("doc_id", "toxic", "text")
     )
     lexicon = learn_lexicon(rows)
