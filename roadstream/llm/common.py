@@ -25,8 +25,10 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
     """The batches in parts of a few rows: a batch may hold 10,000 long texts, and Python should
     have only some of them as objects at a time."""
     for batch in batches:
-        for at in range(0, batch.num_rows, rows):
+        size = batch.num_rows if isinstance(batch, pa.RecordBatch) else len(batch)
+        for at in range(0, size, rows):
             yield batch.slice(at, rows)
+        pa.default_memory_pool().release_unused()
 
 
 def id_hash(doc_id: Column) -> Column:

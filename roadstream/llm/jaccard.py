@@ -14,14 +14,16 @@ Buckets and groups of any size are cut into blocks, and every pair of blocks is
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadstream.llm.common import ROW, checkpointed, packed
+from roadstream.llm.common import ROW, checkpointed, packed, slices
 from roadstream.llm.components import components
 from roadstream.llm.shingles import WIDTH, U, mixed, shingle_hashes
 
@@ -126,18 +128,23 @@ SIGNED = "name binary, keys binary, values binary"
 def signatures(width: int = WIDTH):
     """text -> set name, band keys and one-byte MinHash values; nulls for a text without words."""
 
-    @F.pandas_udf(SIGNED)
-    def sign(texts: pd.Series) -> pd.DataFrame:
-        out = []
-        for hashes in shingle_hashes(texts.tolist(), width):
-            if not len(hashes):
-                out.append((None, None, None))
-                continue
-            held = np.unique(hashes)
-            values = min_hashes(held)
-            short = ((values >> U(16)) & U(255)).astype(np.uint8)
-            out.append((set_name(held), band_keys(values).tobytes(), short.tobytes()))
-        return pd.DataFrame(out, columns=["name", "keys", "values"], dtype=object)
+    kinds = [pa.field(part.split()[0], pa.binary()) for part in SIGNED.split(", ")]
+
+    @F.arrow_udf(SIGNED)
+    def sign(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            out: list[list] = [[], [], []]
+            for part in slices([texts]):
+                for hashes in shingle_hashes(part.to_pylist(), width):
+                    made = (None, None, None)
+                    if len(hashes):
+                        held = np.unique(hashes)
+                        values = min_hashes(held)
+                        short = ((values >> U(16)) & U(255)).astype(np.uint8)
+                        made = set_name(held), band_keys(values).tobytes(), short.tobytes()
+                    for column, value in zip(out, made, strict=True):
+                        column.append(value)
+            yield pa.StructArray.from_arrays([pa.array(c, pa.binary()) for c in out], fields=kinds)
 
     return sign
 

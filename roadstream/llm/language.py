@@ -11,11 +11,13 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from roadstream.llm.common import slices
+
 LEVEL = 6
 # The sample the dictionaries are made of: so many labelled texts a language, chosen by hash of
 # their id, and so many characters of each. The model's size is bounded by these two and by the
@@ -105,6 +107,12 @@ def decide(
 
 
 RESULT = "lang_pred string, score double, margin double, rejected boolean"
+KINDS = [
+    pa.field("lang_pred", pa.string()),
+    pa.field("score", pa.float64()),
+    pa.field("margin", pa.float64()),
+    pa.field("rejected", pa.bool_()),
+]
 
 
 def identify(
@@ -119,11 +127,18 @@ def identify(
     Only the text decides. Every row keeps its columns, and repeated rows stay repeated.
     """
 
-    @F.pandas_udf(RESULT)
-    def guess(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(RESULT)
+    def guess(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         languages = coders(model)
         for texts in batches:
-            found = [decide(t, languages, margin) for t in texts]
-            yield pd.DataFrame(found, columns=["lang_pred", "score", "margin", "rejected"])
+            found = [
+                decide(text, languages, margin)
+                for part in slices([texts])
+                for text in part.to_pylist()
+            ]
+            columns = zip(*found, strict=True) if found else [[]] * len(KINDS)
+            yield pa.StructArray.from_arrays(
+                [pa.array(c, f.type) for c, f in zip(columns, KINDS, strict=True)], fields=KINDS
+            )
 
     return docs.withColumn("__lang", guess(F.col(f"`{text}`")))

@@ -12,7 +12,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 
 WIDTH = 5
-CHUNK_BYTES = 1 << 21  # texts hashed together; a longer text is hashed alone
+CHUNK_BYTES = 1 << 19  # texts hashed together; a longer text is hashed alone
 
 U = np.uint64
 _BASE = 0x9E3779B97F4A7C15  # odd, so that its powers have inverses modulo 2**64
