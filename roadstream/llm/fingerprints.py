@@ -14,9 +14,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from roadstream.llm.common import slices
 from roadstream.llm.shingles import WIDTH, shingle_hashes
 
 K = 128
@@ -73,20 +75,21 @@ def fingerprints(
     """doc_id, fingerprint, n_shingles (distinct, estimated). A null text counts as empty; texts
     without words have an empty fingerprint; repeated rows give repeated rows."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            made = list(sketches(batch["text"].fillna("").tolist(), k))
-            yield pd.DataFrame(
-                {
-                    "doc_id": batch["doc_id"],
-                    "fingerprint": [as_text(a) for a in made],
-                    "n_shingles": [distinct_shingles(a, k) for a in made],
-                }
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            made = list(sketches([t or "" for t in batch.column("text").to_pylist()], k))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"),
+                    pa.array([as_text(a) for a in made], pa.string()),
+                    pa.array([distinct_shingles(a, k) for a in made], pa.float64()),
+                ],
+                names=["doc_id", "fingerprint", "n_shingles"],
             )
 
     chosen = docs.select(F.col(id_column).alias("doc_id"), F.col(text).alias("text"))
     kind = chosen.schema["doc_id"].dataType.simpleString()
-    return chosen.mapInPandas(run, f"doc_id {kind}, fingerprint string, n_shingles double")
+    return chosen.mapInArrow(run, f"doc_id {kind}, fingerprint string, n_shingles double")
 
 
 def with_next(docs: DataFrame) -> DataFrame:
@@ -138,6 +141,7 @@ EDITED = (
     "edited_fingerprint string, near_edited double, near_next double, n_shingles double, "
     "edited_contained double"
 )
+EDITED_NAMES = [part.split()[0] for part in EDITED.split(", ")]
 
 
 def edit_probe(docs: DataFrame, *, k: int = K) -> DataFrame:
@@ -148,37 +152,32 @@ def edit_probe(docs: DataFrame, *, k: int = K) -> DataFrame:
     no rows; repeated rows follow each other.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            texts, following = batch["text"].tolist(), batch["next_text"].tolist()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            texts = batch.column("text").to_pylist()
+            following = batch.column("next_text").to_pylist()
             known = dict(zip(texts, sketches(texts, k), strict=True))
             # Most successors are rows of the same batch.
             other = [t for t in dict.fromkeys(following) if t not in known]
             known.update(zip(other, sketches(other, k), strict=True))
-            quarter = [len(t) // 4 for t in texts]
             edited = [
-                t[: len(t) - n] + f[:n] for t, f, n in zip(texts, following, quarter, strict=True)
+                t[: len(t) - len(t) // 4] + f[: len(t) // 4]
+                for t, f in zip(texts, following, strict=True)
             ]
-            out = []
-            made = sketches(edited, k)
-            for i, t, f, e, s in zip(batch["doc_id"], texts, following, edited, made, strict=True):
-                own = known[t]
-                out.append(
-                    (
-                        i,
-                        len(t),
-                        hashlib.sha256(e.encode()).hexdigest(),
-                        as_text(own),
-                        as_text(s),
-                        resemblance(own, s, k),
-                        resemblance(own, known[f], k),
-                        distinct_shingles(own, k),
-                        containment(s, own, k),
-                    )
-                )
-            names = [part.split()[0] for part in EDITED.split(", ")]
-            frame = pd.DataFrame(out, columns=names)
-            frame["doc_id"] = batch["doc_id"].astype("Int64").to_numpy() if out else []
-            yield frame
-
-    return with_next(docs).mapInPandas(run, EDITED)
+            own = [known[t] for t in texts]
+            after = [known[f] for f in following]
+            new = list(sketches(edited, k))
+            columns = [
+                batch.column("doc_id"),
+                pa.array([len(t) for t in texts], pa.int64()),
+                pa.array([hashlib.sha256(e.encode()).hexdigest() for e in edited]),
+                pa.array([as_text(a) for a in own]),
+                pa.array([as_text(a) for a in new]),
+                pa.array([resemblance(a, b, k) for a, b in zip(own, new, strict=True)]),
+                pa.array([resemblance(a, b, k) for a, b in zip(own, after, strict=True)]),
+                pa.array([distinct_shingles(a, k) for a in own]),
+                pa.array([containment(b, a, k) for a, b in zip(own, new, strict=True)]),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=EDITED_NAMES)
+
+    return with_next(docs).mapInArrow(run, EDITED)
