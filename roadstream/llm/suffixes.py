@@ -34,7 +34,7 @@ from roadstream.llm.shingles import _BASE, _BYTES, _INVERSE, U, mixed, powers
 
 LENGTH = 200
 GRAM = 96
-HOT = 256  # different segments of one anchor that are still sorted in one task
+HOT = 1024  # different segments of one anchor that are still sorted in one task
 BUCKET = 2048  # segments that one task sorts together
 
 # A segment's place: 24 bits of a hash of the text (rows may share an id), 33 of its start and
@@ -191,17 +191,9 @@ def _sorted_windows(length: int, gram: int):
             length,
             gram,
         )
-        runs = [_runs(marks) for marks in found]
-        many = [len(r) for r in runs]
-        every = np.concatenate(runs) if runs else np.empty((0, 2))
-        return pd.DataFrame(
-            {
-                "anchor": np.repeat(frame["anchor"].to_numpy(), many),
-                "whole": np.repeat(frame["whole"].to_numpy(), many),
-                "begin": every[:, 0].astype(np.int32),
-                "end": every[:, 1].astype(np.int32),
-            }
-        )
+        runs = [(r[:, 0] << 8 | r[:, 1]).tolist() for r in map(_runs, found)]
+        made = frame[["anchor", "whole"]].assign(runs=runs)
+        return made[made["runs"].map(len) > 0]
 
     return run
 
@@ -235,8 +227,8 @@ def _spread_windows(length: int):
 def repeated_spans(
     docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, hot: int = HOT
 ) -> DataFrame:
-    """doc_id, tag, span for every repeated stretch of ``docs`` (doc_id, tag, text); a span is
-    start << 9 | number of bytes, spans of a document overlap."""
+    """doc_id, tag, spans for every segment of ``docs`` (doc_id, tag, text) that holds repeated
+    bytes; a span is start << 9 | number of bytes, spans of a document overlap."""
     pieces = docs.mapInArrow(_anchors(length, gram), ANCHORS)
     counts = pieces.groupBy("anchor").agg(
         F.count("*").alias("n"),
@@ -251,9 +243,8 @@ def repeated_spans(
     number = F.expr(f"cast(at & {(1 << RUN_BITS) - 1} AS int)")
     start = F.expr(f"(at >> {RUN_BITS}) & {(1 << START_BITS) - 1}L")
     tag = F.shiftrightunsigned("at", RUN_BITS + START_BITS)
-    whole_runs = shared.where("NOT differ").select(
-        "doc_id", "at", F.lit(0).alias("begin"), number.alias("end")
-    )
+    # Repeated windows of a segment come as runs, begin << 8 | end.
+    whole_runs = shared.where("NOT differ").select("doc_id", "at", F.array(number).alias("runs"))
 
     # Each different segment once, with one of its places.
     mixed_ones = shared.where("differ")
@@ -284,7 +275,7 @@ def repeated_spans(
         .select("bucket", "anchor", "whole", "copies", "twice", "bytes")
         .groupBy("bucket")
         .applyInPandas(
-            _sorted_windows(length, gram), "anchor long, whole long, begin int, end int"
+            _sorted_windows(length, gram), "anchor long, whole long, runs array<int>"
         )
     )
     many = (
@@ -294,15 +285,27 @@ def repeated_spans(
         .mapInArrow(_spread_windows(length), WINDOWS)
     )
     often = many.groupBy("anchor", "window").agg(F.sum("copies").alias("n")).where("n > 1")
-    one_by_one = many.join(often, ["anchor", "window"]).select(
-        "anchor", "whole", F.col("place").alias("begin"), (F.col("place") + 1).alias("end")
+    places = (
+        many.join(often, ["anchor", "window"])
+        .groupBy("anchor", "whole")
+        .agg(F.array_sort(F.collect_list("place")).alias("places"))  # at most 127 of a segment
     )
+    begins = F.filter("places", lambda p: ~F.array_contains("places", p - 1))
+    ends = F.filter("places", lambda p: ~F.array_contains("places", p + 1))
+    encoded = F.zip_with(begins, ends, lambda b, e: F.shiftleft(b, 8).bitwiseOR(e + 1))
+    one_by_one = places.select("anchor", "whole", encoded.alias("runs"))
     parts = mixed_ones.join(few.union(one_by_one), ["anchor", "whole"]).select(
-        "doc_id", "at", "begin", "end"
+        "doc_id", "at", "runs"
+    )
+
+    def span(run):
+        """Bytes under the windows begin <= place < end of a segment."""
+        begin, end = F.shiftright(run, 8), run.bitwiseAND(F.lit(255))
+        return F.shiftleft(start + begin, 9).bitwiseOR((end - begin + (length - 1)).cast("long"))
+
+    return whole_runs.union(parts).select(
+        "doc_id", tag.alias("tag"), F.transform("runs", span).alias("spans")
     )
-    bytes_here = F.col("end") - F.col("begin") + (length - 1)
-    span = F.shiftleft(start + F.col("begin"), 9).bitwiseOR(bytes_here.cast("long"))
-    return whole_runs.union(parts).select("doc_id", tag.alias("tag"), span.alias("span"))
 
 
 def text_tag(text):
@@ -328,7 +331,7 @@ def without_repeats(
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     tagged = texts.select("doc_id", text_tag(F.col("text")).alias("tag"), "text")
     spans = repeated_spans(tagged, length=length, gram=gram, hot=hot)
-    lists = spans.groupBy("doc_id", "tag").agg(F.collect_list("span").alias("spans"))
+    lists = spans.groupBy("doc_id", "tag").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     lists = lists.select(F.col("doc_id").alias("held_id"), F.col("tag").alias("held_tag"), "spans")
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
