@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 from cases import documents
 
 from roadstream.llm import language
@@ -49,3 +51,24 @@ def test_without_labels(spark):
 def test_the_sample_is_bounded(spark):
     model = language.learn(documents(spark, ROWS), texts=3, chars=10)
     assert all(len(content) <= 3 * 11 for content in model.values())
+
+
+def test_every_part_of_a_long_text_counts_alike(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(
+        "doc_id", "text", "lang"
+    )
+    languages = language.coders(language.learn(docs))
+    rng = random.Random(5)
+
+    def prose(lang, chars):
+        """Words of a language in random order, so that long texts do not repeat themselves."""
+        rows = docs.where("text IS NOT NULL").where(docs.lang == lang).collect()
+        words = sorted({w for r in rows for w in r.text.split()})
+        return " ".join(rng.choices(words, k=chars // 4))[:chars]
+
+    english, french = prose("en", 4_000_000), prose("fr", 800_000)
+    for text in (french + " " + english, english + " " + french):
+        found, _, lead, rejected = language.decide(text, languages)
+        assert found == "en" and not rejected
+    leads = [language.decide(english[:n], languages)[2] for n in (250_000, 4_000_000)]
+    assert leads[1] > 0.8 * leads[0]
