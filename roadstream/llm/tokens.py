@@ -1,14 +1,15 @@
 """Token ids of a byte-level BPE vocabulary, and exact length histograms.
 
 The vocabulary is a file of the ``tokenizers`` library; the library that reads ranks gives the
-same ids several times faster and is used for all texts but those that spell out a special
-token, which the tokenizer itself encodes.
+same ids several times faster and is used for all texts but those that spell out a special token or
+hold a very long run of white space, which the tokenizer itself encodes.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -19,6 +20,10 @@ from pyspark.sql import functions as F
 VOCABULARY = "byte_bpe_50k.json"
 END = 2  # closes every document
 SPAN = 1024  # lengths per block of the suffix sums
+# The fast library's stack overflows on runs of white space between 700,000 and 1,000,000
+# characters. A run is tried from its first character only, so the search is linear.
+LONGEST_RUN = 100_000
+LONG_RUN = re.compile(r"(?<!\s)\s{%d}" % (LONGEST_RUN + 1))
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -58,7 +63,8 @@ def encoder(path: str) -> Callable[[str], list[int]]:
     exact = Tokenizer.from_file(path)
 
     def encode(text: str) -> list[int]:
-        if any(token in text for token in special):
+        long_run = len(text) > LONGEST_RUN and LONG_RUN.search(text)
+        if long_run or any(token in text for token in special):
             return exact.encode(text, add_special_tokens=False).ids
         return fast.encode_ordinary(text)
 

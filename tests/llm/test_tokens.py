@@ -3,7 +3,7 @@ from __future__ import annotations
 from cases import collected, documents
 from tokenizers import Tokenizer
 
-from roadstream.llm import tokens
+from roadstream.llm import packing, tokens
 
 TEXTS = [
     "", " ", "hello  world", "It's they'll we'd I'm \n\n x", "größe señal été œuvre ½²３", "日本語 текст 🙂",
@@ -52,3 +52,18 @@ def test_lengths(spark):
     assert found == sorted(((len(encode(t or "")) + 1,) for _, t in rows), key=repr)
     empty = tokens.length_table(tokens.lengths(documents(spark, [])))
     assert empty.count() == 0
+
+
+def test_long_runs_of_white_space(spark):
+    path = tokens.vocabulary_path()
+    encode, exact = tokens.encoder(path), Tokenizer.from_file(path)
+    n = tokens.LONGEST_RUN
+    texts = [" " * 1_000_000, "\n" * 1_000_000, "a" + "\u2003 \r\n" * 300_000 + "b"]
+    texts += ["a" + " " * k + "b" for k in (n - 1, n, n + 1)]
+    texts += ["\n" * n + "x" + " " * 1_500_000, (" " * n + "x") * 20]
+    for text in texts:
+        assert encode(text) == exact.encode(text, add_special_tokens=False).ids
+    rows = [(1, texts[0]), (2, "hello world"), (3, texts[1])]
+    found = collected(tokens.lengths(documents(spark, rows)), "n_tokens")
+    assert found == sorted(((len(encode(t)) + 1,) for _, t in rows), key=repr)
+    assert packing.pack(documents(spark, rows)).select("doc_id").distinct().count() == 3
