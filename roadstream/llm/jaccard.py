@@ -20,7 +20,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadstream.llm.common import ROW, checkpointed, packed, slices
@@ -34,8 +34,10 @@ LOOKS = (16, 32, 48, 64, 96, 128)  # MinHash values compared before each decisio
 TOLERANCE = 1e-7
 BLOCK = 256  # texts of a bucket or group that are compared at once
 PAIRS_AT_ONCE = 1 << 15
-# Pairs of blocks are dealt to groups by hash; a group has work for about so many texts.
-TEXTS_A_SHARD, NEAR_A_SHARD = 1024, 256
+# Pairs of blocks are dealt to shards by hash; a shard has about so many rows, a text being a row
+# in every pair of blocks it belongs to, or one pair of blocks.
+ROWS_A_SHARD, TEXTS_A_SHARD = 16 * BLOCK, BLOCK
+BUCKETS = 4096  # of hashed groups; a bucket gets slots in proportion to its members
 STRIDE = 2048  # shingles hashed at once
 
 _A = np.random.default_rng(11).integers(1, 1 << 63, HASHES, dtype=np.uint64) * U(2) + U(1)
@@ -149,12 +151,29 @@ def signatures(width: int = WIDTH):
     return sign
 
 
-def _in_block_pairs(members: DataFrame, group: list[str], counts: DataFrame) -> DataFrame:
-    """``members`` repeated for every pair (i, j) of the blocks of their group that has theirs;
-    ``counts`` has the number of members n of each group. A group of one block has one pair."""
-    placed = members.join(counts, group).withColumn(
-        "blocks", F.ceil(F.col("n") / BLOCK).cast("int")
-    )
+def _with_sizes(members: DataFrame, group: str, counts: DataFrame) -> DataFrame:
+    """The ``members`` whose group is in ``counts`` (group, n), with n.
+
+    Groups are hashed into buckets, and a bucket gets as many slots as it holds times the average
+    number of members of a bucket. A member goes to one slot, the sizes of its bucket's groups are
+    in all of them, so that no group fills a task. Only the slots of the buckets are broadcast."""
+    total = counts.agg(F.sum("n").alias("n")).first()["n"] or 1
+    place = F.pmod(F.xxhash64(group, F.lit(5)), F.lit(BUCKETS)).cast("int")
+    sized = counts.withColumn("place", place)
+    share = F.sum("n") / F.lit(float(total))
+    slots = sized.groupBy("place").agg(F.ceil(share * BUCKETS).cast("int").alias("slots"))
+    every_slot = F.explode(F.sequence(F.lit(0), F.col("slots") - 1)).alias("slot")
+    known = sized.join(F.broadcast(slots), "place").select(group, "n", every_slot)
+    own = F.pmod(F.xxhash64("name", F.lit(7)), F.col("slots")).cast("int")
+    dealt = members.withColumn("place", place).join(F.broadcast(slots), "place")
+    dealt = dealt.select(*members.columns, own.alias("slot"))
+    return dealt.join(known, [group, "slot"]).drop("slot")
+
+
+def _in_block_pairs(members: DataFrame) -> DataFrame:
+    """``members`` (with n, the size of their group) repeated for every pair (i, j) of the blocks
+    of their group that has theirs. A group of one block has one pair."""
+    placed = members.withColumn("blocks", _blocks(F.col("n")).cast("int"))
     placed = placed.withColumn("own", F.pmod(F.xxhash64("name", F.lit(3)), "blocks").cast("int"))
     others = F.sequence(F.lit(0), F.col("blocks") - 1)
     return (
@@ -165,6 +184,18 @@ def _in_block_pairs(members: DataFrame, group: list[str], counts: DataFrame) ->
     )
 
 
+def _blocks(n: Column) -> Column:
+    return F.ceil(n / BLOCK)
+
+
+def _shards(counts: DataFrame, rows: int) -> int:
+    """How many shards hold about ``rows`` rows each of what _in_block_pairs makes of groups of
+    the sizes n in ``counts``. It grows with the square of a group, as the rows do."""
+    n = F.col("n").cast("long")
+    total = counts.agg(F.sum(n * _blocks(n)).alias("rows")).first()["rows"] or 0
+    return max(1, min(-(-total // rows), (1 << 31) - 1))
+
+
 def _bounds(*columns: np.ndarray) -> list[tuple[int, int]]:
     """Begin and end of every run of rows that agree in all columns."""
     n = len(columns[0])
@@ -197,9 +228,8 @@ def candidate_edges(
         "name",
         F.explode(F.array(*[words(i) + (i << 32) for i in range(BANDS)])).alias("bucket"),
     )
-    counts = keyed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    shared = keyed.join(counts.select("bucket"), "bucket", "left_semi")
-    members = shared.join(texts, "name")
+    counts = checkpointed(keyed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"))
+    members = _with_sizes(keyed, "bucket", counts).join(texts, "name")
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["bucket", "i", "j", "name"], ignore_index=True)
@@ -230,8 +260,8 @@ def candidate_edges(
             {"a": [names[x] for x, _ in edges], "b": [names[y] for _, y in edges]}, dtype=object
         )
 
-    blocks = _in_block_pairs(members, ["bucket"], counts)
-    shards = max(1, texts.count() // TEXTS_A_SHARD)
+    blocks = _in_block_pairs(members)
+    shards = _shards(counts, ROWS_A_SHARD)
     shard = F.pmod(F.xxhash64("bucket", "i", "j"), F.lit(shards))
     return blocks.groupBy(shard.alias("shard")).applyInPandas(compare, "a binary, b binary")
 
@@ -253,12 +283,12 @@ def _common(sets: list[np.ndarray], first: np.ndarray, second: np.ndarray) -> np
 
 
 def verified(
-    texts: DataFrame, shards: int, threshold: float = THRESHOLD, width: int = WIDTH
+    texts: DataFrame, counts: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH
 ) -> DataFrame:
-    """Of ``texts`` (root, name, text, copies): rows (a, b, links, count), one for every edge of
-    a spanning forest of the links within a pair of blocks, and, with null b, one for every text
-    with its number of linked texts (links) and of their copies (count). The pairs of blocks
-    are dealt to ``shards`` groups."""
+    """Of ``texts`` (root, n, name, text, copies), the n of a root as in ``counts``: rows (a, b,
+    links, count), one for every edge of a spanning forest of the links within a pair of blocks,
+    and, with null b, one for every text with its number of linked texts (links) and of their
+    copies (count)."""
 
     def check(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["root", "i", "j", "name"], ignore_index=True)
@@ -293,8 +323,8 @@ def verified(
                     out.append((names[here[p]], None, int(texts_linked[p]), int(copies_linked[p])))
         return pd.DataFrame(out, columns=["a", "b", "links", "count"])
 
-    counts = texts.groupBy("root").agg(F.count("*").alias("n"))
-    blocks = _in_block_pairs(texts, ["root"], counts)
+    blocks = _in_block_pairs(texts)
+    shards = _shards(counts, TEXTS_A_SHARD)
     shard = F.pmod(F.xxhash64("root", "i", "j"), F.lit(shards))
     return blocks.groupBy(shard.alias("shard")).applyInPandas(
         check, "a binary, b binary, links long, count long"
@@ -346,13 +376,13 @@ def similar_classes(
         )
     )
     near = components(candidate_edges(sets.select("name", "keys", "values"), threshold, tolerance))
-    shards = max(1, near.count() // NEAR_A_SHARD)
-    chosen = near.withColumnRenamed("node", "name").join(
+    counts = checkpointed(near.groupBy("root").agg(F.count("*").alias("n")))
+    chosen = _with_sizes(near.withColumnRenamed("node", "name"), "root", counts).join(
         sets.select("name", "copies", F.col("place.id_key").alias("id_key")), "name"
     )
     read = chosen.join(texts.select("id_key", "text"), "id_key").dropDuplicates(["name"])
     checked = checkpointed(
-        verified(read.select("root", "name", "text", "copies"), shards, threshold, width)
+        verified(read.select("root", "n", "name", "text", "copies"), counts, threshold, width)
     )
     linked = components(checked.where("b IS NOT NULL").select("a", "b"))
     links = (

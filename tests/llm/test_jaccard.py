@@ -6,8 +6,10 @@ from collections import defaultdict
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pytest
 from cases import SMALL, collected, documents, jaccard, shingle_set
+from pyspark.sql import GroupedData
 
 from roadstream.llm import jaccard as join
 from roadstream.llm.components import components
@@ -110,3 +112,39 @@ def test_components(spark):
         (1, 1), (18, 18), (19, 18), (2, 1), (20, 18), (3, 1), (4, 1), (5, 5), (7, 7), (8, 7), (9, 1)
     ]
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_a_large_group_is_dealt_to_many_tasks(spark, monkeypatch):
+    """However large the group of near copies, a call has a few pairs of blocks, not the group."""
+    monkeypatch.setattr(join, "BLOCK", 16)
+    limits = {"ROWS_A_SHARD": 2048, "TEXTS_A_SHARD": 32}
+    for name, limit in limits.items():
+        monkeypatch.setattr(join, name, limit, raising=False)
+    words = [f"w{i}" for i in range(150)]
+    rows = [(i, " ".join([*words[:-1], f"e{i}"])) for i in range(400)]
+    rows += [(400 + i, f"other text number {i} of many that are not alike") for i in range(200)]
+    calls, plain = [], GroupedData.applyInPandas
+
+    def counted(self, function, schema):
+        sizes = plain(self, lambda frame: pd.DataFrame({"n": [len(frame)]}), "n long")
+        calls.append([r.n for r in sizes.collect()])
+        return plain(self, function, schema)
+
+    monkeypatch.setattr(GroupedData, "applyInPandas", counted)
+    found = join.similar_classes(documents(spark, rows))
+    assert collected(found, "doc_id", "class_id", "n_links") == sorted(brute_force(rows), key=repr)
+    assert len(calls) == 2
+    for sizes, limit in zip(calls, limits.values(), strict=True):
+        assert sum(sizes) >= 400 * 400 // 16  # all pairs of blocks are there
+        assert max(sizes) < 12 * limit  # shards are filled by hash
+
+
+def test_sizes_of_groups(spark):
+    rows = [(f"n{i}", 0) for i in range(500)] + [(f"m{i}", 1 + i // 2) for i in range(100)]
+    members = spark.createDataFrame([*rows, ("alone", 99)], "name string, root long")
+    counts = members.groupBy("root").count().withColumnRenamed("count", "n").where("n > 1")
+    found = join._with_sizes(members, "root", counts)
+    expected = [(name, root, 500 if root == 0 else 2) for name, root in rows]
+    assert collected(found, "name", "root", "n") == sorted(expected, key=repr)
+    nothing = join._with_sizes(members, "root", counts.where("n < 0"))
+    assert nothing.count() == 0
