@@ -108,7 +108,7 @@ def test_catalog_views_equal_dataframes(spark, tables, tmp_path):
     upsert_fact(tables["fact_traffic"], stored["fact_traffic"])
     upsert_dim(tables["dim_zone"], stored["dim_zone"], "city_zone")
     upsert_dim(tables["dim_road"], stored["dim_road"], "road_id")
-    stored["traffic_rejects"].write_batch(tables["traffic_rejects"], "run", 0)
+    stored["traffic_rejects"].append(tables["traffic_rejects"])
     catalog.refresh_warehouse(spark, settings)
     for name, frame in views.all_views(tables).items():
         view = spark.table(f"views_test.{name}")
