@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadstream.llm import (
+    codes,
     fingerprints,
+    hosts,
     jaccard,
     language,
     lines,
@@ -17,7 +21,7 @@ from roadstream.llm import (
     topk,
     toxicity,
 )
-from roadstream.llm.common import ROW, id_hash, table
+from roadstream.llm.common import ROW, id_hash, join_groups, table, written
 
 
 def _documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
@@ -107,6 +111,38 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select(f"{ROW}.doc_id", "size", "source_size", "target", taken)
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The product code of every vector, its error and the error of its label."""
+    made = codes.compress(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    # Errors beyond 64 bits are null, and so is a sum that holds one.
+    error = F.sum(F.col("error").cast("decimal(38,0)"))
+    whole = F.when(F.count("error") == F.count("*"), error)
+    labels, _ = written(
+        made.rows.groupBy("label").agg(
+            F.count("*").alias("n"), whole.try_cast("long").alias("label_error")
+        )
+    )
+    digest = hashlib.sha256(codes.book_text(made.books).encode()).hexdigest()
+    return join_groups(made.rows, labels, "label", "n").select(
+        "vec_id", "code", "error", "label_error", F.lit(digest).alias("codebooks_sha256")
+    )
+
+
+def op13_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures of every document, and whether it passes the rules for itself and its host."""
+    made = hosts.judged(_documents(spark, sf_dir, "source"), keep=["doc_id"])
+    return made.select(
+        f"{ROW}.doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+    )
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
@@ -118,10 +154,14 @@ QUERIES = {
     "op8_fingerprints": op8_fingerprints,
     "op9_toxicity": op9_toxicity,
     "op10_mix_sources": op10_mix_sources,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_host_rules": op13_host_rules,
 }
 
 ORACLE_SQL = {
     "op3_exact_top_k": topk.SQL,
     "op4_line_dedup": lines.SQL,
     "op10_mix_sources": mixing.SQL,
+    "op12_vector_codes": codes.SQL,
+    "op13_host_rules": hosts.SQL,
 }

@@ -1,0 +1,124 @@
+"""Host-level rules against plain Python."""
+
+from __future__ import annotations
+
+import re
+from collections import Counter
+
+import numpy as np
+from cases import SMALL, collected, documents
+from hypothesis import given
+from hypothesis import strategies as st
+
+from roadstream.llm import hosts
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+GOOD = " ".join(f"word{i}" for i in range(60))
+BAD = "buy now " * 40
+
+
+def measures(text):
+    text = text or ""
+    words = WORD.findall(text)
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    often = Counter(windows)
+    inside = {i + k for i, w in enumerate(windows) if often[w] > 1 for k in range(3)}
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    return (
+        len(words),
+        sum(map(len, words)),
+        len(re.findall(r"[#*$%&|<>]", text)),
+        len(lines),
+        len(lines) - len(set(lines)),
+        len(inside),
+    )
+
+
+@given(st.text(alphabet="ab #\n\t\x0b\x0c\r\x1c  é𝄞", max_size=120))
+def test_measures_of_any_text(text):
+    assert hosts.measured(text) == measures(text)
+
+
+def test_repeats_among_many_kinds_of_words():
+    words = np.array([5, 6, 7, 1, 2, 5, 6, 7])
+    assert hosts.repeated_words(words, 8) == 6
+    assert hosts.repeated_words(words, 1 << 40) == 6  # windows numbered anew on the way
+    assert hosts.repeated_words(np.array([0, 0, 0, 0]), 1) == 4
+    assert hosts.repeated_words(np.array([0, 0, 0]), 1) == 0
+
+
+def brute_force(rows):
+    found = [(d, source, measures(text)) for d, text, source in rows]
+    by_host, failed_by_id = {}, []
+    for _, source, (words, chars, symbols, lines, dups, repeats) in found:
+        base = words < 50 or 100 * repeats > 50 * words
+        soft = (
+            100 * symbols > 10 * words
+            or 100 * dups > 30 * lines
+            or not 2 * words <= chars <= 12 * words
+        )
+        failed_by_id.append((base, base or soft))
+        if source is not None:
+            host = by_host.setdefault(source, [0, 0])
+            host[0] += 1
+            host[1] += base or soft
+    n, failed, groups = sum(h[0] for h in by_host.values()), sum(h[1] for h in by_host.values()), len(by_host)
+    weight, mean = 0, failed / n if n else 0
+    if n:
+        spare = n - sum(h[0] ** 2 for h in by_host.values()) / n - (groups - 1)
+        rho = 0
+        if 0 < mean < 1 and spare > 0:
+            between = sum(h[0] * (h[1] / h[0] - mean) ** 2 for h in by_host.values())
+            rho = (between - mean * (1 - mean) * (groups - 1)) / (mean * (1 - mean) * spare)
+        weight = 1 / min(max(rho, 1e-4), 0.5) - 1
+    rate = {k: (f + mean * weight) / (m + weight) for k, (m, f) in by_host.items()}
+    return sorted(
+        ((d, *m, base, not base and rate.get(source, 0) <= 0.5) for (d, source, m), (base, _) in zip(found, failed_by_id, strict=True)),
+        key=repr,
+    )
+
+
+COLUMNS = ["doc_id", *hosts.MEASURES, "base_failed", "kept"]
+
+
+def verdicts(docs):
+    return collected(hosts.judged(docs).select("__row.doc_id", *COLUMNS[1:]), *COLUMNS)
+
+
+def rows_of_hosts():
+    rows = [(i, BAD if i % 10 else GOOD, "spam") for i in range(60)]
+    rows += [(100 + i, GOOD if i % 10 else BAD, "fine") for i in range(300)]
+    rows += [(500, BAD, "small"), (501, GOOD, "small")]  # too small to be told from the rest
+    rows += [(600 + i, "# " * 60 if i else GOOD, "symbols") for i in range(80)]
+    rows += [(None, GOOD, None), (None, None, None), (700, "", "fine"), (701, GOOD, "fine")]
+    rows += [(700, "", "fine"), (702, "x " * 50, "fine"), (703, "y" * 300_000 + " z " * 400, "fine")]
+    return rows
+
+
+def test_against_plain_python(spark):
+    rows = rows_of_hosts()
+    found = verdicts(documents(spark, rows))
+    assert found == brute_force(rows)
+    kept = {row[0]: row[-1] for row in found}
+    assert not kept[0] and not kept[600]  # good texts of hosts that are mostly bad
+    assert kept[501] and kept[101] and kept[None]  # a small host, a good one, none
+
+
+def test_whole_table_against_plain_python(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    rows = [tuple(r) for r in docs.select("doc_id", "text", "source").collect()]
+    assert verdicts(docs) == brute_force(rows)
+
+
+def test_hosts_that_tell_nothing_apart(spark):
+    for texts in ([GOOD], [BAD], [GOOD, BAD]):
+        rows = [(i, text, "one") for i in range(4) for text in texts]
+        assert verdicts(documents(spark, rows)) == brute_force(rows)
+    nobody = [(1, GOOD, None), (2, BAD, None)]
+    assert verdicts(documents(spark, nobody)) == brute_force(nobody)
+    assert hosts.judged(documents(spark, [])).count() == 0
+
+
+def test_many_hosts_of_one_document(spark):
+    rows = [(i, GOOD if i % 3 else BAD, f"host{i}") for i in range(1500)]
+    assert verdicts(documents(spark, rows)) == brute_force(rows)
