@@ -15,6 +15,7 @@ from roadstream.llm import (
     language,
     lines,
     mixing,
+    negatives,
     packing,
     suffixes,
     tokens,
@@ -111,6 +112,15 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select(f"{ROW}.doc_id", "size", "source_size", "target", taken)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three hard negatives for each of the five positives of every vector whose id is divisible by
+    50; every seventh vector counts under the next label."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    other = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10)
+    shifted = vectors.withColumn("label", F.coalesce(other, F.col("label")))
+    return negatives.hard_negatives(shifted, F.col("vec_id") % 50 == 0)
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The product code of every vector, its error and the error of its label."""
     made = codes.compress(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
@@ -154,6 +164,7 @@ QUERIES = {
     "op8_fingerprints": op8_fingerprints,
     "op9_toxicity": op9_toxicity,
     "op10_mix_sources": op10_mix_sources,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_vector_codes": op12_vector_codes,
     "op13_host_rules": op13_host_rules,
 }
@@ -162,6 +173,7 @@ ORACLE_SQL = {
     "op3_exact_top_k": topk.SQL,
     "op4_line_dedup": lines.SQL,
     "op10_mix_sources": mixing.SQL,
+    "op11_hard_negatives": negatives.SQL,
     "op12_vector_codes": codes.SQL,
     "op13_host_rules": hosts.SQL,
 }
