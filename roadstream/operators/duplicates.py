@@ -22,6 +22,8 @@ rows.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -104,10 +106,12 @@ def rejected_rows(checked: DataFrame) -> DataFrame:
     return checked.filter(F.col("reject_reason") != OK)
 
 
-def stamp_rejects(rejected: DataFrame, rejected_at: Column | None = None) -> DataFrame:
-    """Rejected rows in the shape of the quarantine table."""
+def stamp_rejects(
+    rejected: DataFrame, rejected_at: Column | None = None, extra: Sequence[str] = ()
+) -> DataFrame:
+    """Rejected rows in the shape of the quarantine table, with ``extra`` columns."""
     stamp = F.current_timestamp() if rejected_at is None else rejected_at
     verdict = ["dq_flag", "speed_int", "event_ts", "speed_valid", "time_valid", "reject_reason"]
     kept = [c for c in BRONZE.names if c in rejected.columns]
-    return rejected.select(*kept, *verdict, stamp.alias("rejected_at"))
+    return rejected.select(*kept, *verdict, stamp.alias("rejected_at"), *extra)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +30,7 @@ def apply_feature_engineering(df: DataFrame) -> DataFrame:
     )
 
 
-def silver_rows(clean: DataFrame) -> DataFrame:
-    """Clean, deduplicated rows in the shape of the silver table."""
+def silver_rows(clean: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """Clean, deduplicated rows in the shape of the silver table, with ``extra`` columns."""
     featured = apply_feature_engineering(clean)
-    return featured.select(*[c for c in SILVER.names if c in featured.columns])
+    return featured.select(*[c for c in SILVER.names if c in featured.columns], *extra)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from roadstream.schemas import BRONZE, PAYLOAD
 
@@ -18,15 +19,16 @@ def decode_envelope(messages: DataFrame) -> DataFrame:
     )
 
 
-def parse_payload(decoded: DataFrame) -> DataFrame:
-    """Add the declared payload columns; what does not parse is NULL and stays in raw_json.
+def parse_payload(decoded: DataFrame, extra: StructType = StructType()) -> DataFrame:
+    """Add the declared payload columns, and ``extra`` ones; what does not parse is NULL and stays
+    in raw_json.
 
     The parsed struct is unpacked by a generator. A filter on a payload column stays above
     it, where ``select("data.*")`` would let the optimizer copy the parse into the filter.
     """
-    parsed = F.from_json("raw_json", PAYLOAD)
+    parsed = F.from_json("raw_json", StructType(PAYLOAD.fields + extra.fields))
     return decoded.select("*", F.inline(F.array(parsed)))
 
 
-def bronze_rows(messages: DataFrame) -> DataFrame:
-    return parse_payload(decode_envelope(messages)).select(*BRONZE.names)
+def bronze_rows(messages: DataFrame, extra: StructType = StructType()) -> DataFrame:
+    return parse_payload(decode_envelope(messages), extra).select(*BRONZE.names, *extra.names)

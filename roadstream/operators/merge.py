@@ -40,14 +40,22 @@ def offer_counts(incoming: DataFrame, target: DataFrame, keys) -> DataFrame:
     )
 
 
-def rows_to_insert(incoming: DataFrame, target: DataFrame, keys) -> DataFrame:
-    """Incoming rows, one per key, whose key the target does not hold.
+def lacking(incoming: DataFrame, target: DataFrame, keys) -> DataFrame:
+    """Incoming rows whose key the target does not hold.
 
-    What the target holds leaves first. Both sides are matched on a struct of the key columns:
-    two structs are equal when their fields are, NULL included, so a rerun inserts nothing even
-    for NULL roads or zones.
+    Both sides are matched on a struct of the key columns: two structs are equal when their
+    fields are, NULL included, so a rerun inserts nothing even for NULL roads or zones.
     """
     keys = list(keys)
     held = target.select(_key(keys))
     new = incoming.withColumn("merge_key", _key(keys)).join(held, "merge_key", "left_anti")
-    return one_per_key(new.select(*incoming.columns), keys)
+    return new.select(*incoming.columns)
+
+
+def rows_to_insert(incoming: DataFrame, target: DataFrame, keys) -> DataFrame:
+    """Incoming rows, one per key, whose key the target does not hold. What it holds leaves first.
+
+    ``one_per_key`` uses its rows several times: store or persist ``lacking`` rows in between
+    where the incoming ones are costly.
+    """
+    return one_per_key(lacking(incoming, target, keys), keys)

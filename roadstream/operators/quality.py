@@ -16,10 +16,19 @@ INVALID_TIME = "INVALID_TIME"
 DUPLICATE_EVENT = "DUPLICATE_EVENT"
 
 
+def is_corrupt() -> Column:
+    """Whether the raw text of a row holds the corrupt marker."""
+    return F.col("raw_json").contains(CORRUPT_MARKER)
+
+
 def apply_dq_flags(df: DataFrame) -> DataFrame:
-    """Add dq_flag. A corrupt payload also lacks its fields, so that rule goes first."""
+    """Add dq_flag. A corrupt payload also lacks its fields, so that rule goes first.
+
+    Rows of the bronze table carry the answer to that rule in ``corrupt``; others are searched.
+    """
+    corrupt = F.col("corrupt") if "corrupt" in df.columns else is_corrupt()
     rules = [
-        (F.col("raw_json").contains(CORRUPT_MARKER), "CORRUPT_JSON"),
+        (corrupt, "CORRUPT_JSON"),
         (F.col("vehicle_id").isNull(), "MISSING_VEHICLE"),
         (F.col("event_time").isNull(), "MISSING_TIME"),
         (F.col("congestion_level").isNull(), "MISSING_CONGESTION"),

@@ -23,7 +23,7 @@ fields AS (
          CASE fault WHEN 0 THEN NULL WHEN 1 THEN -10 - n % 51 WHEN 2 THEN 250 + n % 351
               WHEN 6 THEN NULL ELSE true_speed END AS speed_number,
          CASE WHEN fault = 6 THEN
-              CASE turn % 3 WHEN 0 THEN 'FAST' WHEN 1 THEN 'SLOW' ELSE 'UNKNOWN' END
+              CASE turn % 3 WHEN 0 THEN 'brisk' WHEN 1 THEN 'crawl' ELSE 'n/a' END
          END AS speed_word,
          CAST(1 + n % 5 AS INTEGER) AS congestion_level,
          CASE event_type WHEN 'view' THEN 'RAIN' WHEN 'signup' THEN 'FOG'
@@ -31,7 +31,7 @@ fields AS (
          CASE fault WHEN 4 THEN arrival - to_minutes(10 + n % 111)
               WHEN 5 THEN arrival + to_minutes(5 + n % 56) ELSE arrival END AS event_at,
          CASE WHEN fault = 7 THEN
-              CASE turn % 3 WHEN 0 THEN 'GOOD' WHEN 1 THEN 'BAD' ELSE 'UNDER_CONSTRUCTION' END
+              CASE turn % 3 WHEN 0 THEN 'DRY' WHEN 1 THEN 'WET' ELSE 'ICY' END
          END AS road_condition
   FROM faulted
 ),
@@ -190,6 +190,13 @@ def _in_rounds(tables: str) -> str:
     )
 
 
+def _evolved(tables: str) -> str:
+    """The tables with a column more, which odd messages fill."""
+    condition = "CASE WHEN n % 2 = 1 AND fault <> 8 THEN road_condition END AS road_condition"
+    kept = tables.replace("(n + copy - 1) % 3 AS round", f"(n + copy - 1) % 3 AS round, {condition}")
+    return kept.replace("AS rejected_at", "AS rejected_at, road_condition")
+
+
 def _rounded(value: str, digits: int) -> str:
     # Through DECIMAL, so that halves round up as written and not as stored in binary.
     return f"CAST(round(CAST({value} AS DECIMAL(38, 12)), {digits}) AS DOUBLE)"
@@ -363,10 +370,22 @@ _SELECTS = {
     "stream_capped_rejects": (_in_rounds(SILVER), "SELECT * EXCLUDE (rejected_at) FROM rejects"),
     # A copy that another round brings passes the rules and is stopped by the merge.
     "stream_capped_fact": (_in_rounds(STAR), "SELECT DISTINCT * EXCLUDE (ingested_at) FROM fact"),
-    "stream_fresh_bronze": (BRONZE, f"SELECT {PAYLOAD} FROM bronze"),
-    "stream_fresh_silver": (SILVER, "SELECT * FROM silver"),
-    "stream_fresh_rejects": (SILVER, "SELECT * EXCLUDE (rejected_at) FROM rejects"),
-    "stream_fresh_fact": (STAR, "SELECT * EXCLUDE (ingested_at) FROM fact"),
+    "stream_evolved_silver": (_evolved(SILVER), "SELECT * FROM silver"),
+    "stream_evolved_rejects": (_evolved(SILVER), "SELECT * EXCLUDE (rejected_at) FROM rejects"),
+    "catalog_evolved_rejects": (
+        _evolved(SILVER),
+        "SELECT vehicle_id, road_id, city_zone, reject_reason, raw_json, road_condition "
+        "FROM rejects",
+    ),
+    "stream_progress": (
+        STAR,
+        "SELECT 'bronze' AS query, 1::BIGINT AS batches, count(*) AS input_rows, "
+        "count(*) AS written_rows, true AS timed FROM bronze UNION ALL "
+        "SELECT 'silver', 1, count(*), count(*), true FROM bronze UNION ALL "
+        "SELECT 'gold', 1, (SELECT count(*) FROM silver), "
+        "(SELECT count(*) FROM (SELECT DISTINCT vehicle_id, road_id, city_zone, event_ts FROM fact)) "
+        "+ (SELECT count(*) FROM dim_zone) + (SELECT count(*) FROM dim_road), true",
+    ),
     "gaps_dq_flags": (GAPS, f"SELECT {MESSAGE}, dq_flag FROM checked"),
     "gaps_type_casting": (
         GAPS,
@@ -377,6 +396,14 @@ _SELECTS = {
     "gaps_v_reject_monitoring": (_gappy(SILVER), REJECT_MONITORING),
 }
 
+# However often the jobs start, fail or find nothing, the tables end up the same.
+_SELECTS.update(
+    {
+        f"stream_{kind}_{name}": _SELECTS[f"stream_{name}"]
+        for kind in ("fresh", "crashed", "interval")
+        for name in ("bronze", "silver", "rejects", "fact")
+    }
+)
 _SELECTS["catalog_live_counts"] = _SELECTS["verification_counts"]
 _SELECTS["catalog_live_zone_kpis"] = _SELECTS["v_zone_kpis"]
 

@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from dataclasses import replace
+from dataclasses import dataclass, field, replace
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -23,9 +24,16 @@ from roadstream.session import prepare_session
 from roadstream.settings import Settings
 from roadstream.sources import catalog
 from roadstream.sources.feed import dirty_feed, gappy_bronze
-from roadstream.sources.warehouse import upsert_dim, upsert_fact, warehouse_tables
-from roadstream.streaming.jobs import run_available
-from roadstream.streaming.metrics import batch_metrics, dq_breakdown
+from roadstream.sources.tables import Table
+from roadstream.sources.warehouse import fact_span, upsert_dim, upsert_fact, warehouse_tables
+from roadstream.streaming.jobs import JOBS, run_available
+from roadstream.streaming.metrics import (
+    PROGRESS,
+    ProgressTable,
+    batch_metrics,
+    dq_breakdown,
+    progress_summary,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -189,14 +197,23 @@ def _empty_warehouse(spark: SparkSession):
     return settings, warehouse_tables(spark, settings)
 
 
-def merged_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two overlapping parts of the facts merged one after the other."""
+def _merge_parts(spark: SparkSession, facts: DataFrame) -> DataFrame:
+    """The fact table after two overlapping parts were merged one after the other."""
     _, tables = _empty_warehouse(spark)
-    for part in _overlapping_parts(pipeline(spark, sf_dir).fact):
-        upsert_fact(part, tables["fact_traffic"])
+    facts = facts.persist()  # both parts and their spans come from one reading of the events
+    try:
+        for part in _overlapping_parts(facts):
+            upsert_fact(part, tables["fact_traffic"], fact_span(part))
+    finally:
+        facts.unpersist()
     return tables["fact_traffic"].read()
 
 
+def merged_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two overlapping parts of the facts merged one after the other."""
+    return _merge_parts(spark, pipeline(spark, sf_dir).fact)
+
+
 def merged_dim_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, tables = _empty_warehouse(spark)
     for part in _overlapping_parts(pipeline(spark, sf_dir).fact):
@@ -241,10 +258,7 @@ def gaps_upsert_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Facts, some without road or zone, merged in two overlapping parts."""
     accepted = gappy_labelled(spark, sf_dir).filter(F.col("reject_reason") == quality.OK)
     facts = star.fact_traffic(features.silver_rows(accepted), F.col("kafka_timestamp"))
-    _, tables = _empty_warehouse(spark)
-    for part in _overlapping_parts(facts):
-        upsert_fact(part, tables["fact_traffic"])
-    return tables["fact_traffic"].read()
+    return _merge_parts(spark, facts)
 
 
 def gaps_reject_monitoring(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -311,6 +325,111 @@ def _run_streams_afresh(spark: SparkSession, sf_dir: str) -> Settings:
     return settings
 
 
+@dataclass(frozen=True)
+class _LosesFirstWrite(Table):
+    """A table whose first append is lost to a fault."""
+
+    lost: list = field(default_factory=list)
+
+    def append(self, rows: DataFrame, **options) -> int:
+        if not self.lost:
+            self.lost.append(rows)
+            raise RuntimeError("a fault that the query raises on purpose")
+        return super().append(rows, **options)
+
+
+def _run_streams_crashing(spark: SparkSession, sf_dir: str) -> Settings:
+    """Silver and gold fail between their writes, with quarantine and dimensions written and
+    silver and the fact not; then all jobs start again."""
+    folder = workspace(spark)
+    settings = Settings(warehouse=f"{folder}/warehouse", raw_path=f"{folder}/raw")
+    feed(spark, sf_dir).drop("key").write.parquet(settings.raw_path)
+    for job, name in (("bronze", None), ("silver", "traffic_silver"), ("gold", "fact_traffic")):
+        tables = warehouse_tables(spark, settings)
+        if name:
+            tables[name] = _LosesFirstWrite(**vars(tables[name]))
+            try:
+                JOBS[job](spark, settings, once=True, tables=tables).awaitTermination()
+            except StreamingQueryException:
+                if not tables[name].lost:
+                    raise
+        JOBS[job](spark, settings, once=True).awaitTermination()
+    return settings
+
+
+def _run_streams_by_interval(spark: SparkSession, sf_dir: str) -> Settings:
+    """All jobs at once with interval triggers: half of the messages, a file without any, which
+    makes empty batches, and the other half."""
+    folder = workspace(spark)
+    settings = Settings(
+        warehouse=f"{folder}/warehouse",
+        raw_path=f"{folder}/raw",
+        bronze_trigger="1 second",
+        silver_trigger="1 second",
+        gold_trigger="1 second",
+    )
+    messages = feed(spark, sf_dir).drop("key")
+    number = F.col("offset") % 2
+    messages.filter("false").write.parquet(settings.raw_path)
+    running = [start(spark, settings) for start in JOBS.values()]
+    try:
+        for part in (messages.filter(number == 0), messages.filter("false"), messages.filter(number == 1)):
+            part.write.mode("append").parquet(settings.raw_path)
+            for query in running:
+                query.processAllAvailable()
+    finally:
+        for query in running:
+            query.stop()
+    return settings
+
+
+def _run_streams_evolving(spark: SparkSession, sf_dir: str) -> Settings:
+    """Half of the messages into registered tables; then the other half by jobs that keep one more
+    key of the payload."""
+    folder = workspace(spark)
+    settings = Settings(
+        warehouse=f"{folder}/warehouse",
+        raw_path=f"{folder}/raw",
+        database=f"roadstream_{uuid.uuid4().hex[:12]}",
+    )
+    catalog.register_warehouse(spark, settings, f"{folder}/database")
+    messages = feed(spark, sf_dir).drop("key")
+    for number, extra in enumerate((None, "road_condition")):
+        settings = replace(settings, extra_payload=extra)
+        part = messages.filter(F.col("offset") % 2 == number)
+        part.write.mode("append").parquet(settings.raw_path)
+        run_available(spark, settings)
+    return settings
+
+
+def _run_streams_watched(spark: SparkSession, sf_dir: str) -> Settings:
+    """The feed through the jobs while a progress table listens."""
+    folder = workspace(spark)
+    settings = Settings(warehouse=f"{folder}/warehouse", raw_path=f"{folder}/raw")
+    feed(spark, sf_dir).drop("key").write.parquet(settings.raw_path)
+    progress = ProgressTable(spark, settings.table_path("stream_progress"))
+    spark.streams.addListener(progress)
+    try:
+        run_available(spark, settings, progress)
+    finally:
+        spark.streams.removeListener(progress)
+    return settings
+
+
+def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches and rows of every job, and whether its rate is known."""
+    settings = _once("watched", _run_streams_watched, spark, sf_dir)
+    rows = spark.read.schema(PROGRESS).parquet(settings.table_path("stream_progress"))
+    timed = (F.col("rows_per_second") > 0).alias("timed")
+    return progress_summary(rows).select("query", "batches", "input_rows", "written_rows", timed)
+
+
+def evolved_rejects_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract of the quarantine table, with the column it was given, through the catalog."""
+    settings = _once(_run_streams_evolving.__name__, _run_streams_evolving, spark, sf_dir)
+    return spark.table(f"{settings.database}.bi_rejects").drop("rejected_at")
+
+
 def _streamed(table: str, *dropped: str, runs: Callable = _run_streams) -> Query:
     """A table as the streaming jobs write it, without the columns that hold the wall clock."""
 
@@ -398,7 +517,7 @@ QUERIES: dict[str, Query] = {
     **{name: _bi(name) for name in (*BI_CONTRACTS, *views.VIEWS)},
     "verification_counts": verification_counts,
     **{f"catalog_{name}": _catalog_view(name) for name in (*BI_CONTRACTS, *views.VIEWS)},
-    "stream_bronze": _streamed("traffic_bronze"),
+    "stream_bronze": _streamed("traffic_bronze", "corrupt"),
     "stream_silver": _streamed("traffic_silver"),
     "stream_rejects": _streamed("traffic_rejects", "rejected_at"),
     "stream_dim_zone": _streamed("dim_zone"),
@@ -406,14 +525,25 @@ QUERIES: dict[str, Query] = {
     "stream_fact": _streamed("fact_traffic", "ingested_at"),
     **{
         f"stream_{kind}_{name}": _streamed(table, *dropped, runs=runs)
-        for kind, runs in (("capped", _run_streams_in_rounds), ("fresh", _run_streams_afresh))
+        for kind, runs in (
+            ("capped", _run_streams_in_rounds),
+            ("fresh", _run_streams_afresh),
+            ("crashed", _run_streams_crashing),
+            ("interval", _run_streams_by_interval),
+        )
         for name, table, *dropped in (
-            ("bronze", "traffic_bronze"),
+            ("bronze", "traffic_bronze", "corrupt"),
             ("silver", "traffic_silver"),
             ("rejects", "traffic_rejects", "rejected_at"),
             ("fact", "fact_traffic", "ingested_at"),
         )
     },
+    "stream_evolved_silver": _streamed("traffic_silver", runs=_run_streams_evolving),
+    "stream_evolved_rejects": _streamed(
+        "traffic_rejects", "rejected_at", runs=_run_streams_evolving
+    ),
+    "catalog_evolved_rejects": evolved_rejects_view,
+    "stream_progress": stream_progress,
     "catalog_live_counts": live_counts,
     "catalog_live_zone_kpis": live_zone_kpis,
     "gaps_dq_flags": gaps_dq_flags,

@@ -8,7 +8,7 @@ nor a dimension of unexpected size can hurt, and no broadcast hint is needed.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -133,10 +133,11 @@ def contract_frame(name: str, table: DataFrame) -> DataFrame:
     return table.select(*[F.col(c).cast(kind).alias(alias) for c, alias, kind in columns])
 
 
-def contract_sql(name: str) -> str:
+def contract_sql(name: str, extra: Iterable[str] = ()) -> str:
+    """A cast contract as SQL, ending with ``extra`` columns of its table as they are."""
     table, columns = BI_CONTRACTS[name]
-    casts = ", ".join(f"CAST({c} AS {kind}) AS {alias}" for c, alias, kind in columns)
-    return f"SELECT {casts} FROM {table}"
+    casts = [f"CAST({c} AS {kind}) AS {alias}" for c, alias, kind in columns]
+    return f"SELECT {', '.join([*casts, *extra])} FROM {table}"
 
 
 def view_frame(name: str, contracts: Mapping[str, DataFrame]) -> DataFrame:

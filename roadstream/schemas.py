@@ -39,6 +39,8 @@ _FEATURES = _struct(hour="integer", peak_flag="integer", speed_band="string")
 _REJECTION = _struct(reject_reason="string", rejected_at="timestamp")
 
 BRONZE = StructType(_ARRIVAL.fields + PAYLOAD.fields)
+# The table also holds whether the raw text is corrupt, so that nobody has to read it to know.
+STORED_BRONZE = StructType(BRONZE.fields + _struct(corrupt="boolean").fields)
 SILVER = StructType(BRONZE.fields + _VERDICT.fields + _FEATURES.fields)
 REJECTS = StructType(BRONZE.fields + _VERDICT.fields + _REJECTION.fields)
 

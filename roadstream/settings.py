@@ -6,6 +6,10 @@ import os
 from collections.abc import Mapping
 from dataclasses import dataclass, fields
 
+from pyspark.sql.types import StructType
+
+from roadstream.schemas import REJECTS, SILVER
+
 # Environment variable -> setting it fills.
 ENVIRONMENT = {
     "SPARK_MASTER_URL": "master",
@@ -17,6 +21,7 @@ ENVIRONMENT = {
     "KAFKA_MIN_PARTITIONS": "kafka_min_partitions",
     "KAFKA_FAIL_ON_DATA_LOSS": "fail_on_data_loss",
     "MAX_OFFSETS_PER_TRIGGER": "max_offsets_per_trigger",
+    "EXTRA_PAYLOAD": "extra_payload",
     "RAW_PATH": "raw_path",
     "RAW_MAX_FILE_AGE": "raw_max_file_age",
     "MAX_FILES_PER_TRIGGER": "max_files_per_trigger",
@@ -53,10 +58,13 @@ class Settings:
     # Duplicates are judged within a micro-batch, so every limit on its size also sets how far
     # apart two copies may be to reject each other; the fact merge stops those further apart.
     max_offsets_per_trigger: int | None = None
+    # Keys of the payload beyond the declared ones, separated by commas. Their values are kept as
+    # text in bronze, silver and quarantine; tables that lack the columns get them.
+    extra_payload: str | None = None
     raw_path: str | None = None  # set: read envelope files from here instead of Kafka
     raw_max_file_age: str = "36500d"  # files older than the newest by more than this are skipped
     max_files_per_trigger: int | None = None  # of the raw files
-    max_table_files_per_trigger: int = 1000  # of the bronze or silver table in one micro-batch
+    max_table_files_per_trigger: int | None = None  # of the bronze or silver table
 
     hive_metastore_uri: str | None = None
     warehouse: str | None = None  # a folder that every executor reaches; jobs need it
@@ -77,6 +85,9 @@ class Settings:
     def __post_init__(self):
         if self.clock not in ("arrival", "now"):
             raise ValueError(f"unknown clock {self.clock!r}: arrival or now")
+        taken = [n for n in self.extra_columns.names if n in {*SILVER.names, *REJECTS.names, "corrupt"}]
+        if taken:
+            raise ValueError(f"extra payload keys have to be new: {', '.join(taken)}")
         if self.table_format not in ("parquet", "delta"):
             raise ValueError(f"unknown table_format {self.table_format!r}: parquet or delta")
 
@@ -91,6 +102,15 @@ class Settings:
         }
         return cls(**given)
 
+    @property
+    def extra_columns(self) -> StructType:
+        """The columns that ``extra_payload`` names."""
+        names = [name.strip() for name in (self.extra_payload or "").split(",")]
+        columns = StructType()
+        for name in filter(None, names):
+            columns.add(name, "string")
+        return columns
+
     def table_path(self, table: str) -> str:
         if not self.warehouse:
             raise ValueError("no warehouse: set WAREHOUSE_PATH to a folder that all machines share")

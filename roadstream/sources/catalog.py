@@ -10,7 +10,7 @@ from roadstream.plans import views
 from roadstream.schemas import BI_CONTRACTS
 from roadstream.settings import Settings
 from roadstream.sources.tables import Table
-from roadstream.sources.warehouse import warehouse_tables
+from roadstream.sources.warehouse import LAYOUT, warehouse_tables
 
 REGISTERED = ("fact_traffic", "dim_zone", "dim_road", "traffic_rejects")
 
@@ -21,18 +21,28 @@ def create_database(spark: SparkSession, database: str, location: str | None = N
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{place}")
 
 
+def _declared(columns) -> str:
+    return ", ".join(f"{column.name} {column.dataType.simpleString()}" for column in columns)
+
+
 def register_table(spark: SparkSession, name: str, table: Table) -> None:
-    """Register a table directory under ``name``; its rows stay where they are."""
+    """Register a table directory under ``name``; its rows stay where they are. If it is registered
+    already, columns that it has been given since are added."""
     table.create()
     if table.format == "delta":
         spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING delta LOCATION '{table.path}'")
         return
-    columns = [f"{field.name} {field.dataType.simpleString()}" for field in table.stored_schema]
+    columns = table.columns()
+    held = [c for c in table.stored_schema if c.name not in table.schema.names]  # partitions
     by = f"PARTITIONED BY ({', '.join(table.partition_by)}) " if table.partition_by else ""
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({', '.join(columns)}) USING parquet "
+        f"CREATE TABLE IF NOT EXISTS {name} ({_declared([*columns, *held])}) USING parquet "
         f"{by}LOCATION '{table.path}'"
     )
+    shown = spark.table(name).columns
+    new = [column for column in columns if column.name not in shown]
+    if new:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({_declared(new)})")
     refresh_table(spark, name, table)
 
 
@@ -62,6 +72,16 @@ def show_new_rows(settings: Settings, name: str, table: Table, days) -> None:
     spark.catalog.refreshTable(full)
 
 
+def show_new_columns(settings: Settings, name: str, table: Table) -> None:
+    """Show columns that a registered table has been given, in the catalog and in the views."""
+    spark, full = table.spark, f"{settings.database}.{name}"
+    if not spark.catalog.tableExists(full):
+        return
+    if set(table.columns().names) - set(spark.table(full).columns):
+        register_table(spark, full, table)
+        register_views(spark, settings.database)
+
+
 def refresh_warehouse(spark: SparkSession, settings: Settings) -> None:
     """Refresh every registered table. Delta tables need none."""
     if settings.table_format != "delta":
@@ -70,6 +90,22 @@ def refresh_warehouse(spark: SparkSession, settings: Settings) -> None:
             refresh_table(spark, f"{settings.database}.{name}", tables[name])
 
 
+def register_views(spark: SparkSession, database: str) -> None:
+    """Make, or make anew, the cast contracts and the views. Contracts end with the columns that
+    their tables have been given beyond the declared ones."""
+    before = spark.catalog.currentDatabase()
+    spark.catalog.setCurrentDatabase(database)  # view texts name their inputs bare
+    try:
+        for name, (source, _) in BI_CONTRACTS.items():
+            known = {*LAYOUT[source]["schema"].names, *LAYOUT[source].get("partition_by", ())}
+            extra = [c for c in spark.table(source).columns if c not in known]
+            spark.sql(f"CREATE OR REPLACE VIEW {name} AS {views.contract_sql(name, extra)}")
+        for name in views.VIEWS:
+            spark.sql(f"CREATE OR REPLACE VIEW {name} AS {views.view_sql(name)}")
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+
+
 def register_warehouse(
     spark: SparkSession, settings: Settings, location: str | None = None
 ) -> None:
@@ -78,15 +114,7 @@ def register_warehouse(
     tables = warehouse_tables(spark, settings)
     for name in REGISTERED:
         register_table(spark, f"{settings.database}.{name}", tables[name])
-    before = spark.catalog.currentDatabase()
-    spark.catalog.setCurrentDatabase(settings.database)  # view texts name their inputs bare
-    try:
-        for name in BI_CONTRACTS:
-            spark.sql(f"CREATE OR REPLACE VIEW {name} AS {views.contract_sql(name)}")
-        for name in views.VIEWS:
-            spark.sql(f"CREATE OR REPLACE VIEW {name} AS {views.view_sql(name)}")
-    finally:
-        spark.catalog.setCurrentDatabase(before)
+    register_views(spark, settings.database)
 
 
 def verification_counts(spark: SparkSession, database: str) -> DataFrame:

@@ -28,8 +28,8 @@ FAULTS = (
     "schema_drift",
     "corrupt_json",
 )
-WORD_SPEEDS = ("FAST", "SLOW", "UNKNOWN")
-ROAD_CONDITIONS = ("GOOD", "BAD", "UNDER_CONSTRUCTION")
+WORD_SPEEDS = ("brisk", "crawl", "n/a")
+ROAD_CONDITIONS = ("DRY", "WET", "ICY")
 CORRUPT_PAYLOAD = '{"raw":"###CORRUPTED_EVENT###","corrupted":true}'
 ISO_8601 = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
 

@@ -35,9 +35,10 @@ def raw_stream(spark: SparkSession, settings: Settings) -> DataFrame:
 
 
 def table_stream(table: Table, settings: Settings, columns=None) -> DataFrame:
-    """Rows as a table grows, so many files at a time. Columns left out are never read."""
+    """Rows as a table grows. Columns left out are never read."""
     reader = table.spark.readStream.format(table.format)
-    reader = reader.option("maxFilesPerTrigger", settings.max_table_files_per_trigger)
+    if settings.max_table_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", settings.max_table_files_per_trigger)
     if table.format == "delta":
         reader = reader.option("ignoreChanges", "true")
     else:

@@ -6,6 +6,7 @@ Both ways to write are safe to repeat: ``insert_new`` adds only rows whose key t
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date
@@ -14,7 +15,20 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
-from roadstream.operators.merge import one_per_key, rows_to_insert
+from roadstream.operators.merge import lacking, one_per_key
+
+# The columns a Parquet table has been given so far, beside its files; Delta keeps them itself.
+SCHEMA_FILE = "_schema.json"
+
+
+def widened(stored: StructType, declared: StructType) -> StructType:
+    """The stored columns, then the declared ones that are new. One type a column."""
+    for column in declared:
+        if column.name in stored.names and stored[column.name].dataType != column.dataType:
+            held = stored[column.name].dataType.simpleString()
+            wanted = column.dataType.simpleString()
+            raise ValueError(f"column {column.name} is stored as {held}, not {wanted}")
+    return StructType([*stored.fields, *[c for c in declared if c.name not in stored.names]])
 
 
 @dataclass(frozen=True)
@@ -53,13 +67,47 @@ class Table:
         return files.exists(path)
 
     def create(self) -> None:
-        """Make an empty table unless there is one, so that streams and views can start on it."""
+        """Make an empty table unless there is one, so that streams and views can start on it; a
+        table that lacks declared columns gets them."""
         if self.format == "delta":
             if not self.exists():
                 self._append(self.spark.createDataFrame([], self.stored_schema))
         else:
             files, path = self._hadoop(self.path)
             files.mkdirs(path)
+            self.widen()
+
+    def columns(self) -> StructType:
+        """All columns the table has been given, by this job or others."""
+        if self.format == "delta":
+            return self.spark.read.format("delta").load(self.path).schema
+        files, path = self._hadoop(f"{self.path}/{SCHEMA_FILE}")
+        if not files.exists(path):
+            return self.schema
+        stream = files.open(path)
+        try:
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return StructType.fromJson(json.loads(text))
+
+    def widen(self) -> StructType:
+        """Add the declared columns that the table lacks; all of its columns afterwards.
+
+        Files written before have NULL there. Columns that only others declared stay, with NULL
+        in the rows of this job. A column of another type is an error, before anything is
+        written. Delta tables are widened by the append itself.
+        """
+        stored = self.columns()
+        columns = widened(stored, self.schema)
+        files, path = self._hadoop(f"{self.path}/{SCHEMA_FILE}")
+        if columns != stored or not files.exists(path):
+            stream = files.create(path, True)
+            try:
+                stream.write(bytearray(columns.json().encode()))
+            finally:
+                stream.close()
+        return columns
 
     def read(self) -> DataFrame:
         """All rows; none when the table does not exist yet."""
@@ -97,27 +145,31 @@ class Table:
         if self.format == "delta":
             return self._merge_delta(incoming, keys, within)
         target = self.read() if target is None else target
+        # The incoming rows and the target are read once; what is new, once and for all steps.
+        new = lacking(incoming, target, keys).persist()
+        try:
+            return self.append(one_per_key(new, keys).select(*self.schema.names))
+        finally:
+            new.unpersist()
+
+    def append(self, rows: DataFrame, **options) -> int:
+        """Add rows: few files per partition value, each sorted. How many were added, as counted
+        by the tasks that write them."""
         added = Observation()
-        new = rows_to_insert(incoming, target, keys).select(*self.schema.names)
-        self.append(new, counted_by=added)
-        return added.get["rows"]
-
-    def append(
-        self, rows: DataFrame, counted_by: Observation | None = None, **options
-    ) -> None:
-        """Add rows: few files per partition value, each sorted."""
         if self.day_of:
             rows = rows.withColumn(self.partition_by[0], F.to_date(self.day_of))
         if self.format != "delta":
             if self.partition_by:
                 # AQE splits a value that holds much.
                 rows = rows.hint("rebalance", *self.partition_by)
-            if counted_by:
-                rows = rows.observe(counted_by, F.count("*").alias("rows"))
-            if self.partition_by or self.sort_by:
-                # The write sorts by partition anyway; this is the same sort, with more columns.
-                rows = rows.sortWithinPartitions(*self.partition_by, *self.sort_by)
+        rows = rows.observe(added, F.count("*").alias("rows"))
+        if self.format == "delta":
+            options.setdefault("mergeSchema", "true")
+        elif self.partition_by or self.sort_by:
+            # The write sorts by partition anyway; this is the same sort, with more columns.
+            rows = rows.sortWithinPartitions(*self.partition_by, *self.sort_by)
         self._append(rows, **options)
+        return added.get["rows"]
 
     def _append(self, rows: DataFrame, **options) -> None:
         writer = rows.write.format(self.format).mode("append").options(**options)

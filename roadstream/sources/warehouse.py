@@ -5,8 +5,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from roadstream import schemas
 from roadstream.operators.merge import offer_counts
@@ -22,7 +23,7 @@ BY_ARRIVAL = {
 
 # The tables of the warehouse, named as their directories.
 LAYOUT = {
-    "traffic_bronze": {"schema": schemas.BRONZE, **BY_ARRIVAL},
+    "traffic_bronze": {"schema": schemas.STORED_BRONZE, **BY_ARRIVAL},
     "traffic_silver": {"schema": schemas.SILVER, **BY_ARRIVAL},
     "traffic_rejects": {"schema": schemas.REJECTS, **BY_ARRIVAL},
     "dim_zone": {"schema": schemas.DIM_ZONE},
@@ -35,12 +36,20 @@ LAYOUT = {
 }
 
 
+# Tables that keep columns of the payload, and so get the extra ones.
+OF_MESSAGES = ("traffic_bronze", "traffic_silver", "traffic_rejects")
+
+
 def warehouse_tables(spark: SparkSession, settings: Settings) -> dict[str, Table]:
     """Every table of the warehouse, whether it exists yet or not."""
-    return {
-        name: Table(spark, settings.table_path(name), format=settings.table_format, **shape)
-        for name, shape in LAYOUT.items()
-    }
+    tables = {}
+    for name, shape in LAYOUT.items():
+        if name in OF_MESSAGES:
+            columns = [*shape["schema"].fields, *settings.extra_columns.fields]
+            shape = {**shape, "schema": StructType(columns)}
+        path = settings.table_path(name)
+        tables[name] = Table(spark, path, format=settings.table_format, **shape)
+    return tables
 
 
 @dataclass(frozen=True)
@@ -51,16 +60,21 @@ class MergeResult:
     inserted: int
 
 
-def message_span(messages: DataFrame) -> Row:
+def span_counts() -> list[Column]:
     """How many messages there are, and which days and offsets they cover."""
     day, offset = F.to_date("kafka_timestamp"), F.col("kafka_offset")
-    return messages.agg(
+    return [
         F.count("*").alias("rows"),
         F.collect_set(day).alias("days"),
         F.min(offset).alias("first"),
         F.max(offset).alias("last"),
         F.count_if(day.isNull() | offset.isNull()).alias("unplaced"),
-    ).first()
+    ]
+
+
+def message_span(messages: DataFrame) -> Row:
+    """The ``span_counts`` of messages."""
+    return messages.agg(*span_counts()).first()
 
 
 def unstored(messages: DataFrame, span: Row, *tables: Table) -> DataFrame:
@@ -91,10 +105,14 @@ def upsert_dim(dimension: DataFrame, table: Table, key: str) -> MergeResult:
     Counted first: nearly every batch brings no new key, and is then done without a write,
     which would leave an empty file behind.
     """
-    offer = offer_counts(dimension, table.read(), [key]).first()
-    if offer["new"]:
-        table.insert_new(dimension, [key])
-    return MergeResult(offer["incoming"], offer["new"])
+    dimension = dimension.persist()
+    try:
+        offer = offer_counts(dimension, table.read(), [key]).first()
+        if offer["new"]:
+            table.insert_new(dimension, [key])
+        return MergeResult(offer["incoming"], offer["new"])
+    finally:
+        dimension.unpersist()
 
 
 def micros(moment: datetime) -> int:
@@ -118,9 +136,15 @@ def upsert_fact(facts: DataFrame, table: Table, span: Row | None = None) -> Merg
     """Insert facts whose key is new.
 
     The event time is part of the key, so only rows of the same days and the same span of
-    time can match: other days are not listed, other row groups not read.
+    time can match: other days are not listed, other row groups not read. Without a ``span``
+    the facts are persisted while it is found; with one they are read once.
     """
-    span = span or fact_span(facts)
+    if span is None:
+        facts = facts.persist()
+        try:
+            return upsert_fact(facts, table, fact_span(facts))
+        finally:
+            facts.unpersist()
     if span["rows"] == 0:
         return MergeResult(0, 0)
     if span["timeless"]:

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import logging
+import threading
+from collections import defaultdict
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
@@ -27,8 +29,8 @@ def dq_breakdown(checked: DataFrame) -> DataFrame:
     return checked.groupBy("dq_flag").count()
 
 
-def batch_metrics(labelled: DataFrame) -> DataFrame:
-    """One row of quality metrics over rows with their final reject reason.
+def metric_counts() -> list[Column]:
+    """The counts of ``batch_metrics`` over rows with their final reject reason.
 
     speed_rejects and time_rejects count every row that fails the rule, whatever its reason,
     so they overlap with each other and with the flags; quarantined_rows does not.
@@ -43,21 +45,31 @@ def batch_metrics(labelled: DataFrame) -> DataFrame:
         "duplicate_rejects": F.count_if(reason == DUPLICATE_EVENT),
     }
     flags = {name: F.count_if(F.col("dq_flag") == flag) for flag, name in FLAG_COUNTS.items()}
-    totals = labelled.agg(*[total.alias(name) for name, total in {**counts, **flags}.items()])
+    return [total.alias(name) for name, total in {**counts, **flags}.items()]
+
+
+def batch_metrics(labelled: DataFrame, *more: Column) -> DataFrame:
+    """One row of quality metrics of a batch, its reject rate, and ``more`` aggregates."""
+    totals = labelled.agg(*metric_counts(), *more)
     rate = F.try_divide(100.0 * F.col("quarantined_rows"), F.col("in_rows"))
     return totals.withColumn("reject_rate", F.coalesce(F.round(rate, 1), F.lit(0.0)))
 
 
 # One row a finished micro-batch, as the progress table holds it.
 PROGRESS = (
-    "query string, run_id string, batch_id long, at string, input_rows long, "
+    "query string, run_id string, batch_id long, at string, input_rows long, written_rows long, "
+    "took_ms long, input_rows_per_second double, processed_rows_per_second double, "
     "sources array<struct<source:string, rows:long, from_offset:string, to_offset:string>>, "
     "phase_ms map<string, long>"
 )
 
+# Rows that the batches of each run of a query have added to tables: run -> batch -> rows. Jobs
+# fill it, as Spark does not know what a batch function writes.
+WRITTEN: dict[str, dict[int, int]] = {}
 
-def progress_row(progress) -> tuple:
-    """A micro-batch as a row of PROGRESS: what it read from where, and how long each phase took."""
+
+def progress_row(progress, written: int | None) -> tuple:
+    """A micro-batch as a row of PROGRESS: what it read from where and wrote, and how fast."""
     sources = [
         (s.description, s.numInputRows, str(s.startOffset), str(s.endOffset))
         for s in progress.sources
@@ -69,6 +81,10 @@ def progress_row(progress) -> tuple:
         progress.batchId,
         progress.timestamp,
         progress.numInputRows,
+        written,
+        phases.get("triggerExecution"),
+        progress.inputRowsPerSecond,
+        progress.processedRowsPerSecond,
         sources,
         phases,
     )
@@ -82,14 +98,24 @@ class ProgressTable(StreamingQueryListener):
 
     def __init__(self, spark: SparkSession, path: str, rows_a_file: int = 200):
         self.spark, self.path, self.rows_a_file = spark, path, rows_a_file
-        self.waiting: list[tuple] = []
+        self.waiting: list = []
+        self.ended: dict[str, threading.Event] = defaultdict(threading.Event)
 
     def onQueryStarted(self, event):
         pass
 
     def onQueryProgress(self, event):
-        if event.progress.numInputRows:
-            self.waiting.append(progress_row(event.progress))
+        progress = event.progress
+        if progress.numInputRows:
+            self.waiting.append(progress)
+            log.info(
+                "%s batch=%d | in_rows=%d | written_rows=%s | rows_per_second=%.1f",
+                progress.name,
+                progress.batchId,
+                progress.numInputRows,
+                WRITTEN.get(str(progress.runId), {}).get(progress.batchId),
+                progress.processedRowsPerSecond,
+            )
         if len(self.waiting) >= self.rows_a_file:
             self.flush()
 
@@ -100,9 +126,30 @@ class ProgressTable(StreamingQueryListener):
         if event.exception:
             log.error("query %s ended | %s", event.id, event.exception)
         self.flush()
+        WRITTEN.pop(str(event.runId), None)
+        self.ended[str(event.runId)].set()
+
+    def wait_until_ended(self, query, seconds: float = 60) -> bool:
+        """Whether all rows of a query that has ended are in the table, waited for so long."""
+        return self.ended[str(query.runId)].wait(seconds)
 
     def flush(self) -> None:
-        rows, self.waiting = self.waiting, []
+        waiting, self.waiting = self.waiting, []
+        rows = [
+            progress_row(p, WRITTEN.get(str(p.runId), {}).pop(p.batchId, None)) for p in waiting
+        ]
         if rows:
             frame = self.spark.createDataFrame(rows, PROGRESS).coalesce(1)
             frame.write.mode("append").parquet(self.path)
+
+
+def progress_summary(progress: DataFrame) -> DataFrame:
+    """Batches, rows and rates of every query of a progress table."""
+    seconds = F.sum("took_ms") / 1000
+    return progress.groupBy("query").agg(
+        F.count("*").alias("batches"),
+        F.sum("input_rows").alias("input_rows"),
+        F.sum("written_rows").alias("written_rows"),
+        seconds.alias("seconds"),
+        F.try_divide(F.sum("input_rows"), seconds).alias("rows_per_second"),
+    )

@@ -18,8 +18,7 @@ def main() -> None:
     parser.add_argument("--once", action="store_true", help="process what is there and stop")
     arguments = parser.parse_args()
 
-    line = "%(asctime)s [%(levelname)s] %(name)s %(message)s"
-    logging.basicConfig(level=logging.INFO, format=line)
+    logging.basicConfig(level=logging.INFO, format="{asctime} {name}: {message}", style="{")
     settings = Settings.from_env()
     spark = build_session(f"roadstream-{'-'.join(arguments.jobs)}", settings)
     progress = ProgressTable(spark, settings.table_path("stream_progress"))
@@ -33,6 +32,7 @@ def main() -> None:
         query = JOBS[job](spark, settings, once=arguments.once)
         if arguments.once:
             query.awaitTermination()
+            progress.wait_until_ended(query)
         else:
             started.append(query)
     if started:

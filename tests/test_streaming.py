@@ -18,7 +18,8 @@ from roadstream.sources.warehouse import MergeResult, warehouse_tables
 from roadstream.streaming import jobs
 from roadstream.streaming.metrics import PROGRESS, ProgressTable, batch_metrics, dq_breakdown
 
-WALL_CLOCK = ("rejected_at", "ingested_at")
+# Columns that only the stored tables have, or that hold the wall clock.
+WALL_CLOCK = ("rejected_at", "ingested_at", "corrupt")
 
 
 @pytest.fixture(scope="module")
