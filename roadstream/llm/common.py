@@ -16,6 +16,7 @@ ROW = "__row"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -34,6 +35,12 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
         pa.default_memory_pool().release_unused()
 
 
+def small_batches(spark: SparkSession, most: str = "4m") -> None:
+    """Let Spark hand Python a few megabytes at a time. Whole batches of 10,000 texts are held at
+    both ends, by every task, in memory that neither end gives back."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", most)
+
+
 def id_hash(doc_id: Column) -> Column:
     """The number that deals rows into learning and held-out rows."""
     return F.crc32(doc_id.cast("string"))

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadstream.llm.common import checkpointed, slices
+from roadstream.llm.common import slices, written
 from roadstream.llm.deepshallow import sort_strings
 from roadstream.llm.shingles import _BASE, _BYTES, _INVERSE, U, mixed, powers
 
@@ -37,9 +37,7 @@ GRAM = 96
 HOT = 1024  # different segments of one anchor that are still sorted in one task
 BUCKET = 2048  # segments that one task sorts together
 
-# A segment's place: 24 bits of a hash of the text (rows may share an id), 33 of its start and
-# 7 of its number of windows.
-RUN_BITS, START_BITS = 7, 33
+RUN_BITS = 7  # of a segment's place, its start and its number of windows
 
 
 class Hashed:
@@ -97,32 +95,63 @@ def segments(
     return start, run, name, whole, twice
 
 
-ANCHORS = "doc_id long, at long, anchor long, whole long, twice boolean"
+# A document is known by 128 bits of hashes of its id and text, for rows may share an id or have
+# none. Rows that agree in both are one document in several copies.
+KEY = ["key", "more"]
+ANCHORS = "key long, more long, at long, anchor long, whole long, twice boolean"
 
 
 def _anchors(length: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, tags = batch.column("doc_id"), batch.column("tag").to_numpy()
+        for batch in slices(batches):
             rows, found = [], []
             for i, text in enumerate(batch.column("text")):
                 data = text.as_py().encode()
                 if len(data) >= length:
                     start, many, name, whole, twice = segments(data, length, gram)
-                    tag = U(tags[i]) << U(RUN_BITS + START_BITS)
-                    at = (start << RUN_BITS) | many | tag.view(np.int64)
                     rows.append(np.full(len(start), i))
+                    at = (start << RUN_BITS) | many
                     found.append((at, name.view(np.int64), whole.view(np.int64), twice))
             if rows:
+                owner = pa.array(np.concatenate(rows))
                 columns = [np.concatenate(c) for c in zip(*found, strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(np.concatenate(rows))), *map(pa.array, columns)],
-                    names=["doc_id", "at", "anchor", "whole", "twice"],
+                    [*[batch.column(c).take(owner) for c in KEY], *map(pa.array, columns)],
+                    names=[*KEY, "at", "anchor", "whole", "twice"],
                 )
 
     return run
 
 
+CUT = "anchor long, whole long, copies long, twice boolean, kinds long, bytes binary"
+
+
+def _cut(length: int):
+    """Rows of documents (key, text, wanted) to the bytes of the segments wanted of them. Copies of
+    a document come one after the other, and the first of them is enough."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in slices(batches):
+            keys = list(zip(*[batch.column(c).to_pylist() for c in KEY], strict=True))
+            wanted, out = batch.column("wanted"), []
+            for i, text in enumerate(batch.column("text")):
+                if keys[i] == last:
+                    continue
+                last, data = keys[i], text.as_py().encode()
+                for w in wanted[i].as_py():
+                    start, run = w["at"] >> RUN_BITS, w["at"] & ((1 << RUN_BITS) - 1)
+                    end = start + run + length - 1
+                    out.append((w["anchor"], w["whole"], w["copies"], w["twice"], w["kinds"], data[start:end]))
+            if out:
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.binary()]
+                columns = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
+                names = [column.split()[0] for column in CUT.split(", ")]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return run
+
+
 def repeated_windows(
     anchors: list[int],
     copies: list[int],
@@ -227,9 +256,10 @@ def _spread_windows(length: int):
 def repeated_spans(
     docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, hot: int = HOT
 ) -> DataFrame:
-    """doc_id, tag, spans for every segment of ``docs`` (doc_id, tag, text) that holds repeated
-    bytes; a span is start << 9 | number of bytes, spans of a document overlap."""
-    pieces = docs.mapInArrow(_anchors(length, gram), ANCHORS)
+    """key, more, spans for every segment of ``docs`` (key, more, doc_id, text) that holds repeated
+    bytes; a span is start << 9 | number of bytes, spans of a document overlap. The copies of a
+    document give its spans as often."""
+    pieces = docs.select(*KEY, "text").mapInArrow(_anchors(length, gram), ANCHORS)
     counts = pieces.groupBy("anchor").agg(
         F.count("*").alias("n"),
         F.min("whole").alias("least"),
@@ -239,35 +269,28 @@ def repeated_spans(
     counts = counts.where("n > 1 OR any_twice").select(
         "anchor", (F.col("any_twice") | (F.col("least") != F.col("most"))).alias("differ")
     )
-    shared = checkpointed(pieces.join(counts, "anchor"))
+    shared, _ = written(pieces.join(counts, "anchor"))
     number = F.expr(f"cast(at & {(1 << RUN_BITS) - 1} AS int)")
-    start = F.expr(f"(at >> {RUN_BITS}) & {(1 << START_BITS) - 1}L")
-    tag = F.shiftrightunsigned("at", RUN_BITS + START_BITS)
+    start = F.shiftright("at", RUN_BITS)
     # Repeated windows of a segment come as runs, begin << 8 | end.
-    whole_runs = shared.where("NOT differ").select("doc_id", "at", F.array(number).alias("runs"))
+    whole_runs = shared.where("NOT differ").select(*KEY, "at", F.array(number).alias("runs"))
 
     # Each different segment once, with one of its places.
     mixed_ones = shared.where("differ")
     different = mixed_ones.groupBy("anchor", "whole").agg(
         F.count("*").alias("copies"),
         F.max("twice").alias("twice"),
-        F.min(F.struct("doc_id", "at")).alias("place"),
+        F.min(F.struct(*KEY, "at")).alias("place"),
     )
     kinds = different.groupBy("anchor").agg(F.count("*").alias("kinds"))
-    wanted = different.join(kinds, "anchor").select(
-        "anchor", "whole", "copies", "twice", "kinds", "place.doc_id", "place.at"
-    )
-    cut = F.substring(
-        F.col("text").cast("binary"),
-        (start + 1).cast("int"),
-        number + (length - 1),
-    )
-    read = (
-        wanted.withColumnRenamed("doc_id", "held_id")
-        .join(docs.select("doc_id", "text"), F.expr("held_id <=> doc_id"))
-        .where(tag == text_tag(F.col("text")))
-        .select("anchor", "whole", "copies", "twice", "kinds", cut.alias("bytes"))
+    segment = F.struct("anchor", "whole", "copies", "twice", "kinds", "place.at")
+    wanted = (
+        different.join(kinds, "anchor")
+        .groupBy(*[F.col(f"place.{c}").alias(c) for c in KEY])
+        .agg(F.collect_list(segment).alias("wanted"))  # at most the segments of one document
     )
+    # The same exchange of the texts as that of the last join serves this one, too.
+    read = docs.join(wanted, KEY).mapInArrow(_cut(length), CUT)
     buckets = max(1, mixed_ones.count() // BUCKET)
     few = (
         read.where(F.col("kinds") <= hot)
@@ -294,23 +317,14 @@ def repeated_spans(
     ends = F.filter("places", lambda p: ~F.array_contains("places", p + 1))
     encoded = F.zip_with(begins, ends, lambda b, e: F.shiftleft(b, 8).bitwiseOR(e + 1))
     one_by_one = places.select("anchor", "whole", encoded.alias("runs"))
-    parts = mixed_ones.join(few.union(one_by_one), ["anchor", "whole"]).select(
-        "doc_id", "at", "runs"
-    )
+    parts = mixed_ones.join(few.union(one_by_one), ["anchor", "whole"]).select(*KEY, "at", "runs")
 
     def span(run):
         """Bytes under the windows begin <= place < end of a segment."""
         begin, end = F.shiftright(run, 8), run.bitwiseAND(F.lit(255))
         return F.shiftleft(start + begin, 9).bitwiseOR((end - begin + (length - 1)).cast("long"))
 
-    return whole_runs.union(parts).select(
-        "doc_id", tag.alias("tag"), F.transform("runs", span).alias("spans")
-    )
-
-
-def text_tag(text):
-    """24 bits of a hash of the text, which tell rows with one id apart."""
-    return F.shiftrightunsigned(F.xxhash64(text), 40)
+    return whole_runs.union(parts).select(*KEY, F.transform("runs", span).alias("spans"))
 
 
 CLEANED = "doc_id long, n_bytes long, spans array<struct<begin:long,end:long>>, kept binary"
@@ -328,11 +342,20 @@ def without_repeats(
     across texts. Null texts are empty. Repeated rows are copies of each other and lose all of
     their strings. Null ids are allowed. An empty table gives no rows.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    tagged = texts.select("doc_id", text_tag(F.col("text")).alias("tag"), "text")
-    spans = repeated_spans(tagged, length=length, gram=gram, hot=hot)
-    lists = spans.groupBy("doc_id", "tag").agg(F.flatten(F.collect_list("spans")).alias("spans"))
-    lists = lists.select(F.col("doc_id").alias("held_id"), F.col("tag").alias("held_tag"), "spans")
+    ident, words = F.col("doc_id").cast("long"), F.coalesce("text", F.lit(""))
+    keyed = docs.select(
+        F.xxhash64(ident, words).alias("key"),
+        F.xxhash64(words, F.lit(1), ident).alias("more"),
+        ident.alias("doc_id"),
+        words.alias("text"),
+    )
+    spans = repeated_spans(keyed, length=length, gram=gram, hot=hot)
+    # A set: the copies of a document have the same spans.
+    lists = (
+        spans.select(*KEY, F.explode("spans").alias("span"))
+        .groupBy(*KEY)
+        .agg(F.collect_set("span").alias("spans"))
+    )
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -361,9 +384,4 @@ def without_repeats(
                 names=["doc_id", "n_bytes", "spans", "kept"],
             )
 
-    same = F.expr("doc_id <=> held_id AND tag = held_tag")
-    return (
-        tagged.join(lists, same, "left")
-        .select("doc_id", "text", "spans")
-        .mapInArrow(clean, CLEANED)
-    )
+    return keyed.join(lists, KEY, "left").drop("more").mapInArrow(clean, CLEANED)

@@ -64,6 +64,40 @@ def test_against_brute_force(spark, hot):
     assert sorted(found, key=repr) == sorted(expected, key=repr)
 
 
+def found_by(spark, rows):
+    made = suffixes.without_repeats(documents(spark, rows)).collect()
+    return sorted(
+        (
+            (r.doc_id, r.n_bytes, sum(s.end - s.begin for s in r.spans), len(r.spans), hashlib.sha256(r.kept).hexdigest())
+            for r in made
+        ),
+        key=repr,
+    )
+
+
+def test_many_rows_without_an_id_and_copies_of_rows(spark):
+    """Rows are told apart by their texts, and copies of one give it no longer lists."""
+    rng = random.Random(9)
+
+    def prose(n):
+        return " ".join(f"{rng.choice('abcdef')}{rng.randrange(1000)}" for _ in range(n))
+
+    passage = prose(70)
+    rows = [(None, f"{prose(20)} {passage if i % 50 == 0 else ''}") for i in range(1500)]
+    rows += [(5, prose(60)) for _ in range(300)]
+    rows += [(6, f"{prose(40)} {passage}")] * 400 + [(None, prose(90))] * 200
+    expected = [(i, *b) for (i, _), b in zip(rows, brute_force([t for _, t in rows]), strict=True)]
+    assert found_by(spark, rows) == sorted(expected, key=repr)
+
+
+def test_a_very_long_text(spark):
+    rng = random.Random(3)
+    long = " ".join(str(rng.randrange(10**6)) for _ in range(150_000))
+    rows = [(1, long), (2, "x" + long[500_000:500_400] + "y"), (3, None)]
+    (n, removed, spans), (m, gone, _) = (r[1:4] for r in found_by(spark, rows)[:2])
+    assert (n, removed, spans) == (len(long), 400, 1) and (m, gone) == (402, 400)
+
+
 def test_query_against_brute_force(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()
     expected = [
