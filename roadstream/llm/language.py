@@ -107,9 +107,10 @@ def decide(
     """(language, score, margin, rejected). Score is the weight of the choice among all languages,
     each weighing less by its extra bytes. A null text, or one without a letter, is unknown, with
     score 0, and so is every text if nothing was learned. Ties go to the first of the model."""
-    data = letters(text or "").encode()
-    if not data or not languages:
+    words = letters(text or "")
+    if not any(map(str.isalpha, words)) or not languages:  # fractions and the like may be left
         return UNKNOWN, 0.0, 0.0, True
+    data = words.encode()
     sizes = encoded_sizes(data, languages)
     best = int(sizes.argmin())
     score = 1.0 / float(np.exp(-SHARPNESS * np.minimum(sizes - sizes[best], 700.0)).sum())

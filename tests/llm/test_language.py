@@ -72,3 +72,11 @@ def test_every_part_of_a_long_text_counts_alike(spark):
         assert found == "en" and not rejected
     leads = [language.decide(english[:n], languages)[2] for n in (250_000, 4_000_000)]
     assert leads[1] > 0.8 * leads[0]
+
+
+def test_fractions_and_circled_numbers_are_no_letters(spark):
+    model = language.learn(documents(spark, ROWS))
+    languages = language.coders(model)
+    for text in ("½ ² 10", "①②", "Ⅷ", "٣", "_"):
+        assert language.decide(text, languages) == ("und", 0.0, 0.0, True)
+    assert language.decide("½ the dog and the fox", languages)[0] == "en"
