@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from roadstream.llm.common import checkpointed
+
 VOCABULARY = "byte_bpe_50k.json"
 END = 2  # closes every document
 SPAN = 1024  # lengths per block of the suffix sums
@@ -96,8 +98,9 @@ def length_table(counted: DataFrame) -> DataFrame:
     The histogram is summed in two levels, so that no task holds more than one span of lengths
     or one row a span. An empty table gives no rows.
     """
+    # Used twice below; the texts behind it are encoded once.
     histogram = (
-        counted.groupBy("n_tokens").agg(F.count("*").alias("docs"))
+        checkpointed(counted.groupBy("n_tokens").agg(F.count("*").alias("docs")))
         .withColumn("span", F.floor(F.col("n_tokens") / SPAN))
         .withColumn("tokens", F.col("n_tokens") * F.col("docs"))
     )
