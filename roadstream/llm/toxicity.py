@@ -182,7 +182,8 @@ def learn(
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(most)
     )
-    rows = (
+    # Stored before anything is learned: the documents are read once, by as many tasks as they have.
+    rows = checkpointed(
         docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
         .join(F.broadcast(chosen), "doc_id")  # at most ``most`` rows of two numbers
         .select("doc_id", "toxic", "text")
