@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadstream.llm import jaccard, language, lines, mixing, packing
-from roadstream.llm.common import ROW, id_hash, shared_folder, table
+from roadstream.llm.common import ROW, discard, id_hash, shared_folder, small_batches, table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,6 +22,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     The dictionaries are learned from the labelled documents that operator 7 learns from. Texts
     that are null, have no letter, or lie too close to a second language go.
     """
+    small_batches(spark)
     model = language.learn(docs.where(id_hash(F.col("doc_id")) % 4 != 2))
     found = language.identify(docs, model)
     columns = [
@@ -42,6 +43,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates, the one with the smallest id."""
+    small_batches(spark)
     return jaccard.one_of_each_class(docs)
 
 
@@ -52,6 +54,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in sequences of 1024 tokens."""
+    small_batches(spark)
     return packing.pack(docs)
 
 
@@ -68,10 +71,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole table of documents."""
+    """All stages over the whole table of documents. A stage's table goes once the next one's is
+    written."""
     folder = f"{shared_folder(spark)}/corpus-{uuid.uuid4().hex}"
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before:
+            discard(spark, f"{folder}/{before}")
+        before = name
     return docs
