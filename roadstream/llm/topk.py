@@ -6,123 +6,173 @@ still add or take away is at most the product of the norms of both remainders, s
 whose upper bound lies below the k-th best lower bound is dropped, and the survivors are
 compacted before the next dimensions. The scores that remain are exact integers.
 
-Queries meet candidates block by block: candidates are spread over shards, every query block
-goes to each shard once, and only the k best of a (query, block) leave the task. Neither side
-is broadcast or gathered.
+Candidates are dealt to shards of a bounded number of components, and every block of queries
+visits every shard once: a task reads the blocks of a shard and then lets the queries stream
+past. A query takes the k-th best score of the blocks behind it to the next, so that later blocks
+lose most candidates after a few dimensions. Only the k best of a (query, shard) leave the task.
+Neither side is broadcast or gathered.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from roadstream.llm.common import as_integers, is_finite_vector, largest, whole_numbers
+from roadstream.llm.negatives import sortable
+
 K = 10
 SCALE = 1024
 BLOCK = 4096
 QUERY_BLOCK = 256
 DIMENSIONS = 8  # added up between two prunings
-LARGEST = 1 << 28  # scaled components from here on could overflow a score
-
-BLOCKS = "shard int, width int, n int, ids binary, columns binary"
+SHARD_COMPONENTS = 1 << 23  # of the candidates that one task holds: 64 MB as doubles
 
-
-def scaled(vector: Column) -> Column:
-    """floor(1024 * x) of every component as array<long>; null unless all are finite and small."""
-    most = F.lit(float(LARGEST))
-    wide = F.transform(vector, lambda x: F.floor(x.cast("double") * SCALE))
-    fine = F.forall(
-        vector,
-        lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double") * SCALE) < most),
-    )
-    return F.when(fine & (F.size(vector) > 0), wide)
+# Rows of one shard, width and range: candidates, or queries.
+BLOCKS = (
+    "shard int, asking boolean, width int, n int, ids binary, keys binary, copies binary, "
+    "columns binary"
+)
+# A score beyond 64 bits has the nearest long as score; digits and text then put it in order.
+FOUND = (
+    "query_id long, query_key long, query_copies long, vec_id long, score long, digits int, "
+    "text string"
+)
+NAMES = {shape: [f.split()[0] for f in shape.split(", ")] for shape in (BLOCKS, FOUND)}
+# Sums below these bounds are exact as doubles and as 64-bit integers.
+AS_DOUBLE, AS_LONG = 2.0**52, 2.0**62
 
 
-def _blocks(rows: int, keep_shard: bool):
-    """Arrow batches of (shard, id, vector) to blocks of at most ``rows`` vectors of one width."""
+def _blocks(rows: int, asking: bool):
+    """Rows of (shard, vec_id, key, copies, embedding) to BLOCKS of at most ``rows`` vectors. Vectors
+    with components too large for sums of doubles get blocks of their own, so that they do not
+    slow down the others."""
 
     def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            width = batch["vector"].map(len)
-            by = [batch["shard"], width] if keep_shard else [width]
             out = []
-            for _, group in batch.groupby(by, sort=True):
+            width = batch["embedding"].map(len).rename("width")
+            most = batch["embedding"].map(largest) * SCALE
+            reach = [np.searchsorted([AS_DOUBLE, AS_LONG], m * m * w) for m, w in zip(most, width, strict=True)]
+            by = [batch["shard"], width, pd.Series(reach, batch.index, name="reach")]
+            for (shard, wide, _), group in batch.groupby(by, sort=True):
                 for at in range(0, len(group), rows):
                     part = group.iloc[at : at + rows]
-                    values = np.stack(part["vector"].to_numpy()).astype("<i8")
-                    out.append(
-                        (
-                            int(part["shard"].iloc[0]),
-                            values.shape[1],
-                            len(part),
-                            part["id"].to_numpy("<i8").tobytes(),
-                            np.ascontiguousarray(values.T).tobytes(),
-                        )
-                    )
-            yield pd.DataFrame(out, columns=["shard", "width", "n", "ids", "columns"])
+                    values = np.stack(part["embedding"].to_numpy()).astype("<f8")
+                    numbers = [part[c].to_numpy("<i8").tobytes() for c in ("vec_id", "key", "copies")]
+                    columns = np.ascontiguousarray(values.T).tobytes()
+                    out.append((shard, asking, wide, len(part), *numbers, columns))
+            yield pd.DataFrame(out, columns=NAMES[BLOCKS])
 
     return blocks
 
 
 def _remainders(columns: np.ndarray, step: int) -> np.ndarray:
     """Norm of what each vector still has from dimension 0, step, 2 * step, ... on."""
+    if not len(columns):
+        return np.zeros((0, columns.shape[1]))
     squares = columns.astype(np.float64) ** 2
     sums = np.add.reduceat(squares, np.arange(0, len(columns), step), axis=0)
     return np.sqrt(sums[::-1].cumsum(axis=0)[::-1])
 
 
+@dataclass
+class Block:
+    """Vectors in vertical layout; ``remainder`` is there if sums of their like are doubles."""
+
+    ids: np.ndarray
+    keys: np.ndarray
+    copies: np.ndarray
+    columns: np.ndarray
+    most: float
+    remainder: np.ndarray | None
+
+    @staticmethod
+    def read(row) -> Block:
+        numbers = [np.frombuffer(x, "<i8") for x in (row.ids, row.keys, row.copies)]
+        columns = whole_numbers(np.frombuffer(row.columns, "<f8").reshape(row.width, row.n), SCALE)
+        most = largest(columns)
+        bounded = most * most * row.width < AS_DOUBLE
+        return Block(*numbers, columns, most, _remainders(columns, DIMENSIONS) if bounded else None)
+
+
 def best_of_block(
-    query: np.ndarray,
-    own: int,
-    columns: np.ndarray,
-    ids: np.ndarray,
-    remainder: np.ndarray,
-    k: int,
-    step: int = DIMENSIONS,
+    query: np.ndarray, block: Block, copies: np.ndarray, k: int, floor: float, step: int = DIMENSIONS
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and scores of the k best candidates of a block, none of them the query's own id."""
-    alive = np.flatnonzero(ids != own)
-    total = np.zeros(len(alive), dtype=columns.dtype)
-    mine = _remainders(query[:, None], step)[:, 0]
+    """Places and scores of the ``k`` best of a block, ties by id, of which ``copies`` are left and
+    that reach ``floor``, in the number type of the query."""
+    alive = np.flatnonzero(copies > 0)
+    total = np.zeros(len(alive), dtype=query.dtype)
+    pruned = query.dtype == np.float64 and block.remainder is not None
+    mine = _remainders(query[:, None], step)[:, 0] if pruned else np.zeros(0)
+    columns = block.columns if pruned else _typed(block.columns, query.dtype)
     for i, at in enumerate(range(0, len(query), step)):
         part = columns[at : at + step]
         part = part if len(alive) == part.shape[1] else part[:, alive]
-        total = total + query[at : at + step] @ part
-        if len(alive) <= k or i + 1 == len(mine):
+        total = total + query[at : at + step].dot(part)
+        if not pruned or i + 1 == len(mine):
             continue
         # A little wider than computed, so that rounding drops nobody.
-        slack = mine[i + 1] * remainder[i + 1][alive] * (1 + 1e-9) + 1e-6
-        floor = np.partition(total - slack, len(alive) - k)[len(alive) - k]
-        stay = total + slack >= floor
+        slack = mine[i + 1] * block.remainder[i + 1][alive] * (1 + 1e-9) + 1e-6
+        least = floor
+        if len(alive) > k:
+            least = max(least, np.partition(total - slack, len(alive) - k)[len(alive) - k])
+        stay = total + slack >= least
         if not stay.all():
             alive, total = alive[stay], total[stay]
-    order = np.lexsort((ids[alive], -total))[:k]
-    return ids[alive][order], total[order].astype(np.int64)
+    order = np.lexsort((block.ids[alive], -total))[:k]
+    return alive[order], total[order]
+
+
+def _typed(columns: np.ndarray, kind: np.dtype) -> np.ndarray:
+    return as_integers(columns) if kind == object else columns.astype(kind)
 
 
 def _search(k: int):
+    """Streams the BLOCKS of some shards, candidates first, to the FOUND of every query."""
+
+    def best(queries: Block, i: int, blocks: list[Block]) -> list[tuple]:
+        """(score, vec_id, copies) of the best of the blocks, better ones first."""
+        held: list[tuple] = []
+        vectors: dict[np.dtype, np.ndarray] = {}
+        for block in blocks:
+            reach = queries.most * block.most * len(queries.columns)
+            kind = np.dtype(float if reach < AS_DOUBLE else np.int64 if reach < AS_LONG else object)
+            if kind not in vectors:
+                vectors[kind] = _typed(queries.columns[:, i], kind)
+            # Other rows: one copy fewer of the query's own.
+            own = (block.keys == queries.keys[i]) & (block.ids == queries.ids[i])
+            copies = block.copies - own
+            floor = held[-1][0] if len(held) == k else -np.inf
+            floor = float(min(max(floor, -AS_LONG), AS_LONG))  # far beyond every sum of doubles
+            places, scores = best_of_block(vectors[kind], block, copies, k, floor)
+            found = zip(map(int, scores), block.ids[places].tolist(), copies[places].tolist(), strict=True)
+            held = sorted([*held, *found], key=lambda r: (-r[0], r[1]))[:k]
+        return held
+
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shard, held = None, {}
         for batch in batches:
             for row in batch.itertuples(index=False):
-                ids = np.frombuffer(row.ids, "<i8")
-                columns = np.frombuffer(row.columns, "<i8").reshape(row.width, row.n)
-                asked = np.frombuffer(row.q_ids, "<i8")
-                queries = np.frombuffer(row.q_columns, "<i8").reshape(row.width, row.q_n).T
-                top = float(np.abs(columns).max()) * float(np.abs(queries).max()) * row.width
-                if top < 2**52:  # then doubles hold every sum exactly, and multiply faster
-                    columns, queries = columns.astype(np.float64), queries.astype(np.float64)
-                remainder = _remainders(columns, DIMENSIONS)
+                if row.shard != shard:
+                    shard, held = row.shard, {}
+                block = Block.read(row)
+                if not row.asking:
+                    held.setdefault(row.width, []).append(block)
+                    continue
                 out = [
-                    pd.DataFrame({"query_id": own, "vec_id": found, "score": scores})
-                    for own, query in zip(asked.tolist(), queries, strict=True)
-                    for found, scores in [
-                        best_of_block(query, own, columns, ids, remainder, k)
-                    ]
+                    (block.ids[i], block.keys[i], block.copies[i], vec_id, *sortable(score))
+                    for i in range(row.n)
+                    for score, vec_id, copies in best(block, i, held.get(row.width, []))
+                    for _ in range(min(copies, k))
                 ]
-                yield pd.concat(out, ignore_index=True)
+                if out:
+                    yield pd.DataFrame(out, columns=NAMES[FOUND])
 
     return search
 
@@ -134,72 +184,76 @@ def top_k(
     k: int = K,
     block: int = BLOCK,
     query_block: int = QUERY_BLOCK,
+    shard_components: int = SHARD_COMPONENTS,
 ) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the ``k`` candidates with the largest inner product.
 
-    Both inputs have vec_id and embedding. Components count as floor(1024 * x). A vector that is
-    null or empty, has no id, or has a null, non-finite or (after scaling) 2**28 or larger
-    component takes no part. Candidates are all rows with another id and as many components as
-    the query; fewer than ``k`` are returned if there are fewer. Ties go to the smaller vec_id.
-    A repeated vec_id is several candidates; as a query it is answered once, for its smallest
-    vector. Empty tables give no rows.
+    Both inputs have vec_id and embedding; queries are rows of ``vectors``. Components count as
+    floor(1024 * x). A vector that is null, has no id, or has a null or non-finite component takes
+    no part; empty vectors meet each other with score 0. Candidates are all rows but the query's
+    own that have as many components as the query; fewer than ``k`` are returned if there are
+    fewer. Ties go to the smaller vec_id. Rows of one id, or repeated in full, are rows of their own,
+    as candidates and as queries, each answered by itself. Scores are exact for components of
+    any size; one beyond 64 bits ranks as it should and is returned as null. Empty tables give no
+    rows.
     """
+    spark = vectors.sparkSession
 
     def usable(df: DataFrame) -> DataFrame:
-        made = df.select(
-            F.col("vec_id").cast("long").alias("id"), scaled(F.col("embedding")).alias("vector")
-        )
-        return made.where("id IS NOT NULL AND vector IS NOT NULL")
+        # Copies of a row are one row with a count, so that no group of them fills a shard.
+        fine = F.col("vec_id").isNotNull() & is_finite_vector(F.col("embedding"))
+        rows = df.where(fine).select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>"))
+        whole = rows.groupBy("vec_id", "embedding").agg(F.count("*").alias("copies"))
+        return whole.withColumn("key", F.xxhash64("vec_id", "embedding"))
 
-    shards = max(1, -(-vectors.count() // block))
-    spread = F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int")
+    rows, components = vectors.agg(
+        F.count("embedding"), F.coalesce(F.sum(F.size("embedding").cast("long")), F.lit(0))
+    ).first()
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    shards = max(1, -(-components // shard_components), min(tasks, -(-rows // block)))
+    columns = ["shard", "vec_id", "key", "copies", "embedding"]
     held = (
         usable(vectors)
-        .withColumn("shard", spread)
-        .repartition(shards, "shard")
-        .select("shard", "id", "vector")
-        .mapInPandas(_blocks(block, True), BLOCKS)
+        .withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int"))
+        .repartitionById(shards, F.col("shard"))
+        .sortWithinPartitions("shard")
+        .select(*columns)
+        .mapInPandas(_blocks(block, False), BLOCKS)
     )
     asked = (
         usable(queries)
-        .groupBy("id")
-        .agg(F.min("vector").alias("vector"))
-        .select(F.lit(0).alias("shard"), "id", "vector")
-        .mapInPandas(_blocks(query_block, False), BLOCKS)
-        .select(
-            F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
-            "width",
-            F.col("n").alias("q_n"),
-            F.col("ids").alias("q_ids"),
-            F.col("columns").alias("q_columns"),
-        )
+        .withColumn("shard", F.lit(0))
+        .select(*columns)
+        .mapInPandas(_blocks(query_block, True), BLOCKS)
+        .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    )
+    dealt = held.unionByName(asked).repartitionById(shards, F.col("shard"))
+    found = dealt.sortWithinPartitions("shard", "asking").mapInPandas(_search(k), FOUND)
+    order = [F.desc("score"), F.desc("digits"), F.desc("text"), "vec_id"]
+    best = Window.partitionBy("query_id", "query_key").orderBy(*order)
+    ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    # A repeated query row asks as often as it is there.
+    again = F.explode(F.sequence(F.lit(1), F.col("query_copies")))
+    return ranked.withColumn("copy", again).select(
+        "query_id", "rank", "vec_id", F.when(F.col("digits") == 0, F.col("score")).alias("score")
     )
-    # One row is a pair of blocks, so a batch must hold few of them; the blocks are the unit of
-    # work and of memory.
-    pairs = held.join(asked, ["shard", "width"])
-    local = pairs.mapInPandas(_search(k), "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = local.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
 
 
 SQL = f"""
 WITH usable AS (
-  SELECT vec_id, list_transform(embedding,
-      lambda x: CAST(floor({SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding,
+      lambda x: CAST(floor({SCALE} * CAST(x AS DOUBLE)) AS HUGEINT)) AS v
   FROM embeddings
-  WHERE vec_id IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x)
-      OR abs({SCALE} * CAST(x AS DOUBLE)) >= {LARGEST})) = 0),
-cells AS (SELECT vec_id, len(v) AS width, unnest(v) AS x,
-    unnest(range(1, len(v) + 1)) AS i FROM usable),
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
-  FROM cells q JOIN cells c ON q.i = c.i AND q.width = c.width AND q.vec_id <> c.vec_id
-  WHERE q.vec_id % 100 = 0
-  GROUP BY q.vec_id, c.vec_id),
+  SELECT q.r, q.vec_id AS query_id, c.vec_id, coalesce(list_sum(
+      list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])), 0) AS score
+  FROM usable q JOIN usable c ON len(q.v) = len(c.v) AND q.r <> c.r
+  WHERE q.vec_id % 100 = 0),
 ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+  SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank
   FROM scored)
-SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= {K}
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, TRY_CAST(score AS BIGINT) AS score
+FROM ranked WHERE rank <= {K}
 """
