@@ -4,6 +4,9 @@ A line that stands on many sites is boilerplate. How many sites a line has is co
 HyperLogLog sketch per line hash, which tasks merge before and after the shuffle, so a line of
 billions of documents costs one small sketch a task. Lines whose estimate lies near the
 threshold get an exact distinct count.
+
+The lines that go are stored with their number of documents before their occurrences are looked
+up. Those of the lines that are everywhere are spread over many tasks.
 """
 
 from __future__ import annotations
@@ -11,12 +14,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadstream.llm.common import ROW, packed
+from roadstream.llm.common import ROW, packed, written
 
 MIN_SITES = 10
 PRECISION = 12  # log2 of the sketch's registers: a standard error of 1.6 %
 NEAR = 0.1  # six standard errors: estimates closer to the threshold are counted exactly
 BREAK = "\n"
+HOT = 1000  # a line with one occurrence of so many is spread; there are at most so many such lines
+SLOTS = 256  # over so many places
 
 
 def split_lines(text: Column) -> Column:
@@ -36,7 +41,8 @@ def spread_lines(
     precision: int = PRECISION,
     near: float = NEAR,
 ) -> DataFrame:
-    """Hashes of the lines (column ``line``) that stand on at least ``min_sites`` sites.
+    """Hashes of the lines (column ``line``) that stand on at least ``min_sites`` sites, and in how
+    many documents they do (``n``).
 
     Blank lines are never among them. A null site is a site of its own.
     """
@@ -46,23 +52,39 @@ def spread_lines(
         F.explode(F.array_distinct(split_lines(F.col(f"`{text}`")))).alias("content"),
     ).where(~is_blank(F.col("content")))
     lines = lines.select("site", F.xxhash64("content").alias("line"))
-    sketches = lines.groupBy("line").agg(F.hll_sketch_agg("site", precision).alias("sketch"))
-    estimates = sketches.select("line", F.hll_sketch_estimate("sketch").alias("sites"))
+    sketches = lines.groupBy("line").agg(
+        F.hll_sketch_agg("site", precision).alias("sketch"), F.count("*").alias("n")
+    )
+    estimates = sketches.select("line", "n", F.hll_sketch_estimate("sketch").alias("sites"))
     low, high = min(min_sites * (1 - near), min_sites - 1), max(min_sites * (1 + near), min_sites + 1)
     estimates = estimates.where(F.col("sites") >= low)
-    sure = estimates.where(F.col("sites") > high).select("line")
-    unsure = estimates.where(F.col("sites") <= high).select("line")
+    sure = estimates.where(F.col("sites") > high).select("line", "n")
+    unsure = estimates.where(F.col("sites") <= high).select("line", "n")
     exact = (
-        lines.join(unsure, "line", "left_semi")
-        .distinct()
-        .groupBy("line")
+        lines.join(unsure, "line")
+        .groupBy("line", "n", "site")
+        .agg(F.lit(1).alias("one"))
+        .groupBy("line", "n")
         .agg(F.count("*").alias("sites"))
         .where(F.col("sites") >= min_sites)
-        .select("line")
+        .select("line", "n")
     )
     return sure.union(exact)
 
 
+def _slots(spread: DataFrame, slots: int) -> tuple[DataFrame, Column]:
+    """``spread`` with a row for every ``slot`` of a line, and the slot of an occurrence, from
+    columns line and key."""
+    total = spread.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    hot = spread.where(F.col("n") * HOT >= total).select("line")
+    known = [row["line"] for row in hot.collect()]  # at most HOT numbers
+    is_hot = F.col("line").isin(known)
+    last = F.when(is_hot, F.lit(slots - 1)).otherwise(F.lit(0))
+    placed = spread.select("line", F.explode(F.sequence(F.lit(0), last)).alias("slot"))
+    own = F.pmod(F.xxhash64("key"), F.lit(slots)).cast("int")
+    return placed, F.when(is_hot, own).otherwise(F.lit(0))
+
+
 def without_spread_lines(
     docs: DataFrame,
     *,
@@ -86,7 +108,8 @@ def without_spread_lines(
         words.alias("text"),
         F.struct(ident.alias("id"), F.xxhash64(ident, words).alias("hash")).alias("key"),
     )
-    spread = spread_lines(docs, text=text, site=site, min_sites=min_sites)
+    spread, _ = written(spread_lines(docs, text=text, site=site, min_sites=min_sites))
+    spread, slot = _slots(spread, SLOTS)
     found = (
         docs.select(
             F.struct(ident.alias("id"), F.xxhash64(ident, words).alias("hash")).alias("key"),
@@ -94,7 +117,8 @@ def without_spread_lines(
         )
         .where(~is_blank(F.col("content")))
         .select("key", F.xxhash64("content").alias("line"))
-        .join(spread, "line", "left_semi")
+        .withColumn("slot", slot)
+        .join(spread, ["line", "slot"], "left_semi")
         .groupBy("key")
         .agg(F.collect_set("line").alias("spread"))  # at most the lines of one document
     )

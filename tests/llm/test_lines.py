@@ -3,6 +3,7 @@ from __future__ import annotations
 from collections import defaultdict
 
 from cases import collected, documents
+from pyspark.sql import functions as F
 
 from roadstream.llm import lines
 from roadstream.llm.common import ROW
@@ -43,5 +44,25 @@ def test_against_brute_force(spark):
     assert found == brute_force(rows, lines.MIN_SITES)
 
 
+def test_line_on_every_document_and_long_texts(spark):
+    rows = [(i % 90, f"license\nown {i}", f"s{i % 40}") for i in range(300)]
+    rows += [(None, "license\nsame", "s1")] * 60
+    rows += [(1000, "license\n" + "long " * 60_000 + "\n" + "x\n" * 20_000, "s2")]
+    made = lines.without_spread_lines(documents(spark, rows)).select(
+        f"{ROW}.doc_id", "n_lines", "n_removed", "clean_text"
+    )
+    found = collected(made, "doc_id", "n_lines", "n_removed", "clean_text")
+    assert found == brute_force(rows, lines.MIN_SITES)
+
+
+def test_occurrences_of_a_common_line_go_to_many_places(spark):
+    spread = spark.createDataFrame([(1, 3000), (2, 1), (3, 10)], "line long, n long")
+    placed, slot = lines._slots(spread, 64)
+    assert placed.groupBy("line").count().rdd.collectAsMap() == {1: 64, 2: 1, 3: 64}
+    seen = spark.range(3000).select(F.lit(1).alias("line"), F.col("id").alias("key"))
+    most = seen.select(slot.alias("slot")).groupBy("slot").count().agg(F.max("count")).first()[0]
+    assert most <= 2 * 3000 / 64
+
+
 def test_empty_table(spark):
     assert lines.without_spread_lines(documents(spark, [])).count() == 0
