@@ -6,8 +6,9 @@ that have room for a piece in every respect, the one that fits best is taken: by
 weighted norm of what would be left, or by the largest weighted dot product of what is left
 and what the piece needs, all in shares of the capacities.
 
-Pieces are spread over groups of a few thousand by hash, and a group is packed by one task, so
-any number of documents can be packed; a group leaves a sequence or two partly filled.
+Pieces are stored, so that texts are encoded once, and spread over groups of a few thousand by
+hash; a group is packed by one task, so any number of documents can be packed; a group leaves a
+sequence or two partly filled. Equal pieces of repeated rows are numbered before they are spread.
 """
 
 from __future__ import annotations
@@ -20,10 +21,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from roadstream.llm.common import written
 from roadstream.llm.tokens import END, VOCABULARY, encoder, vocabulary_path
 
 TOKENS = 1024
 GROUP_ROWS = 4096
+COPIES = 1 << 16  # numbers of equal pieces that a row holds at a time
 
 PIECES = "piece int, start long, length long, ids_crc32 long"
 
@@ -108,6 +111,16 @@ def cut(docs: DataFrame, *, most: int = TOKENS, vocabulary: str = VOCABULARY) ->
     return texts.mapInPandas(run, f"doc_id long, {PIECES}")
 
 
+def numbered(pieces: DataFrame, most: int = COPIES) -> DataFrame:
+    """``pieces`` with column ``copy``, which numbers equal ones from 0. They are counted, with
+    map-side combine, and made again from the count, so that none of them need meet."""
+    counted = pieces.groupBy(*pieces.columns).agg(F.count("*").alias("n"))
+    begin = F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(most).cast("long"))
+    begun = counted.withColumn("begin", F.explode(begin))
+    end = F.least(F.col("begin") + most, F.col("n")) - 1
+    return begun.select(*pieces.columns, F.explode(F.sequence("begin", end)).alias("copy"))
+
+
 def pack(
     docs: DataFrame,
     *,
@@ -122,11 +135,13 @@ def pack(
 
     ``docs`` has doc_id and text. A null or empty text is a document of the closing token alone.
     Documents longer than ``most`` are cut; the first piece may be shorter. Repeated rows are
-    documents of their own. An empty table gives no rows. Sequence numbers are unique, the same
-    on every run, and have gaps.
+    documents of their own, dealt to groups like any others. An empty table gives no rows.
+    Sequence numbers are unique, the same on every run, and have gaps. By default the limits on
+    documents and attention cost are the loosest possible, so that the tokens decide.
     """
     limits = capacity or capacities(most)
-    groups = max(1, -(-docs.count() // group_rows))
+    pieces, _ = written(cut(docs, most=most, vocabulary=vocabulary))
+    groups = max(1, -(-pieces.count() // group_rows))
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(
@@ -134,13 +149,14 @@ def pack(
         )
         sequence, offset = best_fit(frame["length"].to_numpy(), limits, weights, rule)
         group = int(frame["group"].iloc[0]) if len(frame) else 0
-        return frame.drop(columns="group").assign(
+        return frame.drop(columns=["copy", "group"]).assign(
             sequence_id=sequence + (group << 32), offset=offset
         )
 
-    spread = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups)).cast("int")
+    dealt = F.xxhash64("doc_id", "piece", "ids_crc32", "copy")
+    spread = F.pmod(dealt, F.lit(groups)).cast("int")
     return (
-        cut(docs, most=most, vocabulary=vocabulary)
+        numbered(pieces)
         .withColumn("group", spread)
         .groupBy("group")
         .applyInPandas(run, f"doc_id long, {PIECES}, sequence_id long, offset long")

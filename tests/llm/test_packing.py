@@ -5,7 +5,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
-from cases import SMALL, documents
+from cases import SMALL, collected, documents
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -64,6 +64,22 @@ def test_awkward_rows_in_several_groups(spark):
     assert packing.pack(documents(spark, [])).count() == 0
 
 
+def test_repeated_rows_are_dealt_evenly(spark):
+    rows = [(5, "one and the same " * 12)] * 700 + [(i, "x " * (i % 90)) for i in range(300)]
+    rows += [(9000, "very long text " * 30_000)]
+    docs = documents(spark, rows)
+    pieces = packing.pack(docs, group_rows=100).collect()
+    check(rows, pieces)
+    groups = defaultdict(int)
+    for p in pieces:
+        groups[p.sequence_id >> 32] += 1
+    assert max(groups.values()) <= 2 * 100
+    cut = packing.cut(docs)
+    again = packing.numbered(cut, most=50)  # the numbers of a piece come in several rows
+    assert collected(again.drop("copy"), *cut.columns) == collected(cut, *cut.columns)
+    assert again.distinct().count() == again.count() == len(pieces)
+
+
 @settings(max_examples=60, deadline=None)
 @given(
     st.lists(st.integers(1, 100), max_size=60),
