@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadstream.llm.common import ROW, packed
+from roadstream.llm.common import ROW, packed, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -115,7 +115,8 @@ def sample_copies(
         ident.alias("ident"),
     ).withColumn("size_class", F.floor(F.sqrt("size")))
 
-    counts = sized.groupBy(*CHUNK).agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+    # Stored, so that the words of all texts are counted once for it and not for each of its uses.
+    counts, _ = written(sized.groupBy(*CHUNK).agg(F.count("*").alias("n"), F.sum("size").alias("size")))
     earlier = (
         Window.partitionBy(*SOURCE)
         .orderBy("size_class", "salt")
