@@ -138,6 +138,9 @@ def identify(
     """``docs`` with one struct column __lang of lang_pred, score, margin and rejected.
 
     Only the text decides. Every row keeps its columns, and repeated rows stay repeated.
+
+    The function is marked as if it were not deterministic: a filter on its result then stays behind
+    it, where the optimizer would otherwise run it once for the filter and again for the column.
     """
 
     @F.arrow_udf(RESULT)
@@ -154,4 +157,4 @@ def identify(
                 [pa.array(c, f.type) for c, f in zip(columns, KINDS, strict=True)], fields=KINDS
             )
 
-    return docs.withColumn("__lang", guess(F.col(f"`{text}`")))
+    return docs.withColumn("__lang", guess.asNondeterministic()(F.col(f"`{text}`")))
