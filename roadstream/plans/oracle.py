@@ -400,7 +400,7 @@ _SELECTS = {
 _SELECTS.update(
     {
         f"stream_{kind}_{name}": _SELECTS[f"stream_{name}"]
-        for kind in ("fresh", "crashed", "interval")
+        for kind in ("fresh", "crashed", "interval", "by_day")
         for name in ("bronze", "silver", "rejects", "fact")
     }
 )

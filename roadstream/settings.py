@@ -26,6 +26,7 @@ ENVIRONMENT = {
     "RAW_MAX_FILE_AGE": "raw_max_file_age",
     "MAX_FILES_PER_TRIGGER": "max_files_per_trigger",
     "MAX_TABLE_FILES_PER_TRIGGER": "max_table_files_per_trigger",
+    "TABLE_STREAM_DAYS": "table_stream_days",
     "HIVE_METASTORE_URI": "hive_metastore_uri",
     "WAREHOUSE_PATH": "warehouse",
     "CHECKPOINT_PATH": "checkpoints",
@@ -65,6 +66,9 @@ class Settings:
     raw_max_file_age: str = "36500d"  # files older than the newest by more than this are skipped
     max_files_per_trigger: int | None = None  # of the raw files
     max_table_files_per_trigger: int | None = None  # of the bronze or silver table
+    # Silver and gold list, at every trigger, the days of arrival from the first one that is not
+    # finished when they start, and at least this many before the newest. None: all days.
+    table_stream_days: int | None = None
 
     hive_metastore_uri: str | None = None
     warehouse: str | None = None  # a folder that every executor reaches; jobs need it

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 
 from roadstream.schemas import ENVELOPE
@@ -34,9 +36,30 @@ def raw_stream(spark: SparkSession, settings: Settings) -> DataFrame:
     return spark.readStream.format("kafka").options(**options).load()
 
 
-def table_stream(table: Table, settings: Settings, columns=None) -> DataFrame:
-    """Rows as a table grows. Columns left out are never read."""
+def days_from(first: date) -> str:
+    """A path pattern for every ISO date from ``first`` on, and for rows without a date.
+
+    A later date has the same digits up to some place and a greater one there.
+    """
+    text = first.isoformat()
+    later = [
+        f"{text[:place]}[{int(digit) + 1}-9]*"
+        for place, digit in enumerate(text)
+        if digit.isdigit() and digit != "9"
+    ]
+    return "{" + ",".join([text, *later, "__HIVE_DEFAULT_PARTITION__"]) + "}"
+
+
+def table_stream(
+    table: Table, settings: Settings, columns=None, since: date | None = None
+) -> DataFrame:
+    """Rows as a table grows. Columns left out are never read.
+
+    With ``since``, only the directories of that day and later ones are listed at a trigger, so
+    that its cost does not follow the age of the table. A Delta log needs no listing.
+    """
     reader = table.spark.readStream.format(table.format)
+    path = table.path
     if settings.max_table_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", settings.max_table_files_per_trigger)
     if table.format == "delta":
@@ -44,4 +67,7 @@ def table_stream(table: Table, settings: Settings, columns=None) -> DataFrame:
     else:
         # Declared, so that it does not matter whether there is a file at the start.
         reader = reader.schema(table.stored_schema).option("maxFileAge", "36500d")
-    return reader.load(table.path).select(*(columns or table.schema.names))
+        if since:
+            reader = reader.option("basePath", path)
+            path = f"{path}/{table.partition_by[0]}={days_from(since)}"
+    return reader.load(path).select(*(columns or table.schema.names))

@@ -118,6 +118,12 @@ class Table:
             reader = reader.schema(self.stored_schema)
         return reader.load(self.path).select(*self.schema.names)
 
+    def read_placed(self) -> DataFrame:
+        """All rows with the columns that partition the table, also those not in the schema."""
+        if self.format == "delta" or not self.exists():
+            return self.read() if self.exists() else self.spark.createDataFrame([], self.stored_schema)
+        return self.spark.read.schema(self.stored_schema).parquet(self.path)
+
     def read_days(self, days: Iterable[date]) -> DataFrame:
         """Rows of some days of a table partitioned by day.
 

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from roadstream import schemas
-from roadstream.operators.merge import offer_counts
+from roadstream.operators.merge import lacking, offer_counts
 from roadstream.settings import Settings
 from roadstream.sources.tables import Table
 
@@ -99,6 +99,40 @@ def unstored(messages: DataFrame, span: Row, *tables: Table) -> DataFrame:
     return messages
 
 
+def first_open_day(days: DataFrame, margin: int) -> date | None:
+    """The first of ``days`` (day, finished) that is not finished, or the one ``margin`` days before
+    the newest, if that is earlier; None without days."""
+    found = days.agg(
+        F.min(F.when(~F.col("finished"), F.col("day"))).alias("open"), F.max("day").alias("newest")
+    ).first()
+    if found["newest"] is None:
+        return None
+    recent = found["newest"] - timedelta(days=margin)
+    return min(found["open"] or recent, recent)
+
+
+def split_days(bronze: Table, silver: Table, rejects: Table) -> DataFrame:
+    """Days of arrival, and whether silver and quarantine have as many messages of them as bronze.
+
+    Every message ends up in one of the two, once. Only rows are counted: no column is read.
+    """
+    def counted(table: Table, sign: int) -> DataFrame:
+        days = table.read_placed().groupBy(F.col("arrival_date").alias("day"))
+        return days.agg((sign * F.count("*")).alias("rows"))
+
+    counts = counted(bronze, 1).union(counted(silver, -1)).union(counted(rejects, -1))
+    days = counts.groupBy("day").agg(F.sum("rows").alias("rows"))
+    return days.select("day", (F.col("rows") == 0).alias("finished")).where("day IS NOT NULL")
+
+
+def merged_days(silver: Table, fact: Table) -> DataFrame:
+    """Days of arrival, and whether the fact holds the keys of all their silver rows."""
+    rows = silver.read_placed().select(F.col("arrival_date").alias("day"), *schemas.FACT_KEY)
+    missing = lacking(rows, fact.read(), schemas.FACT_KEY).select("day", F.lit(False).alias("finished"))
+    days = rows.select("day").distinct().withColumn("finished", F.lit(True)).union(missing)
+    return days.where("day IS NOT NULL").groupBy("day").agg(F.min("finished").alias("finished"))
+
+
 def upsert_dim(dimension: DataFrame, table: Table, key: str) -> MergeResult:
     """Insert dimension rows, one per key, whose key is new. A known key keeps its attributes.
 

@@ -3,18 +3,27 @@ from __future__ import annotations
 import logging
 import time
 from dataclasses import replace
+from datetime import date, timedelta
+from fnmatch import fnmatchcase
 from pathlib import Path
 
 import pytest
 from conftest import TESTDATA, rows_of
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from roadstream.plans.batch import BatchPipeline
 from roadstream.settings import Settings
 from roadstream.sources.feed import dirty_feed
-from roadstream.sources.streams import raw_stream, table_stream
+from roadstream.sources.streams import days_from, raw_stream, table_stream
 from roadstream.sources.tables import Table
-from roadstream.sources.warehouse import MergeResult, warehouse_tables
+from roadstream.sources.warehouse import (
+    MergeResult,
+    first_open_day,
+    merged_days,
+    split_days,
+    warehouse_tables,
+)
 from roadstream.streaming import jobs
 from roadstream.streaming.metrics import PROGRESS, ProgressTable, batch_metrics, dq_breakdown
 
@@ -249,6 +258,77 @@ def test_gold_stream_never_reads_the_raw_text(spark, setup):
     assert stream.isStreaming and stream.columns == list(jobs.GOLD_COLUMNS)
 
 
+@pytest.mark.parametrize("first", ["2024-01-31", "2019-12-29", "1999-09-09", "2024-10-01"])
+def test_days_from_matches_that_day_and_all_later_ones(first):
+    first = date.fromisoformat(first)
+    patterns = days_from(first).strip("{}").split(",")
+    assert patterns[-1] == "__HIVE_DEFAULT_PARTITION__"
+    for step in [*range(-800, 800), -20_000, 20_000]:
+        day = first + timedelta(days=step)
+        assert any(fnmatchcase(day.isoformat(), p) for p in patterns) == (day >= first)
+
+
+def test_first_open_day(spark):
+    def found(*finished, margin):
+        days = [(date(2024, 3, 1 + n), done) for n, done in enumerate(finished)]
+        return first_open_day(spark.createDataFrame(days, "day date, finished boolean"), margin)
+
+    assert found(True, True, True, margin=1) == date(2024, 3, 2)
+    assert found(False, True, True, margin=0) == date(2024, 3, 1)
+    assert found(True, True, False, margin=1) == date(2024, 3, 2)
+    assert found(margin=1) is None
+
+
+def files_listed(spark) -> int:
+    counters = spark._jvm.org.apache.spark.metrics.source.HiveCatalogMetrics
+    return counters.METRIC_FILES_DISCOVERED().getCount()
+
+
+def test_a_bounded_stream_lists_and_reads_recent_days_only(spark, tmp_path):
+    schema = StructType().add("n", "integer").add("arrived", "timestamp")
+    shape = {"partition_by": ("day",), "day_of": "arrived"}
+    table = Table(spark, str(tmp_path / "table"), schema, **shape)
+    arrived = F.timestamp_seconds(F.lit(1_700_000_000) + 86_400 * F.col("n"))  # from 2023-11-14
+    rows = spark.range(60).select(F.col("id").cast("int").alias("n"), arrived.alias("arrived"))
+    dateless = spark.range(1).select(F.lit(-1).alias("n"), F.lit(None).cast("timestamp").alias("arrived"))
+    table.append(rows.union(dateless))
+    assert len(list(Path(table.path).glob("day=*"))) == 61
+    read, listed = {}, {}
+    for since in (None, date(2024, 1, 10)):
+        before = files_listed(spark)
+        stream = table_stream(table, Settings(), since=since)
+        name = f"bounded_{since is not None}"
+        writer = stream.writeStream.format("memory").queryName(name).trigger(availableNow=True)
+        writer.option("checkpointLocation", str(tmp_path / name)).start().awaitTermination()
+        listed[since] = files_listed(spark) - before
+        read[since] = sorted(row["n"] for row in spark.table(name).collect())
+    assert read[None] == [*range(-1, 60)]
+    assert read[date(2024, 1, 10)] == [-1, 57, 58, 59]
+    # 4 files a listing and not 61
+    assert 0 < 10 * listed[date(2024, 1, 10)] < listed[None]
+
+
+def test_days_are_finished_once_all_of_their_rows_are_further_on(spark, messages, setup):
+    tables = warehouse_tables(spark, setup)
+    batch = BatchPipeline(messages)
+    bronze, silver, rejects, fact = [
+        tables[name]
+        for name in ("traffic_bronze", "traffic_silver", "traffic_rejects", "fact_traffic")
+    ]
+    bronze.append(batch.bronze.withColumn("corrupt", F.lit(False)))
+    silver.append(batch.silver)
+    late = F.to_date("kafka_timestamp") == date(2024, 1, 9)
+    rejects.append(batch.rejects.filter(~late))
+    fact.append(batch.fact.filter(F.col("event_date") != date(2024, 1, 20)))
+    split = dict(rows_of(split_days(bronze, silver, rejects)))
+    assert len(split) > 20 and [day for day, done in split.items() if not done] == [date(2024, 1, 9)]
+    merged = dict(rows_of(merged_days(silver, fact)))
+    assert date(2024, 1, 20) in [day for day, done in merged.items() if not done]
+    assert merged[date(2024, 1, 9)]
+    rejects.append(batch.rejects.filter(late))
+    assert all(dict(rows_of(split_days(bronze, silver, rejects))).values())
+
+
 def test_missing_kafka_connector_is_reported(spark, setup):
     with pytest.raises(Exception, match="(?i)kafka"):
         raw_stream(spark, replace(setup, raw_path=None))
