@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 from roadstream import schemas
 from roadstream.operators import merge, star
+from roadstream.session import prepare_session
 from roadstream.settings import Settings
+from roadstream.sources import tables as stored_tables
+from roadstream.sources.tables import SORTED_SIZE, TASK_SIZE, Table
 from roadstream.sources.warehouse import (
     MergeResult,
     message_span,
@@ -225,3 +228,70 @@ def test_messages_without_a_place_are_stored_once_too(spark, tables):
     for _ in range(2):
         table.append(unstored(odd, message_span(odd), table))
     assert table.read().count() == 1
+
+
+def message_rows(spark, offsets, vehicle="v"):
+    when = datetime(2026, 3, 4, 12)
+    rows = [("{}", when, 0, offset, vehicle) for offset in offsets]
+    names = "raw_json string, kafka_timestamp timestamp, kafka_partition int, kafka_offset long, vehicle_id string"
+    rows = spark.createDataFrame(rows, names)
+    missing = [c for c in schemas.STORED_BRONZE if c.name not in rows.columns]
+    return rows.select("*", *[F.lit(None).cast(c.dataType).alias(c.name) for c in missing])
+
+
+def test_new_messages_are_not_dealt_out_for_a_comparison(spark, tables):
+    """Into an empty table, and beside messages of the same day and span of offsets."""
+    bronze = tables["traffic_bronze"]
+    for offsets in (range(0, 20, 2), range(1, 20, 2)):
+        batch = message_rows(spark, offsets)
+        assert unstored(batch, message_span(batch), bronze) is batch
+        bronze.append(batch.select(*bronze.schema.names))
+    assert bronze.read().count() == 20
+
+
+def test_messages_held_by_either_table_are_left_out(spark, tables):
+    silver, rejects = tables["traffic_silver"], tables["traffic_rejects"]
+    for table, offsets in ((silver, (1, 4)), (rejects, (2,))):
+        held = message_rows(spark, offsets)
+        missing = [c for c in table.schema if c.name not in held.columns]
+        table.append(held.select("*", *[F.lit(None).cast(c.dataType).alias(c.name) for c in missing]).select(*table.schema.names))
+    batch = message_rows(spark, [1, 2, 3, 4, 5, 5])
+    new = unstored(batch, message_span(batch), silver, rejects)
+    assert rows_of(new, "kafka_offset") == [(3,), (5,), (5,)]
+    assert new.columns == batch.columns
+
+
+def test_facts_of_different_keys_are_not_compared(silver, tables, monkeypatch):
+    monkeypatch.setattr(stored_tables, "one_per_key", None)
+    table = tables["fact_traffic"]
+    assert upsert_fact(facts(silver(silver_row(day=1), silver_row(road=None))), table).inserted == 2
+    batch = facts(silver(silver_row(day=1), silver_row(road=None), silver_row(day=2)))
+    assert upsert_fact(batch, table) == MergeResult(3, 1)
+
+
+def test_writes_sort_in_small_tasks(spark, silver, tables, monkeypatch):
+    seen, write = [], Table._append
+
+    def watched(self, rows, **options):
+        seen.append(rows.sparkSession.conf.get(TASK_SIZE))
+        write(self, rows, **options)
+
+    monkeypatch.setattr(Table, "_append", watched)
+    given = spark.conf.get(TASK_SIZE)
+    batch = facts(silver(silver_row()))
+    try:
+        for size in ("64m", "8m"):
+            spark.conf.set(TASK_SIZE, size)
+            tables["fact_traffic"].append(batch)
+            assert spark.conf.get(TASK_SIZE) == size
+    finally:
+        spark.conf.set(TASK_SIZE, given)
+    assert seen == [SORTED_SIZE, "8m"]
+
+
+def test_sessions_made_elsewhere_join_full_rows_without_a_sort(spark):
+    session = spark.newSession()
+    limit = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
+    session.conf.unset(limit)
+    prepare_session(session)
+    assert session.conf.get(limit) == "64m"
