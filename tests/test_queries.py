@@ -6,7 +6,8 @@ from pathlib import Path
 
 import duckdb
 import pytest
-from conftest import TESTDATA, rows_of
+from conftest import NOW, TESTDATA, rows_of
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 from roadstream.plans import queries
@@ -57,3 +58,26 @@ def test_workspaces_are_discarded(spark):
     spark.range(3).write.parquet(folder)
     queries.discard_workspaces(spark)
     assert not Path(folder.removeprefix("file:")).exists() and not queries._FOLDERS
+
+
+def test_messages_of_rounds_are_numbered_once(spark, monkeypatch, tmp_path):
+    """Every copy of a message comes in one round, and the feed is made once for all rounds."""
+    made = spark.sparkContext.accumulator(0)
+
+    def text(number: int) -> str:
+        made.add(1)
+        return str(number)
+
+    ids = spark.range(60).select(F.explode(F.array("id", "id")).alias("offset"))
+    drawn = ids.select(
+        F.lit(None).cast("binary").alias("key"),
+        F.udf(text).asNondeterministic()("offset").cast("binary").alias("value"),
+        F.lit(NOW).alias("timestamp"),
+        F.lit(0).alias("partition"),
+        "offset",
+    )
+    monkeypatch.setattr(queries, "feed", lambda *_: drawn)
+    monkeypatch.setattr(queries, "run_available", lambda *_: None)
+    raw = spark.read.parquet(queries._run_streams_in_rounds(spark, str(tmp_path)).raw_path)
+    assert rows_of(raw, "offset") == sorted(((n,) for n in range(120)), key=repr)
+    assert made.value == 120
