@@ -3,7 +3,7 @@ from __future__ import annotations
 from collections import Counter
 
 import pytest
-from conftest import at, event, rows_of
+from conftest import TESTDATA, at, event, rows_of
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -11,6 +11,8 @@ from pyspark.sql.window import Window
 
 from roadstream.operators import duplicates
 from roadstream.operators.quality import OK, check_rows, filter_clean_records, is_clean
+from roadstream.plans.batch import BatchPipeline
+from roadstream.sources.feed import dirty_feed
 
 KEYED = "number int, vehicle_id string, event_ts timestamp, good boolean"
 
@@ -204,3 +206,29 @@ def test_every_copy_is_rejected_and_no_row_is_lost(bronze):
 def test_quarantine_of_an_empty_batch(bronze):
     checked = check_rows(bronze(event()).filter("false"))
     assert duplicates.label_duplicates(checked).count() == 0
+
+
+def test_full_rows_stay_where_kept_keys_can_be_broadcast(spark):
+    """The planner knows the size of kept repeated keys before it would deal out any full row."""
+    messages = dirty_feed(spark.read.parquet(f"{TESTDATA}/events.parquet"))
+    checked = BatchPipeline(messages).checked.persist()
+    kept = []
+
+    def keep(rows):
+        kept.append(rows.persist())
+        rows.count()
+        return rows
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # by its size at run time only
+    try:
+        labelled = duplicates.label_duplicates(checked, keep)
+        found = rows_of(labelled)
+        ran = final_plan(labelled)
+        joins = [line for line in ran.splitlines() if "Join [vehicle_id" in line]
+        assert joins and all("BroadcastHashJoin" in line for line in joins)
+        assert found == rows_of(duplicates.label_duplicates(checked))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        for rows in (checked, *kept):
+            rows.unpersist()
