@@ -12,6 +12,7 @@ from conftest import TESTDATA, rows_of
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from roadstream.operators import duplicates, ingest
 from roadstream.plans.batch import BatchPipeline
 from roadstream.settings import Settings
 from roadstream.sources.feed import dirty_feed
@@ -123,6 +124,67 @@ def test_replayed_silver_batch_changes_nothing(spark, messages, setup):
     assert process(bronze.filter("false"), 2) is None
 
 
+def test_no_text_of_a_message_is_cached(spark, messages, setup, monkeypatch):
+    """Full rows take several times their stored size in memory; keys and verdicts do not."""
+    cached, frame = [], type(messages)
+    persist = frame.persist
+
+    def watched(self, *level):
+        cached.append(self.columns)
+        return persist(self, *level)
+
+    monkeypatch.setattr(frame, "persist", watched)
+    messages.write.parquet(setup.raw_path)
+    jobs.run_available(spark, setup)
+    assert cached and not [columns for columns in cached if {"raw_json", "weather"} <= set(columns)]
+
+
+def test_too_many_repeated_keys_are_dealt_out_once_for_both_writes(
+    spark, messages, setup, monkeypatch
+):
+    monkeypatch.setattr(duplicates, "BROADCAST_KEYS", 0)
+    cached, frame = [], type(messages)
+    persist = frame.persist
+
+    def watched(self, *level):
+        cached.append(self.columns)
+        return persist(self, *level)
+
+    monkeypatch.setattr(frame, "persist", watched)
+    messages.write.parquet(setup.raw_path)
+    jobs.run_available(spark, setup)
+    assert len([columns for columns in cached if "raw_json" in columns]) == 1
+    monkeypatch.undo()
+    stored, batch = content(spark, setup), BatchPipeline(messages)
+    assert stored["traffic_silver"] == rows_of(batch.silver)
+    assert stored["traffic_rejects"] == rows_of(batch.rejects.drop("rejected_at"))
+
+
+def test_bronze_parses_the_sorted_text(spark, messages, setup, monkeypatch):
+    """Payload columns are neither dealt out nor sorted, and files stay sorted by offset."""
+    plans, write = [], Table._append
+
+    def watched(self, rows, **options):
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        write(self, rows, **options)
+
+    table = warehouse_tables(spark, setup)["traffic_bronze"]
+    # Arrivals against the order of offsets, and two batches that overlap.
+    decoded = ingest.decode_envelope(messages.orderBy(F.desc("offset")))
+    monkeypatch.setattr(Table, "_append", watched)
+    for part in ("kafka_offset % 2 = 0", "true"):
+        jobs.process_bronze_batch(decoded.filter(part), 0, table)
+    assert len(plans) == 2
+    for plan in plans:
+        assert plan.count("from_json") == 1 and plan.index("from_json") < plan.index("Sort [")
+    stored = table.read()
+    assert rows_of(stored.drop("corrupt")) == rows_of(BatchPipeline(messages).bronze)
+    assert stored.filter("corrupt <> (raw_json LIKE '%CORRUPTED%')").isEmpty()
+    for file in Path(table.path).rglob("*.parquet"):
+        offsets = [row[0] for row in spark.read.parquet(str(file)).select("kafka_offset").collect()]
+        assert offsets == sorted(offsets)
+
+
 def test_half_written_silver_batch_is_completed(spark, messages, setup, monkeypatch):
     tables = warehouse_tables(spark, setup)
     silver, rejects = tables["traffic_silver"], tables["traffic_rejects"]
