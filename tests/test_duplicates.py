@@ -232,3 +232,24 @@ def test_full_rows_stay_where_kept_keys_can_be_broadcast(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
         for rows in (checked, *kept):
             rows.unpersist()
+
+
+def test_stored_batch_counts_once_and_moves_no_full_row(spark, tmp_path, monkeypatch):
+    """Silver and quarantine of a stored batch share the repeated keys, counted before they meet rows."""
+    messages = dirty_feed(spark.read.parquet(f"{TESTDATA}/events.parquet"))
+    lazy, stored = BatchPipeline(messages), BatchPipeline(messages, folder=str(tmp_path / "batch"))
+    counted, count = [], duplicates.key_counts
+    monkeypatch.setattr(
+        duplicates, "key_counts", lambda *args: counted.append(args) or count(*args)
+    )
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # by the number of keys only
+    try:
+        for rows in (stored.labelled, stored.clean):
+            joins = [line for line in final_plan(rows).splitlines() if "Join [vehicle_id" in line]
+            assert joins and all("BroadcastHashJoin" in line for line in joins)
+        assert len(counted) == 1
+        assert rows_of(stored.labelled) == rows_of(lazy.labelled)
+        assert rows_of(stored.clean) == rows_of(lazy.clean)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
