@@ -105,7 +105,6 @@ def without_spread_lines(
     words = F.col(f"`{text}`")
     rows = docs.select(
         packed(docs),
-        words.alias("text"),
         F.struct(ident.alias("id"), F.xxhash64(ident, words).alias("hash")).alias("key"),
     )
     spread, _ = written(spread_lines(docs, text=text, site=site, min_sites=min_sites))
@@ -123,7 +122,7 @@ def without_spread_lines(
         .agg(F.collect_set("line").alias("spread"))  # at most the lines of one document
     )
     joined = rows.join(found.withColumnRenamed("key", "found_key"), F.expr("key <=> found_key"), "left")
-    lines = split_lines(F.col("text"))
+    lines = split_lines(F.col(f"{ROW}.`{text}`"))  # of the row: the text is dealt out once
     spread_here = F.coalesce(F.col("spread"), F.array().cast("array<bigint>"))
     kept = F.filter(
         lines, lambda line: is_blank(line) | ~F.array_contains(spread_here, F.xxhash64(line))

@@ -64,5 +64,15 @@ def test_occurrences_of_a_common_line_go_to_many_places(spark):
     assert most <= 2 * 3000 / 64
 
 
+def test_the_text_is_dealt_out_once(spark):
+    rows = [(i, f"menu\nown {i}", f"s{i}") for i in range(20)]
+    made = lines.without_spread_lines(documents(spark, rows))
+    node = made._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() != "Join":
+        node = node.children().head()
+    dealt = node.children().head().output()
+    assert [dealt.apply(i).name() for i in range(dealt.size())] == [ROW, "key"]
+
+
 def test_empty_table(spark):
     assert lines.without_spread_lines(documents(spark, [])).count() == 0
