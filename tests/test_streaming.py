@@ -23,6 +23,7 @@ from roadstream.sources.warehouse import (
     first_open_day,
     merged_days,
     split_days,
+    unstored,
     warehouse_tables,
 )
 from roadstream.streaming import jobs
@@ -160,6 +161,25 @@ def test_too_many_repeated_keys_are_dealt_out_once_for_both_writes(
     assert stored["traffic_rejects"] == rows_of(batch.rejects.drop("rejected_at"))
 
 
+def test_stored_messages_leave_before_they_are_checked(spark, messages, setup, monkeypatch):
+    tables = warehouse_tables(spark, setup)
+    silver, rejects = tables["traffic_silver"], tables["traffic_rejects"]
+    bronze = BatchPipeline(messages).bronze
+    jobs.process_silver_batch(bronze.filter("kafka_offset % 2 = 0"), 0, silver, rejects, setup)
+    compared = []
+
+    def watched(rows, *tables, **options):
+        compared.append(rows.columns)
+        return unstored(rows, *tables, **options)
+
+    monkeypatch.setattr(jobs, "unstored", watched)
+    jobs.process_silver_batch(bronze, 1, silver, rejects, setup)
+    assert compared == [bronze.columns]
+    batch = BatchPipeline(messages)
+    assert rows_of(silver.read()) == rows_of(batch.silver)
+    assert rows_of(rejects.read().drop("rejected_at")) == rows_of(batch.rejects.drop("rejected_at"))
+
+
 def test_bronze_parses_the_sorted_text(spark, messages, setup, monkeypatch):
     """Payload columns are neither dealt out nor sorted, and files stay sorted by offset."""
     plans, write = [], Table._append
